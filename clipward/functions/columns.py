@@ -144,3 +144,4 @@ def severity(value: Column, warn: float = K.PSI_WARN, alert: float = K.PSI_ALERT
         .when(value >= warn, "warn")
         .otherwise("ok")
     )
+

@@ -70,3 +70,21 @@ def match_expected(predictions: DataFrame, expected: DataFrame, key: str) -> Dat
     return predictions.join(expected, key).withColumn(
         "matched", F.col("label") == F.col("expected")
     )
+
+
+def pairing_states(
+    left: DataFrame, right: DataFrame, key: str, left_name: str, right_name: str
+) -> DataFrame:
+    """(key, state) over both tables: paired, or present on one side only.
+
+    One grouping of the keys instead of a join, so repeated keys never multiply.
+    """
+    sides = left.select(key, F.lit(1).alias("l"), F.lit(0).alias("r")).unionByName(
+        right.select(key, F.lit(0).alias("l"), F.lit(1).alias("r"))
+    )
+    state = (
+        F.when(F.max("l") == 0, f"{right_name}_only")
+        .when(F.max("r") == 0, f"{left_name}_only")
+        .otherwise("paired")
+    )
+    return sides.groupBy(key).agg(state.alias("state"))

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipward.functions.columns import matrix_rows
+from clipward.functions.wide import aggregate_columns
 
 
 def as_float32(column: str) -> Column:
@@ -16,24 +17,43 @@ def as_float32(column: str) -> Column:
 
 
 def fit_scaler(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """One row with ``<f>_mean`` and ``<f>_scale``; population deviation, zero becomes 1."""
-    exprs = []
-    for name in features:
-        deviation = F.stddev_pop(as_float32(name))
-        exprs += [
-            F.avg(as_float32(name)).alias(f"{name}_mean"),
-            F.when(deviation > 0, deviation).otherwise(1.0).alias(f"{name}_scale"),
-        ]
-    return df.agg(*exprs)
+    """(position, feature, mean, scale): population deviation, and 1 where it is zero."""
+    table = aggregate_columns(
+        df,
+        features,
+        {"mean": F.avg, "deviation": F.stddev_pop},
+        lambda c: c.cast("float").cast("double"),
+    )
+    scale = F.when(F.col("deviation") > 0, F.col("deviation")).otherwise(1.0)
+    return table.select("position", "feature", "mean", scale.alias("scale"))
+
+
+def scaler_row(scaler: DataFrame) -> DataFrame:
+    """The scaler as one row of two arrays in feature order (one entry per column)."""
+    ordered = F.array_sort(F.collect_list(F.struct("position", "mean", "scale")))
+    return scaler.agg(ordered.alias("s")).select(
+        F.col("s.mean").alias("means"), F.col("s.scale").alias("scales")
+    )
+
+
+def scale_matrix(df: DataFrame, scaler: DataFrame, column: str = "features") -> DataFrame:
+    """Standardise a float32 array column; the scaler joins as a single row."""
+    joined = df.crossJoin(F.broadcast(scaler_row(scaler)))
+    centred = F.zip_with(column, "means", lambda x, m: x.cast("double") - m)
+    scaled = F.zip_with(centred, "scales", lambda x, s: (x / s).cast("float"))
+    return joined.withColumn(column, scaled).drop("means", "scales")
 
 
 def apply_scaler(df: DataFrame, scaler: DataFrame, features: Sequence[str]) -> DataFrame:
-    """Standardised float32 features. The scaler is one row (a global aggregate)."""
+    """Standardised float32 feature columns."""
+    row = F.broadcast(scaler_row(scaler))
     scaled = {
-        name: ((as_float32(name) - F.col(f"{name}_mean")) / F.col(f"{name}_scale")).cast("float")
-        for name in features
+        name: (
+            (as_float32(name) - F.element_at("means", i + 1)) / F.element_at("scales", i + 1)
+        ).cast("float")
+        for i, name in enumerate(features)
     }
-    return df.crossJoin(F.broadcast(scaler)).withColumns(scaled).select(*df.columns)
+    return df.crossJoin(row).withColumns(scaled).select(*df.columns)
 
 
 def feature_matrix(df: DataFrame, features: Sequence[str], name: str = "features") -> DataFrame:

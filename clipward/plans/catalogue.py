@@ -7,7 +7,7 @@ import re
 
 from clipward.plans import registry
 
-_MODULES = ("drift_queries",)
+_MODULES = ("drift_queries", "model_queries")
 
 
 def _load() -> None:

@@ -27,10 +27,9 @@ aligned AS (
 
 _PSI = "sum((greatest(actual, 1e-6) - greatest(expected, 1e-6)) * ln(greatest(actual, 1e-6) / greatest(expected, 1e-6)))"
 
-_QUANTILES = """
-qs AS (
-  SELECT q, quantile_cont(confidence, q / 100.0) AS r
-  FROM ref, (SELECT unnest(range(101)) AS q) GROUP BY q)"""
+_QUANTILES = f"""
+qs AS (SELECT unnest(quantile_cont(confidence, [{", ".join(str(i / 100) for i in range(101))}])) AS r
+       FROM ref)"""
 
 # KS of a live sample against the 101 quantiles: at every quantile and just before it.
 _POINTS = """
