@@ -7,7 +7,7 @@ import re
 
 from clipward.plans import registry
 
-_MODULES = ("drift_queries", "model_queries")
+_MODULES = ("drift_queries", "model_queries", "service_queries", "table_queries")
 
 
 def _load() -> None:
