@@ -7,7 +7,13 @@ import re
 
 from clipward.plans import registry
 
-_MODULES = ("drift_queries", "model_queries", "service_queries", "table_queries")
+_MODULES = (
+    "drift_queries",
+    "model_queries",
+    "service_queries",
+    "table_queries",
+    "clip_queries",
+)
 
 
 def _load() -> None:
