@@ -13,6 +13,7 @@ _MODULES = (
     "service_queries",
     "table_queries",
     "clip_queries",
+    "training_queries",
 )
 
 
