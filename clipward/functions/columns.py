@@ -42,11 +42,23 @@ def points_below(value: Column, points: Sequence[float], *, inclusive: bool) ->
 def cell_index(value: Column, points: Sequence[float]) -> Column:
     """Position of ``value`` among ascending distinct points.
 
-    Even cell 2i is the open gap after i points; odd cell 2i+1 is the point i itself.
+    Even cell 2i is the open gap after i points; odd cell 2i+1 is the point i itself. One
+    three-way comparison per level of the tree.
     """
-    return points_below(value, points, inclusive=False) + points_below(
-        value, points, inclusive=True
-    )
+    points = list(points)
+
+    def search(low: int, high: int) -> Column:
+        if low == high:
+            return F.lit(2 * low)
+        middle = (low + high) // 2
+        probe = F.lit(float(points[middle]))
+        return (
+            F.when(value < probe, search(low, middle))
+            .when(value == probe, F.lit(2 * middle + 1))
+            .otherwise(search(middle + 1, high))
+        )
+
+    return search(0, len(points))
 
 
 def bin_index(value: Column, edges: Sequence[float]) -> Column:

@@ -18,6 +18,7 @@ from clipward import constants as K
 from clipward import schemas as S
 from clipward.functions import columns as C
 from clipward.functions import signal
+from clipward.functions.frames import object_frame
 
 # Rows handed back at once: 64 matrices of 128 x 126 floats are 4 MiB.
 _CHUNK = 64
@@ -39,11 +40,6 @@ def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
             yield batch.iloc[start : start + _CHUNK]
 
 
-def _frame(rows: Sequence[dict], names: Sequence[str]) -> pd.DataFrame:
-    """Rows as object columns, so that a missing value stays a null of its own type."""
-    return pd.DataFrame({n: pd.Series([r.get(n) for r in rows], dtype=object) for n in names})
-
-
 def copy_seeds(
     fold: Column,
     key: Column,
@@ -130,7 +126,7 @@ def clean_and_augment(
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for chunk in _chunks(batches):
             out = [row for record in chunk.to_dict("records") for row in rows(record)]
-            yield _frame(out, names)
+            yield object_frame(out, names)
 
     return prepared.mapInPandas(run, INTERIM_RESULT)
 
@@ -176,7 +172,7 @@ def extract_features(
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for chunk in _chunks(batches):
-            yield _frame([row(r) for r in chunk.to_dict("records")], names)
+            yield object_frame([row(r) for r in chunk.to_dict("records")], names)
 
     return clips.select(*S.META_COLUMNS, "wav").mapInPandas(run, schema)
 
@@ -247,7 +243,7 @@ def decode_report(clips: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for chunk in _chunks(batches):
-            yield _frame([row(r) for r in chunk.to_dict("records")], schema.fieldNames())
+            yield object_frame([row(r) for r in chunk.to_dict("records")], schema.fieldNames())
 
     source = clips.select("slice_file_name", *keep, F.col("audio.bytes").alias("__bytes"))
     return source.mapInPandas(run, schema)

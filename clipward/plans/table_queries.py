@@ -98,8 +98,11 @@ def _line(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def prediction_log_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    parsed = prediction_log.parse_log(_line(spark, sf_dir))
-    return rounded(parsed.select("event_id", "label", "confidence", "model_name"), "confidence")
+    path = scratch_path(spark, "log")
+    prediction_log.write_log(_line(spark, sf_dir), path)
+    parsed = prediction_log.read_log(spark, path)
+    key = F.regexp_extract("filename", r"^(\d+)", 1).cast("long").alias("event_id")
+    return rounded(parsed.select(key, "label", "confidence", "model_name"), "confidence")
 
 
 @register(

@@ -9,6 +9,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clipward.functions.frames import object_frame
+
 MIB = 1024 * 1024
 FINGERPRINT_SCHEMA = (
     "path string, exists boolean, size_bytes long, mtime double, sha256 string, digest_mode string"
@@ -46,7 +48,7 @@ def fingerprint_files(files: DataFrame, path: str = "path") -> DataFrame:
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            yield pd.DataFrame([_digest(p) for p in batch["path"]], columns=columns)
+            yield object_frame([_digest(p) for p in batch["path"]], columns)
 
     return files.select(F.col(path).alias("path")).mapInPandas(run, FINGERPRINT_SCHEMA)
 

@@ -50,34 +50,37 @@ def parse_log(
     "prediction". ``status`` must be "ok"; a missing key counts as ok, an explicit null
     does not. Rows without a label are dropped, a null confidence becomes 0.
     """
+    rest = [c for c in lines.columns if c != column]
     text = F.trim(F.col(column))
-    parsed = F.try_parse_json(text)
-    kind = F.schema_of_variant(parsed)
-    record = F.from_json(text, S.PREDICTION)
-    keys = F.json_object_keys(text)
     bad = F.raise_error(F.concat(F.lit("not JSON: "), text)).cast("boolean")
-    readable = parsed.isNotNull()
-    if strict:
-        readable = F.when(readable, True).otherwise(bad)
-    objects = (
-        lines.where(text != "")
-        .where(readable)
-        .where(F.startswith(kind, F.lit("OBJECT")))
-        .withColumn("__r", record)
-        .withColumn("__has_status", F.array_contains(keys, "status"))
+    keys = F.json_object_keys(text)
+    # Only text without object keys is looked at again, to tell other JSON from no JSON.
+    other = F.when(F.try_parse_json(text).isNotNull(), False).otherwise(bad if strict else False)
+    parsed = F.struct(
+        F.from_json(text, S.PREDICTION).alias("r"),
+        F.array_contains(keys, "status").alias("has_status"),
+        F.when(keys.isNotNull(), True).otherwise(other).alias("is_object"),
     )
-    kept = objects.where(
-        (F.col("__r.event").isNull() | (F.col("__r.event") == "prediction"))
-        & (~F.col("__has_status") | F.coalesce(F.col("__r.status") == "ok", F.lit(False)))
-        & F.col("__r.label").isNotNull()
+
+    def wanted(x: Column) -> Column:
+        return (
+            x["is_object"]
+            & (x["r"]["event"].isNull() | (x["r"]["event"] == "prediction"))
+            & (~x["has_status"] | F.coalesce(x["r"]["status"] == "ok", F.lit(False)))
+            & x["r"]["label"].isNotNull()
+        )
+
+    # Filtering inside a one-element array parses each line once; a filter on the parsed
+    # columns would be pushed down and parse the line again for every field it names.
+    kept = lines.where(text != "").select(
+        *rest, F.inline(F.filter(F.array(parsed), wanted)).alias("r", "has_status", "is_object")
     )
-    rest = [c for c in lines.columns if c != column]
     others = [f.name for f in S.PREDICTION if f.name not in ("label", "confidence", "event")]
     return kept.select(
         *rest,
-        F.col("__r.label").alias("label"),
-        F.coalesce(F.col("__r.confidence"), F.lit(null_confidence)).alias("confidence"),
-        *[F.col(f"__r.{name}").alias(name) for name in others if name not in rest],
+        F.col("r.label").alias("label"),
+        F.coalesce(F.col("r.confidence"), F.lit(null_confidence)).alias("confidence"),
+        *[F.col(f"r.{name}").alias(name) for name in others if name not in rest],
     )
 
 
