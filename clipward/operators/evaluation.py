@@ -153,15 +153,15 @@ def fold_aggregate(
     pairs = F.array(
         *[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in present]
     )
+    long = metrics.select(*group, F.inline(pairs))
     if not group:
+        # One more row without a value; computing it fails if there is nothing to aggregate.
+        fail = F.raise_error(F.lit("no fold metrics to aggregate")).cast("double")
         size = metrics.agg(F.count(F.lit(1)).alias("rows"))
-        fail = F.raise_error(F.lit("no fold metrics to aggregate")).cast("boolean")
-        guard = F.broadcast(size.select(F.when(F.col("rows") > 0, True).otherwise(fail).alias("__ok")))
-        # A left join from the one-row guard makes the check run even on an empty table.
-        metrics = guard.join(metrics, F.col("__ok"), "left")
+        check = F.when(F.col("rows") == 0, fail).otherwise(F.lit(None).cast("double"))
+        long = long.unionByName(size.select(F.lit("").alias("metric"), check.alias("value")))
     return (
-        metrics.select(*group, F.inline(pairs))
-        .where(is_finite(F.col("value")))
+        long.where(is_finite(F.col("value")))
         .groupBy(*group, "metric")
         .agg(F.avg("value").alias("mean"), F.stddev_pop("value").alias("std"))
     )

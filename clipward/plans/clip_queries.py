@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import numpy as np
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipward import constants as K
@@ -48,8 +48,12 @@ def originals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clip_jobs.extract_features(rows.withColumn("aug_index", F.col("aug_index").cast("long")))
 
 
-_SAMPLES = ((F.octet_length("wav") - 44) / 2).cast("long")
-_KEY = F.regexp_extract("slice_file_name", r"^(\d+)", 1).cast("long").alias("vec_id")
+def _samples() -> Column:
+    return ((F.octet_length("wav") - 44) / 2).cast("long")
+
+
+def _key() -> Column:
+    return F.regexp_extract("slice_file_name", r"^(\d+)", 1).cast("long").alias("vec_id")
 
 
 @register(
@@ -62,7 +66,7 @@ def audio_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = clip_jobs.clip_path(F.col("fold"), F.col("slice_file_name"))
     meta = rows.select(path.alias("path"), "class")
     audio = quality.good_rows(interim(spark, sf_dir, copies=0)).select("path", "wav")
-    return tables.attach_audio(meta, audio).select("path", "class", _SAMPLES.alias("n_samples"))
+    return tables.attach_audio(meta, audio).select("path", "class", _samples().alias("n_samples"))
 
 
 @register(
@@ -172,7 +176,7 @@ def feature_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decode(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = clip_jobs.decode_report(raw_clips(spark, sf_dir))
     return table.where(F.col("reject_reason").isNull()).select(
-        _KEY, "n_samples", "channels", "rate"
+        _key(), "n_samples", "channels", "rate"
     )
 
 
@@ -184,7 +188,7 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = quality.good_rows(interim(spark, sf_dir, copies=0))
     cleaned = rows.select(F.struct(F.col("wav").alias("bytes"), "path").alias("audio"), "slice_file_name")
     table = clip_jobs.decode_report(cleaned)
-    return table.select(_KEY, "n_samples", "rate", (F.col("peak") > 0.999).alias("full_peak"))
+    return table.select(_key(), "n_samples", "rate", (F.col("peak") > 0.999).alias("full_peak"))
 
 
 _EXPANSION = """
