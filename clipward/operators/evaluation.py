@@ -153,13 +153,14 @@ def fold_aggregate(
     pairs = F.array(
         *[F.struct(F.lit(n).alias("metric"), F.col(n).cast("double").alias("value")) for n in present]
     )
-    long = metrics.select(*group, F.inline(pairs))
     if not group:
-        # One more row without a value; computing it fails if there is nothing to aggregate.
-        fail = F.raise_error(F.lit("no fold metrics to aggregate")).cast("double")
-        size = metrics.agg(F.count(F.lit(1)).alias("rows"))
-        check = F.when(F.col("rows") == 0, fail).otherwise(F.lit(None).cast("double"))
-        long = long.unionByName(size.select(F.lit("").alias("metric"), check.alias("value")))
+        # One row per fold: gathered into a single row, so that an empty table is noticed
+        # without computing the metrics twice.
+        rows = metrics.agg(F.collect_list(F.struct(*present)).alias("rows"))
+        fail = F.raise_error(F.lit("no fold metrics to aggregate")).cast(rows.schema["rows"].dataType)
+        checked = F.when(F.size("rows") > 0, F.col("rows")).otherwise(fail)
+        metrics = rows.select(F.inline(checked))
+    long = metrics.select(*group, F.inline(pairs))
     return (
         long.where(is_finite(F.col("value")))
         .groupBy(*group, "metric")

@@ -29,14 +29,13 @@ def scratch_path(spark: SparkSession, label: str) -> str:
     return f"{shared_dir(spark)}/clipward/{label}-{uuid.uuid4().hex}"
 
 
-def stable(df: DataFrame) -> DataFrame:
-    """Materialise ``df`` so that row placement never changes between uses.
+def stable(df: DataFrame, label: str = "stable") -> DataFrame:
+    """Write ``df`` to the shared folder and read it back.
 
-    Range partitioning samples its bounds, so a plan that is evaluated twice may
-    place rows differently; offsets computed on one placement must be applied to
-    the very same one. The checkpoint is reliable storage and survives executor loss.
+    Range partitioning samples its bounds, so a plan that is evaluated twice may place rows
+    differently; offsets computed on one placement must be applied to the very same one. A
+    written table fixes it, survives the loss of executors, and is read column by column.
     """
-    context = df.sparkSession.sparkContext
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(shared_dir(df.sparkSession))
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -76,12 +76,11 @@ def attach_audio(metadata: DataFrame, audio: DataFrame, path: str = "path") -> D
 def write_interim(df: DataFrame, path: str, max_records_per_file: int = 20_000) -> None:
     """Interim clips, one folder per fold, so fold filters prune whole folders.
 
-    Rows are spread by fold and path before the write: every fold is written by many
-    tasks, and each task writes few folders.
+    Rows are gathered by fold so that a task writes few folders, and the rebalance hint
+    lets adaptive execution split a large fold over as many tasks as its size asks for.
     """
-    lanes = F.pmod(F.xxhash64("path"), F.lit(64))
     (
-        df.repartition("fold", lanes)
+        df.hint("rebalance", "fold")
         .write.mode("overwrite")
         .option("maxRecordsPerFile", max_records_per_file)
         .partitionBy("fold")
