@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from clipward.functions.columns import cell_index, is_finite
 
 WIDTH = 8
+_TREE_TOTAL = 32
 
 
 def aggregate_columns(
@@ -80,12 +81,12 @@ def aggregate_columns(
 def cell_counts(df: DataFrame, points: Mapping[str, Sequence[float]]) -> DataFrame:
     """(position, cell, n): finite values of each column counted per cell of its points.
 
-    Up to eight columns are located by compiled comparisons. Wider tables would exceed the
-    size of a compiled method, so their Arrow batches are located with numpy, which hands
+    A few points in all are located by compiled comparisons. More would exceed the size of a
+    method the JVM optimises, so Arrow batches are then located with numpy, which hands
     back one short row per (column, cell); both ways feed the same aggregate.
     """
     names = list(points)
-    if len(names) <= WIDTH:
+    if sum(len(points[c]) for c in names) <= _TREE_TOTAL:
         cells = [
             F.struct(
                 F.lit(i).alias("position"),
