@@ -28,10 +28,11 @@ INTERIM_RESULT = T.StructType(
 )
 
 
-def feature_result(n_mfcc: int = K.N_MFCC) -> T.StructType:
-    nullable = lambda f: T.StructField(f.name, f.dataType, True)
-    fields = [*S.tabular_schema(n_mfcc).fields, *S.MEL_FIELDS]
-    return T.StructType([*map(nullable, fields), T.StructField("reject_reason", T.StringType())])
+def feature_result(kept: Sequence[T.StructField], n_mfcc: int = K.N_MFCC) -> T.StructType:
+    """The kept columns, the features and a reject reason; rejected rows have no features."""
+    doubles = [T.StructField(n, T.DoubleType()) for n in S.feature_names(n_mfcc)]
+    mel = [T.StructField(f.name, f.dataType) for f in S.MEL_FIELDS]
+    return T.StructType([*kept, *doubles, *mel, T.StructField("reject_reason", T.StringType())])
 
 
 def _chunks(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -138,20 +139,21 @@ def extract_features(
     seconds: float = K.CLIP_SECONDS,
     n_mfcc: int = K.N_MFCC,
     peak_normalize: bool = False,
+    keep: Sequence[str] = S.META_COLUMNS,
 ) -> DataFrame:
     """Tabular features and log-mel matrix of every clip, from one decode.
 
     Rows that fail carry a ``reject_reason`` and no features, so both feature tables made
-    from the result have the same paths. ``clips`` needs the meta columns and ``wav``.
+    from the result have the same paths. ``clips`` needs ``wav`` and the columns to keep.
     ``peak_normalize`` cleans raw uploads in the same way as training clips.
     """
-    schema = feature_result(n_mfcc)
+    schema = feature_result([clips.schema[c] for c in keep], n_mfcc)
     names = schema.fieldNames()
     tabular = S.feature_names(n_mfcc)
     size = int(rate * seconds)
 
     def row(record: dict) -> dict:
-        meta = {c: record[c] for c in S.META_COLUMNS}
+        meta = {c: record[c] for c in keep}
         try:
             y, native = signal.decode_wav(record["wav"])
             y = signal.resample(signal.to_mono(y), native, rate)
@@ -174,7 +176,7 @@ def extract_features(
         for chunk in _chunks(batches):
             yield object_frame([row(r) for r in chunk.to_dict("records")], names)
 
-    return clips.select(*S.META_COLUMNS, "wav").mapInPandas(run, schema)
+    return clips.select(*keep, "wav").mapInPandas(run, schema)
 
 
 def map_signal(

@@ -20,7 +20,7 @@ def pending(
     if force:
         return inputs
     on = list(keys) + ([revision] if revision else [])
-    return inputs.join(done.select(*on).distinct(), on, "left_anti")
+    return inputs.join(done.select(*on), on, "left_anti")
 
 
 def complete_stages(outputs: DataFrame, required: Mapping[str, Sequence[str]]) -> DataFrame:

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -43,7 +43,6 @@ def monitor_stream(
     after a lost executor or driver repeats a batch without duplicates.
     """
     columns = [key, *order, "label", "confidence"]
-    spark = predictions.sparkSession
 
     def step(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
@@ -58,7 +57,6 @@ def monitor_stream(
             f"{state}/turn={batch_id}"
         )
 
-    del spark
     return (
         predictions.writeStream.foreachBatch(step)
         .option("checkpointLocation", checkpoint)
@@ -73,8 +71,6 @@ def last_rows(df: DataFrame, key: str, order: Sequence[str], n: int) -> DataFram
     Rows are dealt to lanes by hash; each lane keeps its own last n, and only those few
     are ranked together.
     """
-    from pyspark.sql import Window
-
     latest = [F.col(c).desc() for c in order]
     lane = F.pmod(F.xxhash64(*order), F.lit(64))
     dealt = df.withColumn("__lane", lane)
@@ -170,32 +166,18 @@ def score_uploads(
         model_ready=F.lit(fitted is not None),
         max_bytes=max_bytes,
     )
+    kept = [c for c in uploads.columns if c != "wav"]
     checked = uploads.withColumn("rule", status)
-    meta = checked.select(
-        F.col("filename").alias("path"),
-        F.to_json(F.struct(*[c for c in checked.columns if c not in ("wav", "rule")])).alias(
-            "slice_file_name"
-        ),
-        F.lit(0).cast("long").alias("fold"),
-        F.col("rule").alias("class"),
-        F.lit(0).cast("long").alias("classID"),
-        F.lit(False).alias("is_augmented"),
-        F.lit(-1).cast("long").alias("aug_index"),
-        # Refused uploads are not sent to the decoder.
-        F.when(F.col("rule") == "ok", F.col("wav")).alias("wav"),
-    )
-    features = clip_jobs.extract_features(meta, peak_normalize=True)
-    final = (
-        F.when(F.col("class") != "ok", F.col("class"))
-        .when(F.col("reject_reason").isNotNull(), "error")
-        .otherwise("ok")
-    )
-    names = S.feature_names()
+    # Refused uploads are not sent to the decoder.
+    decoded = checked.withColumn("wav", F.when(F.col("rule") == "ok", F.col("wav")))
+    features = clip_jobs.extract_features(decoded, peak_normalize=True, keep=[*kept, "rule"])
+    failed = F.col("reject_reason").isNotNull() & (F.col("rule") == "ok")
     rows = features.select(
-        F.col("path").alias("filename"),
-        F.col("slice_file_name").alias("request"),
-        final.alias("status"),
-        F.array(*[F.coalesce(F.col(n), F.lit(0.0)).cast("float") for n in names]).alias("features"),
+        *kept,
+        F.when(failed, "error").otherwise(F.col("rule")).alias("status"),
+        F.array(
+            *[F.coalesce(F.col(n), F.lit(0.0)).cast("float") for n in S.feature_names()]
+        ).alias("features"),
     )
     if fitted is None:
         empty = {"label": "string", "confidence": "double", "model_name": "string"}
@@ -205,12 +187,12 @@ def score_uploads(
     scored = modeling.prediction_rows(fitted.score(rows), fitted)
     ok = F.col("status") == "ok"
     return scored.select(
-        "filename",
-        "request",
+        *kept,
         "status",
         F.when(ok, F.col("label")).alias("label"),
         F.when(ok, F.col("confidence")).alias("confidence"),
         "model_name",
+        F.when(ok, F.col("probabilities")).alias("probabilities"),
     )
 
 
