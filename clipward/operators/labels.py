@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from clipward.session import stable
+
 
 def class_counts(df: DataFrame, label: str = "class") -> DataFrame:
     if label not in df.columns:
@@ -27,6 +29,11 @@ def label_map(df: DataFrame, label: str = "class") -> DataFrame:
     )
 
 
+def stored_label_map(df: DataFrame, label: str = "class") -> DataFrame:
+    """The label map as a written table, for jobs that look it up several times."""
+    return stable(label_map(df, label), "labels")
+
+
 def encode_labels(
     df: DataFrame, mapping: DataFrame, label: str = "class", *, strict: bool = True
 ) -> DataFrame:

@@ -299,7 +299,7 @@ def refit_and_evaluate(
     The label map comes from the training folds.
     """
     parts = splits.four_way(table)
-    mapping = labels.label_map(parts["tune_train"])
+    mapping = labels.stored_label_map(parts["tune_train"])
     fitted = fit(model_name, params, parts["refit"], mapping, n_features=n_features, seed=seed)
     return fitted, fitted.evaluate(parts["evaluation"])
 
@@ -320,7 +320,7 @@ def cross_validate(
     """
     if n_folds < 2:
         raise ValueError(f"n_folds must be at least 2, got {n_folds}")
-    mapping = labels.label_map(table)
+    mapping = labels.stored_label_map(table)
     folds = list(range(1, n_folds + 1))
 
     def one(k: int) -> DataFrame:

@@ -270,8 +270,11 @@ def class_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def sample_weights(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = V.feat_meta(spark, sf_dir)
-    encoded = L.encode_labels(rows, L.label_map(rows))
-    weighted = L.with_sample_weights(encoded, _weights(spark, sf_dir))
+    mapping = L.stored_label_map(rows)
+    train = rows.where("fold <= 8 AND class <> 'c3'")
+    weighted = L.with_sample_weights(
+        L.encode_labels(rows, mapping), L.class_weights(train, mapping)
+    )
     return rounded(weighted.select("path", "class", "weight"), "weight")
 
 

@@ -37,7 +37,7 @@ def clip_vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _held_out(name: str, params: dict, rows: DataFrame, n_features: int) -> DataFrame:
     train, evaluation_rows = splits.fold_split(rows)
-    mapping = labels.label_map(train)
+    mapping = labels.stored_label_map(train)
     fitted = modeling.fit(name, params, train, mapping, n_features=n_features)
     scored = fitted.evaluate(evaluation_rows)
     return scored.select("path", "y_true", "pred", "confidence", F.size("proba").alias("n_proba"))
@@ -72,7 +72,7 @@ def fit_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Holdout metrics of a forest on clip features, which do carry the class."""
     rows = clip_vectors(spark, sf_dir)
     train, held_out = splits.fold_split(rows)
-    mapping = labels.label_map(train)
+    mapping = labels.stored_label_map(train)
     fitted = modeling.fit("forest", _SMALL, train, mapping, n_features=84)
     scored = fitted.evaluate(held_out)
     return evaluation.classification_metrics(evaluation.confusion_counts(scored))
@@ -85,7 +85,7 @@ def search(spark: SparkSession, sf_dir: str) -> DataFrame:
         "forest",
         parts["tune_train"],
         parts["validation"],
-        labels.label_map(parts["tune_train"]),
+        labels.stored_label_map(parts["tune_train"]),
         n_features=V.N_FEATURES,
         n_trials=3,
         limits={"trees": 100, "depth": 4},
@@ -114,7 +114,7 @@ def cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 def _clip_forest(spark: SparkSession, sf_dir: str) -> modeling.Fitted:
     rows = clip_vectors(spark, sf_dir)
     train, _ = splits.fold_split(rows)
-    return modeling.fit("forest", _SMALL, train, labels.label_map(train), n_features=84)
+    return modeling.fit("forest", _SMALL, train, labels.stored_label_map(train), n_features=84)
 
 
 def upload_table(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -174,7 +174,7 @@ def winner_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = vectors(spark, sf_dir)
     folder = scratch_path(spark, "models")
     train, held_out = splits.fold_split(rows)
-    mapping = labels.label_map(train)
+    mapping = labels.stored_label_map(train)
     results = []
     for position, (name, params) in enumerate([("forest", _SMALL), ("network", {"hidden": 16})]):
         fitted = modeling.fit(name, params, train, mapping, n_features=V.N_FEATURES)
