@@ -5,14 +5,20 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipward import constants as K
 from clipward import schemas as S
-from clipward.operators import clip_jobs, evaluation, labels, modeling, quality, scaling, splits
+from clipward.operators import evaluation, labels, modeling, scaling, splits
 from clipward.plans import clip_queries
 from clipward.plans import sql_views as Q
 from clipward.plans import views as V
 from clipward.plans.clip_fixture import CLIPS_SQL, raw_clips
-from clipward.plans.drift_queries import _ROLLING, _ROLLING_KS, _POINTS, _PSI, _QUANTILES, prediction_reference
+from clipward.plans.drift_queries import (
+    _POINTS,
+    _PSI,
+    _QUANTILES,
+    _ROLLING,
+    _ROLLING_KS,
+    prediction_reference,
+)
 from clipward.plans.registry import r6, register, rounded
 from clipward.plans.sql_views import query
 from clipward.session import scratch_path
