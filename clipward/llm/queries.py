@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipward.llm import bpe, chat, token_counts, topk
+from clipward.llm import bpe, chat, token_counts, topk, window_dedup
 from clipward.llm.frames import sha256_hex, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,44 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_WINDOWS = """
+WITH split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
+                             lambda w: w <> '') AS w
+  FROM documents),
+windows AS (
+  SELECT doc_id, i, array_to_string(w[i : i + 12], ' ') AS said
+  FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM split)),
+earliest AS (SELECT said, min(doc_id) AS least FROM windows GROUP BY said),
+hits AS (
+  SELECT doc_id, i FROM windows JOIN earliest USING (said) WHERE least < doc_id),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS i FROM hits),
+kept AS (
+  SELECT s.doc_id, s.i, s.word, g.i IS NOT NULL AS removed
+  FROM (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS i FROM split) s
+  LEFT JOIN gone g ON g.doc_id = s.doc_id AND g.i = s.i),
+summed AS (
+  SELECT doc_id, count(*) FILTER (removed) AS n_removed,
+         string_agg(word, ' ' ORDER BY i) FILTER (NOT removed) AS said
+  FROM kept GROUP BY doc_id)
+SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, coalesce(n_removed, 0) AS n_removed,
+       sha256(coalesce(said, '')) AS kept_sha256
+FROM split LEFT JOIN summed USING (doc_id)"""
+
+
+@register(_WINDOWS)
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words left after removing 13-word windows that start in an earlier document."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = window_dedup.remove_repeats(docs, single_spaces=True)
+    return kept.select(
+        "doc_id",
+        "n_words",
+        "n_removed",
+        sha256_hex(F.coalesce("text", F.lit(""))).alias("kept_sha256"),
+    )
+
+
 _CONVERSATIONS = """
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
