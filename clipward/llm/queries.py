@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipward.llm import bpe, chat, token_counts, topk, window_dedup
+from clipward.llm import bpe, chat, suffix_dedup, token_counts, topk, window_dedup
 from clipward.llm.frames import sha256_hex, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -49,6 +49,15 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register()
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Bytes left after removing every repeated string of 400 bytes."""
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix_dedup.remove_repeats(docs).select(
+        "doc_id", "n_bytes", "n_removed", "n_spans", sha256_hex("kept").alias("kept_sha256")
+    )
+
+
 _WINDOWS = """
 WITH split AS (
   SELECT doc_id, list_filter(regexp_split_to_array(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'),
