@@ -159,7 +159,7 @@ class _Contexts:
         return at, lo, hi, gram[at - a], context
 
 
-def _contexts_seen(packed: Units, text: str) -> DataFrame:
+def _contexts_seen(packed: Units, text: str, hot: int) -> DataFrame:
     """Answers (anchor; context, flags) for anchors that occur more than once."""
     n_buckets = packed.n_buckets
 
@@ -192,7 +192,7 @@ def _contexts_seen(packed: Units, text: str) -> DataFrame:
         of = np.cumsum(new) - 1  # the context of each entry
         flags = np.where(several, _ALL, 0)[of]
         flags[first] |= np.where(sent[anchor], _SHIP, 0)
-        flags |= np.where(n_contexts > HOT, _HOT, 0)[anchor][of]
+        flags |= np.where(n_contexts > hot, _HOT, 0)[anchor][of]
         answered = (several | (n_contexts > 1)[anchor])[of] & ((flags & (_SHIP | _ALL)) > 0)
         kept, out = np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
         kept[order], out[order] = answered, flags
@@ -406,7 +406,9 @@ def _gone(held: _Contexts, seen: list[dict], found: list[dict]) -> np.ndarray:
     return np.cumsum(change[:-1]) > 0
 
 
-def remove_repeats(docs: DataFrame, text: str = "text", kept: str = "kept") -> DataFrame:
+def remove_repeats(
+    docs: DataFrame, text: str = "text", kept: str = "kept", hot: int = HOT
+) -> DataFrame:
     """``docs`` with ``kept`` binary, ``n_bytes``, ``n_removed`` and ``n_spans``.
 
     ``text`` becomes the kept bytes as text.
@@ -415,7 +417,7 @@ def remove_repeats(docs: DataFrame, text: str = "text", kept: str = "kept") -> D
     rows = docs.drop(kept, *counts).withColumn(text, docs[text].cast("string"))
     packed = units.pack(rows, text)
     n_blocks = 1 << max(6, (packed.n_bytes // BLOCK_BYTES).bit_length())
-    seen = _contexts_seen(packed, text)
+    seen = _contexts_seen(packed, text, hot)
     found = _repeated(_sent(packed, seen, text, n_blocks))
 
     def make(unit, rows, seen_here, found_here) -> Iterator[pa.RecordBatch]:
