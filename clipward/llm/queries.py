@@ -8,7 +8,15 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clipward.llm import bpe, chat, suffix_dedup, token_counts, topk, window_dedup
+from clipward.llm import (
+    bpe,
+    chat,
+    decontaminate,
+    suffix_dedup,
+    token_counts,
+    topk,
+    window_dedup,
+)
 from clipward.llm.frames import sha256_hex, table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -96,6 +104,15 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register()
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents that hold a copy of a test item, with the item and the alignment score."""
+    found = decontaminate.find_copies(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select("doc_id", "item_id", F.round("score", 6).alias("score"), "points", "word_end")
+
+
 _CONVERSATIONS = """
 WITH turns AS (
   SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
