@@ -15,6 +15,7 @@ from clipward.llm import (
     suffix_dedup,
     token_counts,
     topk,
+    weighted_minhash,
     window_dedup,
 )
 from clipward.llm.frames import sha256_hex, table
@@ -104,6 +105,12 @@ def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register()
+def op6_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with the name of its near-duplicate class."""
+    return weighted_minhash.classes(table(spark, sf_dir, "documents"))
+
+
 @register()
 def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents that hold a copy of a test item, with the item and the alignment score."""

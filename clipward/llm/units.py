@@ -25,6 +25,7 @@ from pyspark.sql import types as T
 from clipward.session import scratch_path
 
 UNIT_BYTES = 2 << 20
+UNIT_ROWS = 1 << 20
 BUCKET_TEXT = 8 << 20  # text bytes whose keys fall into one bucket, about
 
 ENTRY = T.StructType(
@@ -91,27 +92,25 @@ class Units:
 
 def pack(df: DataFrame, text: str, unit_bytes: int = UNIT_BYTES) -> Units:
     """Store the rows of ``df`` in units of whole rows of about ``unit_bytes`` of text each."""
-    spark = df.sparkSession
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         task, made = TaskContext.get().partitionId(), 0
         held: list[pa.RecordBatch] = []
-        held_bytes = 0
+        held_bytes = held_rows = 0
 
         def unit() -> pa.RecordBatch:
-            nonlocal made, held_bytes
+            nonlocal made, held_bytes, held_rows
             table = pa.Table.from_batches(held).combine_chunks()
             payload = pack_rows(table.to_batches()[0])
             out = pa.RecordBatch.from_arrays(
                 [
-                    pa.array([(task << 32) + made], pa.int64()),
+                    pa.array([(task << 20) + made], pa.int64()),
                     pa.array([held_bytes], pa.int64()),
                     pa.array([payload], pa.binary()),
                 ],
                 ["unit", "n_bytes", "payload"],
             )
             held.clear()
-            made, held_bytes = made + 1, 0
+            made, held_bytes, held_rows = made + 1, 0, 0
             return out
 
         for batch in batches:
@@ -119,8 +118,8 @@ def pack(df: DataFrame, text: str, unit_bytes: int = UNIT_BYTES) -> Units:
             sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(False)
             at = 0
             for i, size in enumerate(sizes.tolist()):
-                held_bytes += size
-                if held_bytes >= unit_bytes:
+                held_bytes, held_rows = held_bytes + size, held_rows + 1
+                if held_bytes >= unit_bytes or held_rows >= UNIT_ROWS:
                     held.append(batch.slice(at, i + 1 - at))
                     at = i + 1
                     yield unit()
@@ -129,19 +128,26 @@ def pack(df: DataFrame, text: str, unit_bytes: int = UNIT_BYTES) -> Units:
         if held:
             yield unit()
 
-    path, name = scratch_path(spark, "units"), f"units_{uuid.uuid4().hex}"
     made = df.mapInArrow(run, "unit long, n_bytes long, payload binary")
+    frame = by_unit(made, "units")
+    n_bytes = frame.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
+    return Units(frame.select("unit", "payload"), df.schema, n_bytes)
+
+
+def by_unit(df: DataFrame, label: str) -> DataFrame:
+    """Store ``df`` bucketed by unit: joins on unit then shuffle only the other side."""
+    spark = df.sparkSession
+    path, name = scratch_path(spark, label), f"{label}_{uuid.uuid4().hex}"
     partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
     (
-        made.write.option("path", path)
+        df.write.option("path", path)
         .option("compression", "none")
         .bucketBy(partitions, "unit")
         .saveAsTable(name)
     )
     frame = spark.table(name)
-    n_bytes = frame.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
     spark.sql(f"DROP TABLE {name}")  # the files stay, and so does the plan that reads them
-    return Units(frame.select("unit", "payload"), df.schema, n_bytes)
+    return frame
 
 
 def each_unit(
