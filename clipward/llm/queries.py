@@ -12,6 +12,7 @@ from clipward.llm import (
     bpe,
     chat,
     decontaminate,
+    language,
     suffix_dedup,
     token_counts,
     topk,
@@ -58,6 +59,18 @@ def op1_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register()
+def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language and posterior of every document; ``rejected`` marks those without a language."""
+    found = language.identify(table(spark, sf_dir, "documents"))
+    return found.select(
+        "doc_id",
+        "language",
+        F.round("confidence", 6).alias("confidence"),
+        (F.col("language") == language.UNKNOWN).alias("rejected"),
+    )
+
+
 @register()
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes left after removing every repeated string of 400 bytes."""
