@@ -12,6 +12,7 @@ from clipward.llm import (
     bpe,
     chat,
     decontaminate,
+    html_wrappers,
     language,
     suffix_dedup,
     token_counts,
@@ -71,6 +72,15 @@ def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register()
+def op3_html_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return html_wrappers.extract(pages).select(
+        "page_id", "url", "text", F.char_length("text").cast("long").alias("n_chars")
+    )
+
+
 @register()
 def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bytes left after removing every repeated string of 400 bytes."""
