@@ -4,8 +4,8 @@ A page is a token stream of tags and texts. Streams of one host are aligned one
 wrapper, a regular expression without alternatives: nested sequences whose members are required,
 optional or repeated, with text slots. A tag that only one side has becomes optional; a tag that
 comes again right after itself becomes repeated; tags that come in changing order become one
-repeated group of optional members. A slot that held the same text on every page is fixed, any other is
-open. The result never depends on one page alone, and merging is a fold: tasks merge the pages they
+repeated group of optional members. A slot that held the same text on all of several pages is fixed,
+any other is open. The result never depends on one page alone, and merging is a fold: tasks merge the pages they
 read, then salted groups merge the tasks' wrappers, then hosts merge those.
 
 The wrapper chooses the region: article elements, else main, else an element named as content, else
@@ -210,20 +210,32 @@ def parse(page: str) -> list:
 # ---------------------------------------------------------------- wrappers
 
 # A wrapper is [label, fixed, items]; an item is [quantifier, members], more than one member being a
-# repeated group of optional members. ``fixed`` is a slot's only text so far, as a hash, or null.
+# repeated group of optional members. A slot is [#, fixed, [], pages]: ``fixed`` is its only text so far, as
+# a hash, or null, ``pages`` the number of pages that have it.
 
 
-def own_wrapper(node: list) -> list:
+def own_wrapper(page: list) -> list:
     """The wrapper of one page's token stream."""
+    wrapper = _own(page)
+    todo = [wrapper]
+    while todo:
+        node = todo.pop()
+        if node[0] == TEXT:
+            node[3] = 1
+        todo += [m for _, ms in node[2] for m in ms]
+    return wrapper
+
+
+def _own(node: list) -> list:
     items: list = []
     for member in node[1]:
         if isinstance(member, str):
             said = " ".join(references.unescape(member).split())
             if not said:
                 continue
-            inner = [TEXT, xxhash.xxh64_intdigest(said), []]
+            inner = [TEXT, xxhash.xxh64_intdigest(said), [], 1]
         else:
-            inner = own_wrapper(member)
+            inner = _own(member)
         _follow(items, inner)
     return [node[0], None, items]
 
@@ -265,7 +277,7 @@ def _follow(items: list, new: list) -> None:
 def merge(a: list, b: list) -> list:
     """The wrapper that both wrappers' pages match."""
     if a[0] == TEXT:
-        return [TEXT, a[1] if a[1] == b[1] else None, []]
+        return [TEXT, a[1] if a[1] == b[1] else None, [], a[3] + b[3]]
     items = [[q, list(ms)] for q, ms in a[2]]
     met: set[int] = set()  # identities of items that b has too
     last = -1
@@ -348,7 +360,7 @@ def _text(root: list, wrapper: list, region: str | None) -> str:
         article = article or kind in ("article", "main")
         members = {m[0]: m for _, ms in schema[2] for m in ms} if schema else {}
         slot = members.get(TEXT)
-        fixed = region is None and slot is not None and slot[1] is not None
+        fixed = region is None and slot is not None and slot[1] is not None and slot[3] > 1
         for member in node[1]:
             if isinstance(member, str):
                 if inside and not (fixed and member.strip() and _same(member, slot[1])):
@@ -438,7 +450,7 @@ def extract(
             bodies = batch.column(batch.schema.get_field_index(html))
             schemas = batch.column(batch.schema.get_field_index("__wrapper"))
             said = [
-                main_text(str(page.as_py()), _load(schema.as_py())) if schema.is_valid else ""
+                main_text(page.as_py() or "", _load(schema.as_py())) if schema.is_valid else ""
                 for page, schema in zip(bodies, schemas)
             ]
             kept = [batch.column(batch.schema.get_field_index(f.name)) for f in fields]
