@@ -2,10 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Sequence
+from collections.abc import Sequence
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -41,8 +39,7 @@ def points_below(value: Column, points: Sequence[float], *, inclusive: bool) ->
     return search(0, len(points))
 
 
-# A comparison tree beyond this size compiles to a method the JVM no longer optimises; the
-# measured cost per value then is several times that of an Arrow batch.
+# A comparison tree beyond this size compiles to a method the JVM no longer optimises.
 _TREE_POINTS = 24
 
 
@@ -50,11 +47,12 @@ def cell_index(value: Column, points: Sequence[float]) -> Column:
     """Position of ``value`` among ascending distinct points; null stays null.
 
     Even cell 2i is the open gap after i points; odd cell 2i+1 is the point i itself. Few
-    points are compared in a compiled tree, many are searched in Arrow batches.
+    points are compared in a compiled tree, many by a binary search over a literal array;
+    both are column expressions and agree.
     """
     points = [float(p) for p in points]
     if len(points) > _TREE_POINTS:
-        return _search_batches(points)(value.cast("double"))
+        return F.when(value.isNotNull(), _binary_search(value.cast("double"), points))
 
     def search(low: int, high: int) -> Column:
         if low == high:
@@ -70,16 +68,20 @@ def cell_index(value: Column, points: Sequence[float]) -> Column:
     return F.when(value.isNotNull(), search(0, len(points)))
 
 
-def _search_batches(points: Sequence[float]) -> Callable[[Column], Column]:
-    grid = np.asarray(points)
+def _binary_search(value: Column, points: Sequence[float]) -> Column:
+    """The cell by halving steps: the accumulator is the number of points below the value."""
+    grid, n = F.lit(list(points)), len(points)
+    steps = F.lit([1 << i for i in reversed(range(n.bit_length()))])
 
-    @F.arrow_udf("int")
-    def search(values: pa.Array) -> pa.Array:
-        x = values.to_numpy(zero_copy_only=False)
-        cells = np.searchsorted(grid, x, "left") + np.searchsorted(grid, x, "right")
-        return pa.array(cells.astype(np.int32), mask=values.is_null().to_numpy(zero_copy_only=False))
+    def forward(below: Column, step: Column) -> Column:
+        passed = F.try_element_at(grid, below + step) < value
+        return F.when((below + step <= n) & passed, below + step).otherwise(below)
 
-    return search
+    below = F.aggregate(steps, F.lit(0), forward)
+    return F.transform(
+        F.array(below),
+        lambda b: 2 * b + F.when(F.try_element_at(grid, b + 1) == value, 1).otherwise(0),
+    )[0]
 
 
 def bin_index(value: Column, edges: Sequence[float]) -> Column:

@@ -8,17 +8,14 @@ eight columns at a time. With up to eight columns nothing is expanded.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator, Mapping, Sequence
+from collections.abc import Callable, Mapping, Sequence
 
-import numpy as np
-import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clipward.functions.columns import cell_index, is_finite
 
 WIDTH = 8
-_TREE_TOTAL = 32
 
 
 def aggregate_columns(
@@ -79,44 +76,13 @@ def aggregate_columns(
 
 
 def cell_counts(df: DataFrame, points: Mapping[str, Sequence[float]]) -> DataFrame:
-    """(position, cell, n): finite values of each column counted per cell of its points.
-
-    A few points in all are located by compiled comparisons. More would exceed the size of a
-    method the JVM optimises, so Arrow batches are then located with numpy, which hands
-    back one short row per (column, cell); both ways feed the same aggregate.
-    """
-    names = list(points)
-    if sum(len(points[c]) for c in names) <= _TREE_TOTAL:
-        cells = [
-            F.struct(
-                F.lit(i).alias("position"),
-                F.when(
-                    is_finite(F.col(c)), cell_index(F.col(c).cast("double"), points[c])
-                ).alias("cell"),
-            )
-            for i, c in enumerate(names)
-        ]
-        found = df.select(F.inline(F.array(*cells))).where(F.col("cell").isNotNull())
-        return found.groupBy("position", "cell").agg(F.count(F.lit(1)).alias("n"))
-    arrays = [np.asarray(points[c], dtype=float) for c in names]
-
-    def locate(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            position, cell, n = [], [], []
-            for i, grid in enumerate(arrays):
-                x = batch.column(i).to_numpy(zero_copy_only=False)
-                x = x[np.isfinite(x)]
-                index = np.searchsorted(grid, x, "left") + np.searchsorted(grid, x, "right")
-                counts = np.bincount(index)
-                used = np.flatnonzero(counts)
-                position.append(np.full(len(used), i, dtype=np.int32))
-                cell.append(used.astype(np.int32))
-                n.append(counts[used].astype(np.int64))
-            columns = [np.concatenate(part) for part in (position, cell, n)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c) for c in columns], names=["position", "cell", "n"]
-            )
-
-    narrow = df.select(*[F.col(c).cast("double").alias(c) for c in names])
-    parts = narrow.mapInArrow(locate, "position int, cell int, n long")
-    return parts.groupBy("position", "cell").agg(F.sum("n").alias("n"))
+    """(position, cell, n): finite values of each column counted per cell of its points."""
+    cells = [
+        F.struct(
+            F.lit(i).alias("position"),
+            F.when(is_finite(F.col(c)), cell_index(F.col(c).cast("double"), points[c])).alias("cell"),
+        )
+        for i, c in enumerate(points)
+    ]
+    found = df.select(F.inline(F.array(*cells))).where(F.col("cell").isNotNull())
+    return found.groupBy("position", "cell").agg(F.count(F.lit(1)).alias("n"))

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from clipward import constants as K
 from clipward.functions.columns import is_finite
-from clipward.operators.ordering import running_totals
+from clipward.operators.ordering import join_on, running_totals
 
 
 def confusion_counts(
@@ -139,7 +139,7 @@ def fold_metrics(
     """All eight metrics per test fold (and per ``extra`` key)."""
     group = [*extra, fold]
     basic = classification_metrics(confusion_counts(scored, group=group), group)
-    return basic.join(roc_auc_ovr(scored, n_classes, group=group), group)
+    return join_on(basic, roc_auc_ovr(scored, n_classes, group=group), group)
 
 
 def fold_aggregate(

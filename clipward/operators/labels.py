@@ -6,7 +6,7 @@ them while their measured size allows it and shuffles them otherwise.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from clipward.session import stable
@@ -19,11 +19,11 @@ def class_counts(df: DataFrame, label: str = "class") -> DataFrame:
 
 
 def label_map(df: DataFrame, label: str = "class") -> DataFrame:
-    """(class, class_id): sorted distinct labels numbered from zero.
+    """(class, class_id): sorted distinct labels numbered from zero; null is not a label.
 
     The window runs over distinct labels only, one row per class.
     """
-    classes = df.select(F.col(label).cast("string").alias(label)).distinct()
+    classes = df.select(F.col(label).cast("string").alias(label)).distinct().dropna()
     return classes.select(
         label, (F.row_number().over(Window.orderBy(label)) - 1).cast("int").alias("class_id")
     )
@@ -41,7 +41,7 @@ def encode_labels(
     joined = df.join(mapping, label, "left")
     if not strict:
         return joined
-    unseen = F.raise_error(F.concat(F.lit("unseen label: "), F.col(label))).cast("int")
+    unseen = F.raise_error(F.concat(F.lit("unseen label: "), F.coalesce(F.col(label).cast("string"), F.lit("null")))).cast("int")
     return joined.withColumn("class_id", F.coalesce(F.col("class_id"), unseen))
 
 
@@ -61,15 +61,29 @@ def class_weights(df: DataFrame, mapping: DataFrame, label: str = "class") -> Da
 
 
 def with_sample_weights(encoded: DataFrame, weights: DataFrame) -> DataFrame:
-    return encoded.join(weights.select("class_id", "weight"), "class_id")
+    """Adds ``weight``; a row whose class id is null or has no weight is an error."""
+    joined = encoded.join(weights.select("class_id", "weight"), "class_id", "left")
+    return joined.withColumn("weight", F.coalesce("weight", _no_class("class_id").cast("double")))
+
+
+def _no_class(column: str) -> Column:
+    shown = F.coalesce(F.col(column).cast("string"), F.lit("null"))
+    return F.raise_error(F.concat(F.lit("no class for id: "), shown))
 
 
 def decode_ids(
     df: DataFrame, mapping: DataFrame, id_column: str, size: str, name: str = "class"
 ) -> DataFrame:
-    """Class id to label, for ids inside the probability vector of the row."""
+    """Class id to label, for ids inside the probability vector of the row.
+
+    An id without a class is an error, a null id has a null label.
+    """
     known = mapping.select(F.col("class_id").alias(id_column), F.col(name))
-    return df.where(F.col(id_column) < F.col(size)).join(known, id_column)
+    inside = df.where((F.col(id_column) < F.col(size)) | F.col(id_column).isNull())
+    label = F.when(F.col(id_column).isNull(), F.lit(None)).otherwise(
+        F.coalesce(name, _no_class(id_column).cast("string"))
+    )
+    return inside.join(known, id_column, "left").withColumn(name, label)
 
 
 def match_expected(predictions: DataFrame, expected: DataFrame, key: str) -> DataFrame:

@@ -1,9 +1,13 @@
 """Global order without a global window: row numbers, running totals, exact quantiles.
 
-Rows are range-partitioned on the sort key, so a key value range of any weight is
-spread over many tasks. Each partition works on its own rows, and one small table of
-(group, partition) totals turns local results into global ones. No task ever
-holds a whole group.
+Rows are dealt by ranges of the sort key, so a group of any weight is spread over many
+tasks. Each range works on its own rows, and one small table of (group, range) totals
+turns local results into global ones. No task ever holds a whole group. A null group is
+a group of its own.
+
+Running totals take their ranges from a few bounds of the value itself, so a row's range
+is a function of the row and nothing has to be stored; the bounds steer balance only, never
+the result. Row numbers, whose order can be any columns, store a range-partitioned table.
 """
 
 from __future__ import annotations
@@ -13,12 +17,15 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from clipward.functions.columns import points_below
 from clipward.session import stable
 
 _SLOT = "__slot"
 _PART = "__part"
 # monotonically_increasing_id keeps the partition in the upper bits, the row below.
 _ROW_BITS = 33
+# Ranges of one running total; the comparison tree over their bounds stays compiled.
+_RANGES = 24
 
 
 def _ranged(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -28,25 +35,13 @@ def _ranged(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     )
 
 
-def _before(totals: DataFrame, group: Sequence[str], columns: Sequence[str]) -> DataFrame:
-    """Exclusive running sums over the partitions of each group (one row per pair)."""
-    earlier = (
-        Window.partitionBy(*group).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
-    )
-    return totals.select(
-        *group,
-        _PART,
-        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"__before_{c}") for c in columns],
-    )
-
-
-def _apply_offsets(ranged: DataFrame, offsets: DataFrame, group: Sequence[str]) -> DataFrame:
-    keys = [*group, _PART]
-    renamed = offsets.withColumnsRenamed({name: f"__of_{name}" for name in keys})
+def join_on(left: DataFrame, right: DataFrame, keys: Sequence[str], how: str = "inner") -> DataFrame:
+    """Join on equal keys, null being equal to null."""
+    renamed = right.withColumnsRenamed({name: f"__of_{name}" for name in keys})
     same = F.lit(True)
     for name in keys:
         same = same & F.col(name).eqNullSafe(F.col(f"__of_{name}"))
-    return ranged.join(renamed, same, "left").drop(*[f"__of_{name}" for name in keys])
+    return left.join(renamed, same, how).drop(*[f"__of_{name}" for name in keys])
 
 
 def number_rows(
@@ -58,37 +53,59 @@ def number_rows(
     group = list(group) or ["__all"]
     ranged = _ranged(keyed, [*group, *order])
     totals = ranged.groupBy(*group, _PART).agg(
-        F.count(F.lit(1)).alias("rows"), F.min(_SLOT).alias("__first")
+        F.count(F.lit(1)).alias("__rows"), F.min(_SLOT).alias("__first")
     )
-    offsets = _before(totals, group, ["rows"]).join(
-        totals.select(*group, _PART, "__first"), [*group, _PART]
+    # One row per (group, partition).
+    earlier = Window.partitionBy(*group).orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    offsets = totals.select(
+        *group,
+        _PART,
+        (F.coalesce(F.sum("__rows").over(earlier), F.lit(0)) - F.col("__first") + 1).alias("__shift"),
     )
-    out = _apply_offsets(ranged, offsets, group).withColumn(
-        name, F.col("__before_rows") + F.col(_SLOT) - F.col("__first") + 1
+    out = join_on(ranged, offsets, [*group, _PART]).withColumn(
+        name, F.col("__shift") + F.col(_SLOT)
     )
     return out.select(*df.columns, name)
 
 
+def _range_of(df: DataFrame, column: str) -> Column:
+    """Number of the value range a row falls into; nulls come first, as they sort."""
+    n = min(_RANGES, int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    shares = [i / n for i in range(1, n)]
+    value = F.col(column).cast("double")
+    bounds = df.agg(F.percentile_approx(value, shares, 1000)).first()[0] if shares else []
+    return points_below(value, sorted(set(bounds or [])), inclusive=True)
+
+
 def running_totals(
     df: DataFrame, order: Sequence[str], sums: Sequence[str], group: Sequence[str] = ()
 ) -> DataFrame:
-    """Adds ``cum_<c>`` for every c: the sum over all rows up to and including this one.
+    """Adds ``cum_<c>``, the sum over all rows up to and including this one, and ``total_<c>``.
 
-    ``order`` must be unique within a group; pre-aggregate first, which also folds any
-    heavily repeated value into one row.
+    ``order`` begins with a numeric column and must be unique within a group; pre-aggregate
+    first, which also folds any heavily repeated value into one row.
     """
     keyed = df if group else df.withColumn("__all", F.lit(0))
     group = list(group) or ["__all"]
-    ranged = _ranged(keyed, [*group, *order])
-    totals = ranged.groupBy(*group, _PART).agg(*[F.sum(c).alias(c) for c in sums])
-    offsets = _before(totals, group, sums)
-    local = Window.partitionBy(*group, _PART).orderBy(_SLOT).rowsBetween(
+    dealt = keyed.withColumn(_PART, _range_of(df, order[0]))
+    totals = dealt.groupBy(*group, _PART).agg(*[F.sum(c).alias(c) for c in sums])
+    whole = Window.partitionBy(*group)
+    earlier = whole.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
+    # At most one row per (group, range).
+    offsets = totals.select(
+        *group,
+        _PART,
+        *[F.coalesce(F.sum(c).over(earlier), F.lit(0)).alias(f"__before_{c}") for c in sums],
+        *[F.sum(c).over(whole).alias(f"total_{c}") for c in sums],
+    )
+    local = Window.partitionBy(*group, _PART).orderBy(*order).rowsBetween(
         Window.unboundedPreceding, 0
     )
-    out = _apply_offsets(ranged, offsets, group)
-    return out.select(
+    within = dealt.withColumns({f"__within_{c}": F.sum(c).over(local) for c in sums})
+    return join_on(within, offsets, [*group, _PART]).select(
         *df.columns,
-        *[(F.col(f"__before_{c}") + F.sum(c).over(local)).alias(f"cum_{c}") for c in sums],
+        *[(F.col(f"__before_{c}") + F.col(f"__within_{c}")).alias(f"cum_{c}") for c in sums],
+        *[f"total_{c}" for c in sums],
     )
 
 
@@ -103,16 +120,13 @@ def exact_quantiles(
     """
     if n_quantiles < 2:
         raise ValueError("at least two quantiles are needed")
-    keyed = df if group else df.withColumn("__all", F.lit(0))
-    group_in = list(group)
-    group = group_in or ["__all"]
+    group = list(group)
     counted = (
-        keyed.where(F.col(value).isNotNull())
+        df.where(F.col(value).isNotNull())
         .groupBy(*group, F.col(value).cast("double").alias("v"))
         .agg(F.count(F.lit(1)).alias("n"))
     )
-    ranked = running_totals(counted, ["v"], ["n"], group)
-    sizes = ranked.groupBy(*group).agg(F.max("cum_n").alias("size"))
+    ranked = running_totals(counted, ["v"], ["n"], group).withColumnRenamed("total_n", "size")
     steps = n_quantiles - 1
 
     def covered(first: Column, last: Column) -> Column:
@@ -131,8 +145,7 @@ def exact_quantiles(
         return F.transform(indexes, lambda i: F.struct(i.alias("q"), F.lit(upper).alias("up")))
 
     first, last = F.col("cum_n") - F.col("n"), F.col("cum_n") - 1
-    sized = ranked.join(sizes, group)
-    hits = sized.select(
+    hits = ranked.select(
         *group,
         "v",
         "size",
@@ -152,7 +165,7 @@ def exact_quantiles(
         )
         .where(F.col("low").isNotNull())
         .select(
-            *group_in,
+            *group,
             F.col("q_index").cast("int").alias("q_index"),
             (
                 F.col("low") + F.coalesce(F.col("high") - F.col("low"), F.lit(0.0)) * fraction

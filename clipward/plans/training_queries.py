@@ -199,6 +199,18 @@ def winner_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams over the prediction log -------------------------------------------------
 
 
+def _by_days(log: DataFrame, parts: int) -> list[DataFrame]:
+    """The log in consecutive runs of whole days."""
+    day = F.to_date("ts")
+    days = [r[0] for r in log.select(day.alias("d")).distinct().orderBy("d").collect()]
+    width = max(1, -(-len(days) // parts))
+    firsts = days[::width]
+    return [
+        log.where((day >= a) if b is None else (day >= a) & (day < b))
+        for a, b in zip(firsts, [*firsts[1:], None])
+    ]
+
+
 @register(
     "t5_streaming_monitor",
     query(
@@ -208,23 +220,19 @@ def winner_model(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def streaming_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The log arrives in five time-ordered files, one per micro-batch; equals the batch monitor."""
+    """The log arrives in five runs of days, a restarted micro-batch each; equals the batch monitor."""
     log = V.pred_ok(spark, sf_dir).select("model_name", "ts", "event_id", "label", "confidence")
-    path = scratch_path(spark, "arrivals")
-    day = F.dayofmonth("ts")
-    for first in range(1, 31, 6):
-        log.where(day.between(first, first + 5)).coalesce(1).write.mode("append").parquet(path)
-    arriving = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    output = scratch_path(spark, "snapshots")
-    jobs.run_to_end(
-        lambda: jobs.monitor_stream(
-            arriving,
-            prediction_reference(spark, sf_dir),
-            output=output,
-            state=scratch_path(spark, "tail"),
-            checkpoint=scratch_path(spark, "cp"),
+    path, output = scratch_path(spark, "arrivals"), scratch_path(spark, "snapshots")
+    state, checkpoint = scratch_path(spark, "tail"), scratch_path(spark, "cp")
+    reference = prediction_reference(spark, sf_dir)
+    for part in _by_days(log, 5):
+        part.write.mode("append").parquet(path)
+        arriving = spark.readStream.schema(log.schema).parquet(path)
+        jobs.run_to_end(
+            lambda arriving=arriving: jobs.monitor_stream(
+                arriving, reference, output=output, state=state, checkpoint=checkpoint
+            )
         )
-    )
     rows = spark.read.parquet(output)
     return rows.select(
         "model_name",
@@ -278,22 +286,24 @@ k AS (SELECT day, max(greatest(abs(f_at - le), abs(f_before - lt))) AS ks FROM k
         Q.PRED, _QUANTILES, _POINTS, _DAILY,
         f"""SELECT strftime(day, '%Y-%m-%d') AS day, {Q.r6("psi")} AS psi_class, {Q.r6("ks")} AS ks_confidence,
              CAST(t AS BIGINT) AS n_observations
-        FROM p JOIN k USING (day) JOIN tot USING (day)
-        WHERE day < (SELECT date_trunc('day', max(ts) - INTERVAL 10 MINUTE) FROM pred_ok)""",
+        FROM p JOIN k USING (day) JOIN tot USING (day)""",
     ),
 )
 def windowed_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Daily windows in append mode: a day appears once the watermark has passed its end."""
+    """Daily windows in append mode, completed by a batch over the windows still open."""
     reference = prediction_reference(spark, sf_dir)
     log = V.pred_ok(spark, sf_dir).select(F.col("ts").cast("timestamp").alias("ts"), "label", "confidence")
-    path = scratch_path(spark, "arrivals")
-    day = F.dayofmonth("ts")
-    for first in range(1, 31, 10):
-        log.where(day.between(first, first + 9)).coalesce(1).write.mode("append").parquet(path)
-    arriving = spark.readStream.schema(log.schema).option("maxFilesPerTrigger", 1).parquet(path)
-    counts = jobs.windowed_counts(arriving, reference, window="1 day")
-    output = scratch_path(spark, "windows")
-    jobs.run_to_end(lambda: jobs.append_stream(counts, output, scratch_path(spark, "cp")))
-    table = jobs.score_windows(spark.read.parquet(output), reference)
-    shown = table.withColumn("day", F.date_format("window_start", "yyyy-MM-dd")).drop("window_start")
-    return rounded(shown, "psi_class", "ks_confidence")
+    path, output = scratch_path(spark, "arrivals"), scratch_path(spark, "windows")
+    checkpoint = scratch_path(spark, "cp")
+    for part in _by_days(log, 3):
+        part.write.mode("append").parquet(path)
+        arriving = spark.readStream.schema(log.schema).parquet(path)
+        counts = jobs.windowed_counts(arriving, reference, window="1 day")
+        jobs.run_to_end(
+            lambda counts=counts: jobs.append_stream(counts, output, checkpoint)
+        )
+    closed = spark.read.schema("window_start timestamp, kind string, code int, n long").parquet(output)
+    every = jobs.windowed_counts(log, reference, window="1 day")
+    table = jobs.score_windows(closed.unionByName(jobs.open_windows(every, closed)), reference)
+    shown = table.withColumn("day", F.date_format("window_start", "yyyy-MM-dd"))
+    return rounded(shown.drop("window_start", "n_unknown_labels"), "psi_class", "ks_confidence")

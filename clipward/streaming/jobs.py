@@ -4,23 +4,30 @@ from __future__ import annotations
 
 from collections.abc import Callable, Sequence
 
+from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from clipward import constants as K
 from clipward import schemas as S
 from clipward.functions import columns as C
-from clipward.functions import distribution as D
 from clipward.operators import clip_jobs, drift, modeling
 from clipward.operators.monitor import rolling_monitor
 
 DEFAULT_DELAY = "10 minutes"
 
 
-def _existing(spark: SparkSession, path: str) -> bool:
-    target = spark._jvm.org.apache.hadoop.fs.Path(path)
-    return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
+def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
+    """The table at ``path``, or nothing if no such folder exists."""
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
 
 
 def monitor_stream(
@@ -47,15 +54,16 @@ def monitor_stream(
     def step(batch: DataFrame, batch_id: int) -> None:
         session = batch.sparkSession
         fresh = batch.select(*columns).withColumn("__turn", F.lit(int(batch_id)).cast("long"))
-        seen, before = fresh, f"{state}/turn={batch_id - 1}"
-        if batch_id > 0 and _existing(session, before):
-            seen = fresh.unionByName(session.read.parquet(before))
+        fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)  # snapshots and tail read it
+        before = _stored(session, f"{state}/turn={batch_id - 1}", fresh.schema)
+        seen = fresh if before is None else fresh.unionByName(before)
         snapshots = rolling_monitor(seen, reference, key=key, order=["__turn", *order], rows=rows)
         new = snapshots.where(F.col("__turn") == batch_id).drop("__turn")
         new.write.mode("overwrite").parquet(f"{output}/turn={batch_id}")
         last_rows(seen, key, ["__turn", *order], rows - 1).write.mode("overwrite").parquet(
             f"{state}/turn={batch_id}"
         )
+        fresh.unpersist()
 
     return (
         predictions.writeStream.foreachBatch(step)
@@ -97,15 +105,11 @@ def windowed_counts(
     The same expression serves streams and batches. In a stream, rows later than the
     watermark are dropped by the engine and counted in its progress metrics.
     """
-    names = F.lit(list(reference.class_names))
-    points, _ = D.reference_points(reference.confidence_quantiles)
-    label = F.coalesce(F.array_position(names, F.col("label")), F.lit(0)).cast("int") - 1
     codes = F.array(
-        F.struct(F.lit("label").alias("kind"), label.alias("code")),
-        F.struct(
-            F.lit("cell").alias("kind"),
-            C.cell_index(F.coalesce("confidence", F.lit(0.0)), points).cast("int").alias("code"),
-        ),
+        *[
+            F.struct(F.lit(kind).alias("kind"), code.cast("int").alias("code"))
+            for kind, code in drift.prediction_codes(reference).items()
+        ]
     )
     late = predictions.withWatermark(ts, delay) if predictions.isStreaming else predictions
     return (
@@ -117,26 +121,29 @@ def windowed_counts(
     )
 
 
+def open_windows(counts: DataFrame, closed: DataFrame) -> DataFrame:
+    """Rows of a batch of windowed counts whose window a stream has not emitted.
+
+    An append-mode stream keeps the windows that the watermark has not passed; this completes
+    its output once no more rows are expected. ``closed`` adds one row per emitted window.
+    """
+    return counts.join(closed.select("window_start").distinct(), "window_start", "left_anti")
+
+
 def score_windows(counts: DataFrame, reference: drift.Reference) -> DataFrame:
-    """(window_start, psi_class, ks_confidence, n_observations) from windowed counts."""
-    names = list(reference.class_names)
-    prior = [float(reference.class_prior.get(c, 0.0)) for c in names]
-    _, cdf = D.reference_points(reference.confidence_quantiles)
+    """(window_start, psi_class, ks_confidence, n_observations, n_unknown_labels) per window.
+
+    The measures are those of ``drift.score_predictions``.
+    """
     entry = lambda kind: F.map_from_entries(
         F.collect_list(F.when(F.col("kind") == kind, F.struct("code", "n")))
     )
+    kinds = list(drift.prediction_codes(reference))
     per_window = counts.groupBy("window_start").agg(
-        entry("label").alias("labels"),
-        entry("cell").alias("cells"),
-        F.sum(F.when(F.col("kind") == "label", F.col("n"))).alias("n_observations"),
-    )
-    shares = D.dense_counts(F.col("labels"), len(names))
-    return per_window.select(
-        "window_start",
-        D.psi_of_arrays(F.lit(prior), shares).alias("psi_class"),
-        D.ks_of_cells(F.lit(cdf), D.dense_counts(F.col("cells"), len(cdf))).alias("ks_confidence"),
-        "n_observations",
+        *[entry(kind).alias(kind) for kind in kinds],
+        F.sum(F.when(F.col("kind") == "labels", F.col("n"))).alias("n_rows"),
     )
+    return per_window.select("window_start", *drift.scores_of_counts(reference))
 
 
 def append_stream(df: DataFrame, output: str, checkpoint: str) -> StreamingQuery:
