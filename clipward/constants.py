@@ -79,3 +79,30 @@ FOLD_METRICS = (
     "f1_weighted",
     "roc_auc_ovr",
 )
+
+# Search ranges per model, how to draw and (low, high) or the choices.
+SEARCH_SPACE: dict[str, dict[str, tuple]] = {
+    "forest": {
+        "trees": ("step", 100, 400, 50),
+        "depth": ("int", 4, 24),
+        "leaf_rows": ("int", 1, 8),
+        "feature_subset": ("choice", "sqrt", "log2", "0.5"),
+    },
+    "boosted_depth": {
+        "trees": ("step", 100, 400, 50),
+        "depth": ("int", 3, 12),
+        "rate": ("log", 0.01, 0.3),
+        "row_share": ("real", 0.6, 1.0),
+        "column_share": ("real", 0.6, 1.0),
+        "leaf_rows": ("int", 1, 10),
+    },
+    "boosted_leaf": {
+        "trees": ("step", 100, 400, 50),
+        "depth": ("int", 3, 12),
+        "rate": ("log", 0.01, 0.3),
+        "row_share": ("real", 0.6, 1.0),
+        "column_share": ("real", 0.6, 1.0),
+        "leaf_rows": ("int", 5, 50),
+    },
+    "network": {"hidden": ("step", 16, 64, 16), "step": ("log", 1e-3, 0.3)},
+}

@@ -17,7 +17,7 @@ from pyspark.sql import types as T
 from clipward import constants as K
 from clipward import schemas as S
 from clipward.functions import columns as C
-from clipward.functions import signal
+from clipward.functions import series, signal
 from clipward.functions.frames import object_frame
 
 # Rows handed back at once: 64 matrices of 128 x 126 floats are 4 MiB.
@@ -201,19 +201,8 @@ def map_signal(
 
 def three_channel_table(mels: DataFrame) -> DataFrame:
     """Adds ``channels``: the matrix and its two time derivatives, flattened."""
-    schema = T.StructType(
-        [*mels.schema.fields, T.StructField("channels", T.ArrayType(T.FloatType(), False))]
-    )
-
-    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for chunk in _chunks(batches):
-            stacked = [
-                signal.three_channels(np.asarray(m, dtype=np.float32).reshape(h, w)).ravel()
-                for m, h, w in zip(chunk["mel"], chunk["mel_height"], chunk["mel_width"], strict=True)
-            ]
-            yield chunk.assign(channels=stacked)
-
-    return mels.mapInPandas(run, schema)
+    channels = series.three_channels(F.col("mel"), F.col("mel_height"), F.col("mel_width"))
+    return mels.withColumn("channels", channels)
 
 
 def decode_report(clips: DataFrame, keep: Sequence[str] = ()) -> DataFrame:

@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from clipward import constants as K
 from clipward.operators import evaluation, labels, scaling, splits
+from clipward.session import stable
 
 TABULAR_MODELS = ("forest", "boosted_depth", "boosted_leaf")
 MATRIX_MODELS = ("network",)
@@ -39,34 +40,6 @@ _LOADERS = {
     "network": MultilayerPerceptronClassificationModel,
 }
 
-# Search ranges per model: (low, high) and how to draw.
-SEARCH_SPACE: dict[str, dict[str, tuple]] = {
-    "forest": {
-        "trees": ("step", 100, 400, 50),
-        "depth": ("int", 4, 24),
-        "leaf_rows": ("int", 1, 8),
-        "feature_subset": ("choice", "sqrt", "log2", "0.5"),
-    },
-    "boosted_depth": {
-        "trees": ("step", 100, 400, 50),
-        "depth": ("int", 3, 12),
-        "rate": ("log", 0.01, 0.3),
-        "row_share": ("real", 0.6, 1.0),
-        "column_share": ("real", 0.6, 1.0),
-        "leaf_rows": ("int", 1, 10),
-    },
-    "boosted_leaf": {
-        "trees": ("step", 100, 400, 50),
-        "depth": ("int", 3, 12),
-        "rate": ("log", 0.01, 0.3),
-        "row_share": ("real", 0.6, 1.0),
-        "column_share": ("real", 0.6, 1.0),
-        "leaf_rows": ("int", 5, 50),
-    },
-    "network": {"hidden": ("step", 16, 64, 16), "step": ("log", 1e-3, 0.3)},
-}
-
-
 def suggest(
     model_name: str, number: int, seed: int = 42, limits: Mapping[str, float] | None = None
 ) -> dict[str, object]:
@@ -75,11 +48,11 @@ def suggest(
     ``limits`` lowers the upper end of a range, for instance when the cluster cannot hold
     trees of full depth; what is used is recorded with the trial.
     """
-    if model_name not in SEARCH_SPACE:
+    if model_name not in K.SEARCH_SPACE:
         raise ValueError(f"unknown model '{model_name}'")
     rng = random.Random(f"{seed}:{model_name}:{number}")
     drawn: dict[str, object] = {}
-    for name, (kind, *bounds) in SEARCH_SPACE[model_name].items():
+    for name, (kind, *bounds) in K.SEARCH_SPACE[model_name].items():
         if kind == "choice":
             drawn[name] = rng.choice(bounds)
             continue
@@ -159,15 +132,17 @@ def fit_array_scaler(df: DataFrame, column: str, size: int) -> DataFrame:
 def balanced(rows: DataFrame, key: str = "path") -> DataFrame:
     """Rows repeated in proportion to their weight, for learners without row weights.
 
-    The whole part of the weight is repeated and the rest is kept with that probability,
-    decided by a hash of the row key, so the result does not depend on partitioning.
+    Weights are divided by the least one, so every row occurs at least once and the rarest
+    class most often. The whole part is repeated and the rest adds a copy with that
+    probability, decided by a hash of the row key, so the result does not depend on
+    partitioning.
     """
-    scaled = F.col("weight") * 2
+    least = rows.agg(F.min("weight")).first()[0]
+    scaled = F.col("weight") / F.lit(least)
     draw = F.pmod(F.xxhash64(key), F.lit(1_000_000)) / 1_000_000.0
     times = (F.floor(scaled) + F.when(draw < scaled - F.floor(scaled), 1).otherwise(0)).cast("int")
-    return rows.withColumn("__times", times).where("__times > 0").withColumn(
-        "__copy", F.explode(F.sequence(F.lit(1), F.col("__times")))
-    ).drop("__times", "__copy")
+    copies = F.explode(F.sequence(F.lit(1), F.greatest(times, F.lit(1))))
+    return rows.withColumn("__copy", copies).drop("__copy")
 
 
 def with_probabilities(model: Model, rows: DataFrame, n_classes: int) -> DataFrame:
@@ -231,7 +206,7 @@ def fit(
 ) -> Fitted:
     """Fit scaler, weights and model on the given rows only."""
     n_classes = mapping.count()
-    scaler = fit_array_scaler(train, column, n_features).persist(StorageLevel.MEMORY_AND_DISK)
+    scaler = stable(fit_array_scaler(train, column, n_features), "scaler")
     rows = training_rows(train, mapping, scaler, column)
     if model_name in MATRIX_MODELS:
         rows = balanced(rows)
@@ -321,6 +296,7 @@ def cross_validate(
     if n_folds < 2:
         raise ValueError(f"n_folds must be at least 2, got {n_folds}")
     mapping = labels.stored_label_map(table)
+    table = stable(table, "rotation")  # every fold reads it three times
     folds = list(range(1, n_folds + 1))
 
     def one(k: int) -> DataFrame:

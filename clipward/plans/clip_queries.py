@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from clipward import constants as K
 from clipward import schemas as S
 from clipward.functions import columns as C
-from clipward.functions import signal
+from clipward.functions import series, signal
 from clipward.operators import clip_jobs, quality
 from clipward.plans import sql_views as Q
 from clipward.plans import views as V
@@ -305,12 +305,19 @@ slopes AS (SELECT x.vec_id, x.i, d FROM x JOIN slope s ON s.vec_id = x.vec_id
     ),
 )
 def delta(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def slopes(y: np.ndarray) -> list[float]:
-        d = signal.delta(y[None, :])[0]
-        return [d.mean(), d.std(), d[0]]
-
-    names = ["mean", "std", "first"]
-    return rounded(clip_jobs.map_signal(V.signal(spark, sf_dir), "y", ["vec_id"], slopes, names), *names)
+    rows = V.signal(spark, sf_dir).select("vec_id", series.slopes(F.col("y")).alias("d"))
+    means = rows.withColumn("mean", series.mean(F.col("d")))
+    return rounded(
+        means.select(
+            "vec_id",
+            "mean",
+            series.deviation(F.col("d"), F.col("mean")).alias("std"),
+            F.get("d", F.lit(0)).alias("first"),
+        ),
+        "mean",
+        "std",
+        "first",
+    )
 
 
 _DFT = """
@@ -364,12 +371,13 @@ def spectral_shape(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def zero_crossings(spark: SparkSession, sf_dir: str) -> DataFrame:
-    def rate(y: np.ndarray) -> list[float]:
-        track = signal.zero_crossing_rate(y, 64, 64)
-        return [track.mean(), track.std()]
-
-    names = ["zcr_mean", "zcr_std"]
-    return rounded(clip_jobs.map_signal(V.signal(spark, sf_dir), "y", ["vec_id"], rate, names), *names)
+    rates = series.zero_crossing_rates(F.col("y"), 64, 64)
+    rows = V.signal(spark, sf_dir).select("vec_id", rates.alias("track"))
+    means = rows.withColumn("zcr_mean", series.mean(F.col("track")))
+    deviation = series.deviation(F.col("track"), F.col("zcr_mean"))
+    return rounded(
+        means.select("vec_id", "zcr_mean", deviation.alias("zcr_std")), "zcr_mean", "zcr_std"
+    )
 
 
 @register(

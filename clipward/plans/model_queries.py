@@ -392,13 +392,12 @@ def scaler_fit(spark: SparkSession, sf_dir: str) -> DataFrame:
         Q.FEAT_LONG, _SCALER,
         f"""SELECT path, CAST(i AS INTEGER) AS position,
              {"round(CAST(CAST((x - mean) / scale AS FLOAT) AS DOUBLE), 5) + 0.0"} AS z
-        FROM f32 JOIN sc USING (i) WHERE fold = 10 AND NOT is_augmented""",
+        FROM f32 JOIN sc USING (i)""",
     ),
 )
 def scaler_apply(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Fitted on the training folds, applied to the evaluation fold."""
-    rows = splits.fold_set(V.feat(spark, sf_dir), [K.EVAL_FOLD], include_augmented=False)
-    matrix = scaling.feature_matrix(rows, V.FEATURES)
+    """Fitted on the training folds, applied to every row."""
+    matrix = scaling.feature_matrix(V.feat(spark, sf_dir), V.FEATURES)
     scaled = scaling.scale_matrix(matrix, _scaler(spark, sf_dir))
     return scaled.select("path", F.posexplode("features").alias("position", "z")).select(
         "path", "position", F.round(F.col("z").cast("double"), 5).alias("z")
@@ -429,11 +428,11 @@ def mel_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
         Q.FEAT_META, _CELLS,
         """SELECT vec_id, CAST(i AS INTEGER) AS cell,
              round(CAST(CAST((x - mean) / std AS FLOAT) AS DOUBLE), 5) + 0.0 AS z
-        FROM cells, st WHERE fold = 10""",
+        FROM cells, st""",
     ),
 )
 def mel_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = V.feat_mel(spark, sf_dir).where("fold = 10")
+    rows = V.feat_mel(spark, sf_dir)
     scaled = scaling.normalize_mels(rows, _mel_stats(spark, sf_dir))
     return scaled.select("vec_id", F.posexplode("mel").alias("cell", "z")).select(
         "vec_id", "cell", F.round(F.col("z").cast("double"), 5).alias("z")
