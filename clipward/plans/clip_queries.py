@@ -16,7 +16,7 @@ from clipward.plans import views as V
 from clipward.plans.clip_fixture import CLIPS_SQL, raw_clips
 from clipward.plans.registry import r6, register, rounded
 from clipward.plans.sql_views import query
-from clipward.session import scratch_path
+from clipward.session import scratch_path, stable
 from clipward.sources import tables
 
 
@@ -48,65 +48,93 @@ def originals(spark: SparkSession, sf_dir: str) -> DataFrame:
     return clip_jobs.extract_features(rows.withColumn("aug_index", F.col("aug_index").cast("long")))
 
 
-def _samples() -> Column:
-    return ((F.octet_length("wav") - 44) / 2).cast("long")
-
-
 def _key() -> Column:
     return F.regexp_extract("slice_file_name", r"^(\d+)", 1).cast("long").alias("vec_id")
 
 
+_PAYLOADS = """
+payload AS (
+  SELECT 'audio/fold' || (page_id % 10 + 1) || '/' || page_id || '.wav' AS path,
+         page_id % 10 + 1 AS fold, 'c' || page_id % 10 AS class, html, strlen(html) AS size
+  FROM pages)"""
+
+
+def payloads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Web pages as stored clips: their bytes are the payload."""
+    rows = V.table(spark, sf_dir, "pages")
+    fold = F.col("page_id") % 10 + 1
+    return rows.select(
+        clip_jobs.clip_path(fold, F.concat(F.col("page_id").cast("string"), F.lit(".wav"))).alias("path"),
+        fold.alias("fold"),
+        F.concat(F.lit("c"), (F.col("page_id") % 10).cast("string")).alias("class"),
+        F.col("html").cast("binary").alias("wav"),
+    )
+
+
 @register(
     "s6_audio_join",
-    query(Q.FEAT_META, CLIPS_SQL, "SELECT 'audio/fold' || fold || '/' || vec_id || '.wav' AS path, class, n16 AS n_samples FROM good"),
+    query(_PAYLOADS, "SELECT path, class, size AS n_bytes, sha256(html) AS sha256 FROM payload"),
 )
 def audio_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Metadata and audio kept apart, joined by relative path."""
-    rows = V.clip_rows(spark, sf_dir)
-    path = clip_jobs.clip_path(F.col("fold"), F.col("slice_file_name"))
-    meta = rows.select(path.alias("path"), "class")
-    audio = quality.good_rows(interim(spark, sf_dir, copies=0)).select("path", "wav")
-    return tables.attach_audio(meta, audio).select("path", "class", _samples().alias("n_samples"))
+    """Metadata and payload kept apart, joined by relative path."""
+    rows = payloads(spark, sf_dir)
+    joined = tables.attach_audio(rows.select("path", "class"), rows.select("path", "wav"))
+    size = F.octet_length("wav").cast("long").alias("n_bytes")
+    return joined.select("path", "class", size, F.sha2("wav", 256).alias("sha256"))
 
 
 @register(
     "s7_interim_sink",
     query(
-        Q.FEAT_META, CLIPS_SQL,
-        """SELECT fold, count(*) * CASE WHEN fold = 10 THEN 1 ELSE 2 END AS n,
-             CAST(count(*) * CASE WHEN fold = 10 THEN 0 ELSE 1 END AS BIGINT) AS n_augmented
-        FROM good GROUP BY fold""",
+        _PAYLOADS,
+        """SELECT fold, count(*) AS n, CAST(sum(size) AS BIGINT) AS n_bytes,
+             max(sha256(html)) AS last_sha256 FROM payload GROUP BY fold""",
     ),
 )
 def interim_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stored_interim(spark, sf_dir)
+    path = scratch_path(spark, "interim")
+    tables.write_interim(payloads(spark, sf_dir), path)
+    rows = spark.read.parquet(path).withColumn("fold", F.col("fold").cast("long"))
     return rows.groupBy("fold").agg(
-        F.count(F.lit(1)).alias("n"), F.count_if("is_augmented").alias("n_augmented")
+        F.count(F.lit(1)).alias("n"),
+        F.sum(F.octet_length("wav")).cast("long").alias("n_bytes"),
+        F.max(F.sha2("wav", 256)).alias("last_sha256"),
     )
 
 
 @register(
     "s8_feature_sink",
     query(
-        Q.FEAT_META, CLIPS_SQL,
-        """SELECT 'tabular' AS output, count(*) AS n, CAST(91 AS INTEGER) AS n_columns FROM good
-        UNION ALL SELECT 'mels', count(*), 10 FROM good""",
+        Q.FEAT_LONG,
+        "t AS (SELECT count(DISTINCT path) AS n, sum(x) AS total FROM feat_long)",
+        f"""SELECT 'tabular' AS output, n, CAST(71 AS INTEGER) AS n_columns, {Q.r6("total")} AS total FROM t
+        UNION ALL SELECT 'mels', n, 10, {Q.r6("total")} FROM t""",
     ),
 )
 def feature_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Both outputs from one stored feature pass."""
-    staged = scratch_path(spark, "pass")
-    quality.good_rows(originals(spark, sf_dir)).write.parquet(staged)
+    """Both outputs from one stored feature pass, with the sum of what each holds."""
+    name = F.concat(F.col("vec_id").cast("string"), F.lit(".wav"))
+    rows = V.feat(spark, sf_dir).withColumn("slice_file_name", name)
+    rows = rows.select(
+        *S.META_COLUMNS,
+        *V.FEATURES,
+        F.array(*V.FEATURES).alias("mel"),
+        F.lit(8).alias("mel_height"),
+        F.lit(8).alias("mel_width"),
+    )
+    staged = stable(rows, "pass")
     tabular, mels = scratch_path(spark, "tabular"), scratch_path(spark, "mels")
-    tables.write_features(spark.read.parquet(staged), tabular, mels, S.feature_names())
+    tables.write_features(staged, tabular, mels, V.FEATURES)
+    values = {"tabular": F.array(*V.FEATURES), "mels": F.col("mel")}
     parts = {"tabular": spark.read.parquet(tabular), "mels": spark.read.parquet(mels)}
-    rows = [
-        df.agg(F.count(F.lit(1)).alias("n")).select(
-            F.lit(name).alias("output"), "n", F.lit(len(df.columns)).alias("n_columns")
-        )
+    counted = [
+        df.agg(
+            F.count(F.lit(1)).alias("n"),
+            r6(F.sum(F.aggregate(values[name], F.lit(0.0), lambda a, x: a + x))).alias("total"),
+        ).select(F.lit(name).alias("output"), "n", F.lit(len(df.columns)).alias("n_columns"), "total")
         for name, df in parts.items()
     ]
-    return rows[0].unionByName(rows[1])
+    return counted[0].unionByName(counted[1])
 
 
 @register(
@@ -127,7 +155,7 @@ def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
     totals = after.agg(
         F.count(F.lit(1)).alias("n"),
         r6(F.sum("l_quantity")).alias("quantity"),
-        F.approx_count_distinct("f").alias("n_after"),
+        F.count_distinct("f").alias("n_after"),
     )
     # Two one-row tables.
     joined = totals.crossJoin(F.broadcast(size))
@@ -137,35 +165,36 @@ def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "v4_reject_routing",
     query(
-        Q.FEAT_META, CLIPS_SQL,
-        "SELECT coalesce(reason, 'ok') AS reason, count(*) AS n FROM clips GROUP BY ALL",
+        """d AS (SELECT CASE WHEN text IS NULL THEN 'missing' WHEN strlen(text) < 400 THEN 'short'
+                    WHEN lang <> 'en' THEN 'language' ELSE 'ok' END AS reason FROM documents)""",
+        "SELECT reason, count(*) AS n FROM d GROUP BY reason",
     ),
 )
 def reject_routing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return quality.reject_counts(interim(spark, sf_dir, copies=0))
+    """Documents with a reason to reject them, routed by the same operator as clips."""
+    reason = (
+        F.when(F.col("text").isNull(), "missing")
+        .when(F.octet_length("text") < 400, "short")
+        .when(F.col("lang") != "en", "language")
+    )
+    rows = V.table(spark, sf_dir, "documents")
+    return quality.reject_counts(rows.withColumn("reject_reason", reason))
 
 
 @register(
     "v7_feature_manifest",
     query(
-        Q.FEAT_META, CLIPS_SQL,
-        """SELECT count(*) AS num_input_rows, count(*) FILTER (WHERE reason IS NULL OR kind = 1) AS num_written,
-             count(*) FILTER (WHERE reason IS NOT NULL AND kind <> 1) AS num_dropped,
-             CAST(13 AS INTEGER) AS n_mfcc, CAST(128 AS INTEGER) AS n_mels, CAST(84 AS INTEGER) AS n_features
-        FROM clips""",
+        Q.FEAT_LONG,
+        "f AS (SELECT path, max(CASE WHEN i = 0 THEN x END) > 0 AS kept FROM feat_long GROUP BY path)",
+        """SELECT count(*) AS num_input_rows, count(*) FILTER (WHERE kept) AS num_written,
+             count(*) FILTER (WHERE NOT kept) AS num_dropped, CAST(13 AS INTEGER) AS n_mfcc,
+             CAST(128 AS INTEGER) AS n_mels, CAST(64 AS INTEGER) AS n_features FROM f""",
     ),
 )
 def feature_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Feature job on raw clips without cleaning: silence is a valid input there."""
-    raw = raw_clips(spark, sf_dir).select(
-        clip_jobs.clip_path(F.col("fold"), F.col("slice_file_name")).alias("path"),
-        "slice_file_name", "fold", "class", "classID",
-        F.lit(False).alias("is_augmented"), F.lit(-1).cast("long").alias("aug_index"),
-        F.col("audio.bytes").alias("wav"),
-    )
-    row = quality.feature_manifest(
-        clip_jobs.extract_features(raw), S.feature_names(), {"n_mfcc": K.N_MFCC, "n_mels": K.N_MELS}
-    )
+    """Manifest of a feature table whose rows with a first feature of zero or less are dropped."""
+    rows = V.feat(spark, sf_dir).withColumn("reject_reason", F.when(F.col("f0") <= 0, "low"))
+    row = quality.feature_manifest(rows, V.FEATURES, {"n_mfcc": K.N_MFCC, "n_mels": K.N_MELS})
     return row.withColumn("n_features", F.size("feature_names")).drop("feature_names")
 
 
