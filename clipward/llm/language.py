@@ -2,7 +2,7 @@
 
 Four kinds of evidence about a text's language, each as log probabilities over the languages:
 
-* Text: a multinomial model over hashed character trigrams of the lowered text, fitted on a bounded
+* Text: a multinomial model over hashed character trigrams of the lowered letters, fitted on a bounded
   sample of labelled rows (``SAMPLE_ROWS`` a language, in expectation). One more class, ``und``, is
   uniform over all trigrams. Trigrams of one text are not independent, so the mean log likelihood counts as that
   of at most ``EVIDENCE`` trigrams, whatever the length; the whole text is read.
@@ -45,6 +45,9 @@ BROADCAST_HOSTS = 50_000
 PART_CHARS = 1 << 20
 UNKNOWN = "und"
 
+_PLAIN = np.array([ord(chr(i)) if chr(i).isalpha() else 0x20 for i in range(128)], np.uint32)
+_SPACES = np.uint64(0x20 << 42 | 0x20 << 21 | 0x20)
+
 
 @dataclass(frozen=True)
 class Model:
@@ -55,11 +58,17 @@ class Model:
 
 
 def _grams(text: str) -> np.ndarray:
-    """Buckets of the character trigrams of a text, with a space at both ends."""
-    points = np.frombuffer(f" {text} ".encode("utf-32-le"), np.uint32).astype(np.uint64)
+    """Buckets of the character trigrams of a text, with a space at both ends.
+
+    Digits and ASCII signs count as spaces, so numbers and addresses say nothing; trigrams of
+    spaces are left out.
+    """
+    points = np.frombuffer(f" {text} ".encode("utf-32-le"), np.uint32)
+    points = np.where(points < 128, _PLAIN[np.minimum(points, 127)], points).astype(np.uint64)
     if len(points) < 3:
         return np.empty(0, np.int64)
     packed = points[:-2] << np.uint64(42) | points[1:-1] << np.uint64(21) | points[2:]
+    packed = packed[packed != _SPACES]
     return (hashing.mix(packed) >> np.uint64(64 - BITS)).astype(np.int64)
 
 
