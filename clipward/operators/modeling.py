@@ -13,6 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
+from pyspark.errors import AnalysisException
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
     GBTClassifier,
@@ -321,11 +322,20 @@ def family(model_name: str) -> str:
     raise ValueError(f"unknown model family for '{model_name}'")
 
 
+def _exists(spark: SparkSession, path: str) -> bool:
+    try:
+        spark.read.text(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return False
+    return True
+
+
 def load_fitted(spark: SparkSession, folder: str, model_name: str) -> Fitted:
     """Load a stored model; its parts must be complete and of the named kind."""
-    path = spark._jvm.org.apache.hadoop.fs.Path
-    system = path(folder).getFileSystem(spark._jsc.hadoopConfiguration())
-    missing = [p for p in ("model", "scaler", "labels") if not system.exists(path(f"{folder}/{p}"))]
+    parts = ("model/metadata", "scaler", "labels")
+    missing = [p.split("/")[0] for p in parts if not _exists(spark, f"{folder}/{p}")]
     if missing:
         raise FileNotFoundError(f"incomplete model folder {folder}: no {', '.join(missing)}")
     stored = spark.read.text(f"{folder}/model/metadata").first()["value"]

@@ -100,6 +100,13 @@ def fit_and_score(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _held_out("network", params, vectors(spark, sf_dir), V.N_FEATURES)
 
 
+def clip_holdout_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Holdout metrics of a forest on clip features, which do carry the class."""
+    _, held_out = splits.fold_split(clip_vectors(spark, sf_dir))
+    scored = _clip_forest(spark, sf_dir).evaluate(held_out)
+    return evaluation.classification_metrics(evaluation.confusion_counts(scored))
+
+
 @register("m6_search")
 def search(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = splits.four_way(vectors(spark, sf_dir))

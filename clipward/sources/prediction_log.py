@@ -8,9 +8,21 @@ from pyspark.sql import functions as F
 from clipward import schemas as S
 
 
+def iso_time(moment: Column | None = None) -> Column:
+    """A timestamp, by default the current one, as ISO text in UTC with milliseconds."""
+    moment = F.current_timestamp() if moment is None else moment
+    utc = F.to_utc_timestamp(moment.cast("timestamp"), F.current_timezone())
+    return F.date_format(utc, "yyyy-MM-dd'T'HH:mm:ss.SSS'Z'")
+
+
+def with_time(log: DataFrame, ts: str = "ts", name: str = "at") -> DataFrame:
+    """Adds the moment of the ISO text in ``ts``; null where the text is no time."""
+    return log.withColumn(name, F.col(ts).try_cast("timestamp"))
+
+
 def log_line(
     *,
-    ts: Column,
+    ts: Column | None = None,
     status: Column,
     label: Column,
     confidence: Column,
@@ -25,7 +37,7 @@ def log_line(
     """
     fields = F.struct(
         (F.lit("prediction") if event is None else event).alias("event"),
-        ts.alias("ts"),
+        (iso_time() if ts is None else ts).alias("ts"),
         status.alias("status"),
         label.alias("label"),
         confidence.alias("confidence"),

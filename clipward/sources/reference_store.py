@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Sequence
+from datetime import datetime, timezone
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from clipward import schemas as S
 from clipward.operators import drift
 from clipward.operators.quality import available_columns
 from clipward.operators.splits import first_filled_column, fold_originals
+from clipward.sources.tables import read_if_present
 
 Source = tuple[str, Callable[[], DataFrame | None]]
 
@@ -92,12 +94,14 @@ def first_source(
 def existing_table(spark: SparkSession, path: str) -> Callable[[], DataFrame | None]:
     """A source that is skipped when nothing is stored under the path."""
 
-    def load() -> DataFrame | None:
-        target = spark._jvm.org.apache.hadoop.fs.Path(path)
-        system = target.getFileSystem(spark._jsc.hadoopConfiguration())
-        return spark.read.parquet(path) if system.exists(target) else None
+    return lambda: read_if_present(spark, path)
 
-    return load
+
+def winner_meta(leaderboard: DataFrame) -> dict[str, str]:
+    """Model, run and data set of a leaderboard's winner, as far as it has these columns."""
+    names = [c for c in ("model_name", "run_id", "dataset") if c in leaderboard.columns]
+    row = leaderboard.where("winner").select(*names).first()
+    return {f"winner_{c}": str(row[c]) for c in names} if row else {}
 
 
 def build_reference(
@@ -114,14 +118,17 @@ def build_reference(
 
     Without any source the published class counts are used, which carry neither
     confidences nor features; asking for features is then an error. ``confidences``, when
-    given, replaces the stored confidence columns.
+    given, replaces the stored confidence columns. ``meta`` may name the winning model, its
+    run and the data set (``winner_meta``); the time of building is added.
     """
+    now = datetime.now(timezone.utc).isoformat(timespec="seconds")
+    meta = {"built_at": now, **(meta or {})}
     frame, source = first_source(sources, fold)
     if frame is None:
         reference = drift.published_reference(meta=meta)
     else:
         reference = drift.reference_from_labels(
-            frame, class_names, source=str(source), meta={"eval_fold": str(fold), **(meta or {})}
+            frame, class_names, source=str(source), meta={"eval_fold": str(fold), **meta}
         )
     column = "confidence"
     if confidences is None and frame is not None:

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -13,9 +14,11 @@ from clipward import schemas as S
 
 
 def project_raw_clips(df: DataFrame, max_rows: int | None = None) -> DataFrame:
-    """The contract columns of a raw clip table, in order; optionally only some rows."""
+    """The contract columns of a raw clip table, in order; optionally only the first rows by name."""
     narrowed = df.select(*[f.name for f in S.RAW_CLIP])
-    return narrowed if max_rows is None else narrowed.limit(max_rows)
+    if max_rows is None:
+        return narrowed
+    return narrowed.orderBy("slice_file_name", "fold").limit(max_rows)
 
 
 def read_raw_clips(spark: SparkSession, path: str, max_rows: int | None = None) -> DataFrame:
@@ -39,6 +42,18 @@ def read_features(
     return df if columns is None else df.select(*columns)
 
 
+def read_if_present(
+    spark: SparkSession, path: str, schema: T.StructType | None = None
+) -> DataFrame | None:
+    """The stored table, or nothing where no such folder exists."""
+    try:
+        return (spark.read if schema is None else spark.read.schema(schema)).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
 def class_folder_clips(
     files: DataFrame, classes: Sequence[str] = K.CLASS_NAMES, path: str = "path"
 ) -> DataFrame:

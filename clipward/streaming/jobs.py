@@ -5,10 +5,8 @@ from __future__ import annotations
 from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from clipward import constants as K
@@ -16,20 +14,11 @@ from clipward import schemas as S
 from clipward.functions import columns as C
 from clipward.operators import clip_jobs, drift, modeling
 from clipward.operators.monitor import rolling_monitor
+from clipward.sources.tables import read_if_present
 
 DEFAULT_DELAY = "10 minutes"
 
 
-def _stored(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame | None:
-    """The table at ``path``, or nothing if no such folder exists."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return None
-
-
 def monitor_stream(
     predictions: DataFrame,
     reference: drift.Reference,
@@ -55,7 +44,7 @@ def monitor_stream(
         session = batch.sparkSession
         fresh = batch.select(*columns).withColumn("__turn", F.lit(int(batch_id)).cast("long"))
         fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)  # snapshots and tail read it
-        before = _stored(session, f"{state}/turn={batch_id - 1}", fresh.schema)
+        before = read_if_present(session, f"{state}/turn={batch_id - 1}", fresh.schema)
         seen = fresh if before is None else fresh.unionByName(before)
         snapshots = rolling_monitor(seen, reference, key=key, order=["__turn", *order], rows=rows)
         new = snapshots.where(F.col("__turn") == batch_id).drop("__turn")

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from clipward.operators import drift, evaluation, labels, modeling, monitor
 from clipward.operators.drift import Reference
 from clipward.operators.ordering import exact_quantiles, number_rows, running_totals
+from clipward.sources import prediction_log, reference_store
 from clipward.streaming import jobs
 
 PLAIN = Reference({"a": 3, "b": 1}, {"a": 0.6, "b": 0.3, "z": 0.1}, ("a", "b"))
@@ -147,3 +148,23 @@ def test_balancing_keeps_every_row(spark):
     times = got.groupby("path").size()
     assert len(times) == 1000 and set(times[[f"p{i}" for i in range(1000) if i % 5]]) == {1}
     assert set(times[[f"p{i}" for i in range(0, 1000, 5)]]) <= {5, 6}
+
+
+def test_log_times_round_trip(spark):
+    moment = dt.datetime(2024, 1, 31, 23, 59, 59, 123000)
+    df = spark.createDataFrame([(moment,)], "t timestamp").select(prediction_log.iso_time(F.col("t")).alias("ts"))
+    assert df.first().ts == "2024-01-31T23:59:59.123Z"
+    assert prediction_log.with_time(df).first()["at"] == moment
+    odd = spark.createDataFrame([("soon",)], "ts string")
+    assert prediction_log.with_time(odd).first()["at"] is None
+
+
+def test_reference_metadata(spark):
+    board = spark.createDataFrame(
+        [("a", "r1", 0.2, False), ("b", "r2", 0.4, True)],
+        "model_name string, run_id string, score double, winner boolean",
+    )
+    meta = reference_store.winner_meta(board)
+    built = reference_store.build_reference([], meta=meta).meta
+    assert built["winner_model_name"] == "b" and built["winner_run_id"] == "r2"
+    assert dt.datetime.fromisoformat(built["built_at"])
