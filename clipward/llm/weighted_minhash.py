@@ -80,11 +80,14 @@ def _shingles(rows: pa.RecordBatch, text: str, drop_bits: int) -> _Vectors:
     return _Vectors(own[at], key[at], np.diff([*at, len(key)]), len(texts))
 
 
-def _weights(held: _Vectors, answer: list[dict], n_all: int) -> np.ndarray:
+def _frequencies(held: _Vectors, answer: list[dict]) -> np.ndarray:
     keys, values = units.answered(answer)
     known, at = units.find(held.key, keys)
-    df = np.where(known, values[0][at], 1) if len(keys) else np.ones(len(held.key))
-    return held.count * (1 + np.log((1 + n_all) / (1 + df)) / math.log(1 + n_all))
+    return np.where(known, values[0][at], 1) if len(keys) else np.ones(len(held.key), np.int64)
+
+
+def _weigh(count: np.ndarray, df: np.ndarray, n_all: int) -> np.ndarray:
+    return count * (1 + np.log((1 + n_all) / (1 + df)) / math.log(1 + n_all))
 
 
 def samples(key: np.ndarray, weight: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
@@ -94,25 +97,27 @@ def samples(key: np.ndarray, weight: np.ndarray, first: np.ndarray, n: int) -> n
     if not len(full):
         return out
     begins, lengths = first[full], np.diff(first)[full]
-    log_w = np.log(weight)
-    unit = 2.0**-32
-    low = np.uint64(0xFFFFFFFF)
-    with np.errstate(over="ignore"):
-        for k in range(n):
-            z = hashing.mix(key + np.uint64((_SEED * (2 * k + 1)) % 2**64))
-            y = hashing.mix(z + np.uint64(_SEED))
-            x = hashing.mix(y + np.uint64(_SEED))
-            half = lambda v, s: ((v >> np.uint64(s) & low).astype(np.float64) + 0.5) * unit
-            r = -np.log(half(z, 0) * half(z, 32))
-            log_c = np.log(-np.log(half(y, 0) * half(y, 32)))
-            beta = half(x, 0)
-            t = np.floor(log_w / r + beta)
-            log_a = log_c - r * (t - beta + 1)
-            least = np.repeat(np.minimum.reduceat(log_a, begins), lengths)
-            hit = np.flatnonzero(log_a == least)
-            owner = np.searchsorted(begins, hit, side="right") - 1
-            pick = hit[np.append(True, owner[1:] != owner[:-1])]
-            out[full, k] = hashing.mix(key[pick] + t[pick].astype(np.int64).view(np.uint64) * np.uint64(_SEED))
+    log_w = np.log(weight).astype(np.float32)
+    # Five uniform draws from two hashes; single precision is ample beside their 21 bits.
+    unit, low = np.float32(2.0**-21), np.uint64((1 << 21) - 1)
+
+    def draw(bits: np.ndarray, shift: int) -> np.ndarray:
+        return ((bits >> np.uint64(shift) & low).astype(np.float32) + np.float32(0.5)) * unit
+
+    for k in range(n):
+        z = hashing.mix(key + np.uint64((_SEED * (2 * k + 1)) % 2**64))
+        y = hashing.mix(z + np.uint64(_SEED))
+        r = -np.log(draw(z, 0) * draw(z, 21))
+        log_c = np.log(-np.log(draw(z, 42) * draw(y, 0)))
+        beta = draw(y, 21)
+        t = np.floor(log_w / r + beta)
+        log_a = log_c - r * (t - beta + np.float32(1))
+        least = np.repeat(np.minimum.reduceat(log_a, begins), lengths)
+        hit = np.flatnonzero(log_a == least)
+        owner = np.searchsorted(begins, hit, side="right") - 1
+        pick = hit[np.append(True, owner[1:] != owner[:-1])]
+        step = t[pick].astype(np.int64).view(np.uint64)
+        out[full, k] = hashing.mix(key[pick] + step * np.uint64(_SEED))
     return out
 
 
@@ -200,7 +205,7 @@ def _signatures(packed: Units, df: DataFrame, text: str, drop_bits: int, n_all:
 
     def make(unit: int, rows: pa.RecordBatch, answer: list[dict]) -> Iterator[pa.RecordBatch]:
         held = _shingles(rows, text, drop_bits)
-        weight = _weights(held, answer, n_all)
+        weight = _weigh(held.count, _frequencies(held, answer), n_all)
         drawn = samples(held.key, weight, held.first(), BANDS * ROWS)
         total = np.bincount(held.doc, weight, minlength=held.n_docs)
         keys = band_keys(drawn)
@@ -331,23 +336,25 @@ def _verified(packed: Units, pairs: DataFrame, df: DataFrame, text: str, drop_bi
         if not requests:
             return
         held = _shingles(rows, text, drop_bits)
-        weight, first = _weights(held, frequencies, n_all), held.first()
+        df, first = _frequencies(held, frequencies), held.first()
         row = [r["ref"] & ((1 << _ROW_BITS) - 1) for r in requests]
+        cuts = [slice(first[i], first[i + 1]) for i in row]
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([r["to"] for r in requests], pa.int64()),
                 pa.array([r["ref"] for r in requests], pa.int64()),
-                pa.array([units.pack_ints(held.key[first[i] : first[i + 1]], True) for i in row]),
-                pa.array([weight[first[i] : first[i + 1]].tobytes() for i in row], pa.binary()),
+                pa.array([units.pack_ints(held.key[c], True) for c in cuts], pa.binary()),
+                pa.array([units.pack_ints(held.count[c]) for c in cuts], pa.binary()),
+                pa.array([units.pack_ints(df[c]) for c in cuts], pa.binary()),
             ],
-            ["unit", "ref", "keys", "weights"],
+            ["unit", "ref", "keys", "counts", "df"],
         )
 
     sent = units.each_unit(
-        packed, send, "unit long, ref long, keys binary, weights binary", (df, asked)
+        packed, send, "unit long, ref long, keys binary, counts binary, df binary", (df, asked)
     )
     vectors = sent.groupBy("unit").agg(
-        F.collect_list(F.struct("ref", "keys", "weights")).alias("answer")
+        F.collect_list(F.struct("ref", "keys", "counts", "df")).alias("answer")
     )
     mine = pairs.groupBy(unit_of("b").alias("unit")).agg(
         F.collect_list(F.struct("b", "a")).alias("answer")
@@ -357,13 +364,13 @@ def _verified(packed: Units, pairs: DataFrame, df: DataFrame, text: str, drop_bi
         if not wanted:
             return
         held = _shingles(rows, text, drop_bits)
-        weight, first = _weights(held, frequencies, n_all), held.first()
-        others = {g["ref"]: g for g in given}
-        kept = []
+        weight = _weigh(held.count, _frequencies(held, frequencies), n_all)
+        first, kept, others = held.first(), [], {g["ref"]: g for g in given}
         for pair in sorted(wanted, key=lambda p: p["a"]):
             i, other = pair["b"] & ((1 << _ROW_BITS) - 1), others[pair["a"]]
             part = slice(first[i], first[i + 1])
-            vector = units.unpack_ints(other["keys"]), np.frombuffer(other["weights"])
+            counts, df = (units.unpack_ints(other[c]).view(np.int64) for c in ("counts", "df"))
+            vector = units.unpack_ints(other["keys"]), _weigh(counts, df, n_all)
             if weighted_jaccard((held.key[part], weight[part]), vector) >= THRESHOLD:
                 kept.append((pair["b"], pair["a"]))
         if kept:
