@@ -13,7 +13,7 @@ import numpy as np
 
 _BYTE = 0x9E3779B97F4A7C15
 _WORD = 0xC2B2AE3D27D4EB4F
-SLICE = 1 << 20
+SLICE = 1 << 19
 
 #: White space of the word pattern: space and U+0009 to U+000D.
 ASCII_SPACE = np.zeros(256, bool)

@@ -16,8 +16,8 @@ How the corpus gets into blocks that are small and still hold every pair of equa
   the same distance from the anchor, so symbols are eight bytes long, on a grid that begins at the
   anchor. The transform finds runs of 49 equal symbols; the eight bytes beside a run tell which of
   the eight windows around it are equal.
-* An anchor with more than ``HOT`` different contexts is not put into one block. The hashes of its
-  windows are dealt over all blocks and counted there, which is exact too (up to 64-bit hashes).
+* An anchor with more than ``HOT`` different contexts is not put into one block. Its windows are
+  compared by hash among the units instead, which is exact too (up to 64-bit hashes).
 
 Anchor and context identity are 64-bit hashes.
 
@@ -48,9 +48,8 @@ SYMBOL = 8
 RUN = LENGTH // SYMBOL - 1  # whole symbols inside a window, wherever it starts
 HOT = 1024
 BLOCK_BYTES = 1 << 20
-SLICE = 4 << 20
+SLICE = 1 << 19
 
-_SHIP, _ALL, _HOT = 1, 2, 4
 _ONE = np.uint64(1)
 
 
@@ -159,57 +158,118 @@ class _Contexts:
         return at, lo, hi, gram[at - a], context
 
 
-def _contexts_seen(packed: Units, text: str, hot: int) -> DataFrame:
-    """Answers (anchor; context, flags) for anchors that occur more than once."""
+def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """First places of the runs of equal ascending keys, and the run of each entry."""
+    new = np.ones(len(keys), bool)
+    new[1:] = keys[1:] != keys[:-1]
+    return np.flatnonzero(new), np.cumsum(new) - 1
+
+
+def _repeated_keys(keys: np.ndarray, values: list[np.ndarray]):
+    """Answers keys that occur more than once, with a mark for the first unit that has each."""
+    first, run = _runs(keys)
+    leads = np.zeros(len(keys), np.int64)
+    leads[first] = 1
+    return (np.add.reduceat(values[0], first) > 1)[run], [leads]
+
+
+def _pair_entries(packed: Units, text: str) -> DataFrame:
+    """Answers the contexts that occur more than once."""
     n_buckets = packed.n_buckets
 
     def make(unit: int, rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        keys, times = np.unique(_Contexts(rows, text).pair, return_counts=True)
+        if len(keys):
+            yield units.entry_batch(unit, keys, [np.minimum(times, 2)], n_buckets)
+
+    return units.shared(units.each_unit(packed, make, units.ENTRY), _repeated_keys)
+
+
+def _shared_anchors(packed: Units, pairs: DataFrame, text: str, hot: int) -> DataFrame:
+    """Answers anchors that have several contexts, one of them unique, and whether they are hot."""
+    n_buckets = packed.n_buckets
+
+    def make(unit: int, rows: pa.RecordBatch, answer: list[dict]) -> Iterator[pa.RecordBatch]:
         held = _Contexts(rows, text)
-        order = np.lexsort((held.context, held.key))
-        keys, contexts = held.key[order], held.context[order]
-        new = np.ones(len(keys), bool)
-        new[1:] = (keys[1:] != keys[:-1]) | (contexts[1:] != contexts[:-1])
-        first = np.flatnonzero(new)
-        if len(first):
-            times = np.minimum(np.diff([*first, len(keys)]), 2)
-            yield units.entry_batch(
-                unit, keys[first], [contexts[first].view(np.int64), times], n_buckets
-            )
+        if not len(held.at):
+            return
+        again, _ = units.answered(answer)
+        single = ~units.find(held.pair, again)[0]
+        order = np.lexsort((held.pair, held.key))
+        key, pair = held.key[order], held.pair[order]
+        new_pair = np.ones(len(pair), np.int64)
+        new_pair[1:] = (pair[1:] != pair[:-1]) | (key[1:] != key[:-1])
+        first, _ = _runs(key)
+        yield units.entry_batch(
+            unit,
+            key[first],
+            [
+                np.add.reduceat(new_pair, first),
+                np.maximum.reduceat(single[order].astype(np.int64), first),
+                np.minimum.reduceat(pair, first).view(np.int64),
+                np.maximum.reduceat(pair, first).view(np.int64),
+            ],
+            n_buckets,
+        )
 
     def decide(keys: np.ndarray, values: list[np.ndarray]):
-        contexts, times = values
-        order = np.lexsort((contexts, keys))
-        k, c, t = keys[order], contexts[order], times[order]
-        new_key = np.append(True, k[1:] != k[:-1])
-        new = new_key | np.append(True, c[1:] != c[:-1])
-        first = np.flatnonzero(new)
-        several = np.add.reduceat(t, first) > 1  # per context
-        anchor_first = np.flatnonzero(new_key[first])  # among the contexts
-        n_contexts = np.diff([*anchor_first, len(first)])
-        any_single = np.minimum.reduceat(several.astype(np.int8), anchor_first) == 0
-        anchor = np.cumsum(new_key[first]) - 1
-        sent = (n_contexts > 1) & any_single
-        of = np.cumsum(new) - 1  # the context of each entry
-        flags = np.where(several, _ALL, 0)[of]
-        flags[first] |= np.where(sent[anchor], _SHIP, 0)
-        flags |= np.where(n_contexts > hot, _HOT, 0)[anchor][of]
-        answered = (several | (n_contexts > 1)[anchor])[of] & ((flags & (_SHIP | _ALL)) > 0)
-        kept, out = np.zeros(len(keys), bool), np.zeros(len(keys), np.int64)
-        kept[order], out[order] = answered, flags
-        return kept, [contexts, out]
-
-    return units.shared(units.each_unit(packed, make, units.ENTRY), decide)
-
-
-def _flags(held: _Contexts, answer: list[dict]) -> np.ndarray:
-    """The flags of every anchor of a unit."""
-    keys, values = units.answered(answer)
-    if not len(keys):
-        return np.zeros(len(held.at), np.int64)
-    pairs = hashing.mix(keys + hashing.mix(values[0].view(np.uint64)))
-    order = np.argsort(pairs)
-    known, at = units.find(held.pair, pairs[order])
-    return np.where(known, values[1][order][at], 0)
+        first, run = _runs(keys)
+        n, single, low, high = values
+        several = np.minimum.reduceat(low.view(np.uint64), first) != np.maximum.reduceat(
+            high.view(np.uint64), first
+        )
+        open_ = several & (np.maximum.reduceat(single, first) > 0)
+        is_hot = np.add.reduceat(n, first) > hot
+        return open_[run], [is_hot.astype(np.int64)[run]]
+
+    return units.shared(units.each_unit(packed, make, units.ENTRY, (pairs,)), decide)
+
+
+class _Marks:
+    """Of a unit's anchors: repeated as a whole, sent to a block, dealt by windows."""
+
+    def __init__(self, held: _Contexts, pairs: list[dict], anchors: list[dict]):
+        again, leads = units.answered(pairs)
+        known, at = units.find(held.pair, again)
+        self.whole = known
+        leader = np.where(known, leads[0][at], 1) if len(again) else np.ones(len(known))
+        shared, hot = units.answered(anchors)
+        open_, at = units.find(held.key, shared)
+        is_hot = open_ & (hot[0][at] > 0) if len(shared) else open_
+        first = np.zeros(len(known), bool)
+        first[np.unique(held.pair, return_index=True)[1]] = True
+        send = open_ & first & (leader > 0)
+        self.sent = np.flatnonzero(send & ~is_hot)
+        self.dealt = np.flatnonzero(send & is_hot)
+
+
+def _window_keys(held: _Contexts, chosen: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Starts and keys of all windows of the chosen anchors: content, anchor and distance."""
+    for part in np.array_split(chosen, -(-len(chosen) // 512)) if len(chosen) else []:
+        n = held.hi[part] - held.lo[part] - LENGTH + 1
+        own = np.repeat(part, n)
+        start = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n) + held.lo[own]
+        away = (held.at[own] - start).astype(np.uint64)
+        window = _window_hashes(held.data, start)
+        yield start, hashing.mix(window + hashing.mix(held.key[own] + away))
+
+
+def _hot_windows(packed: Units, pairs: DataFrame, anchors: DataFrame, text: str) -> DataFrame:
+    """Answers the repeated windows of hot anchors."""
+    n_buckets = packed.n_buckets
+
+    def make(unit, rows, pairs_here, anchors_here) -> Iterator[pa.RecordBatch]:
+        if not anchors_here:
+            return
+        held = _Contexts(rows, text)
+        keys = [k for _, k in _window_keys(held, _Marks(held, pairs_here, anchors_here).dealt)]
+        if keys:
+            keys, times = np.unique(np.concatenate(keys), return_counts=True)
+            yield units.entry_batch(unit, keys, [np.minimum(times, 2)], n_buckets)
+
+    return units.shared(
+        units.each_unit(packed, make, units.ENTRY, (pairs, anchors)), _repeated_keys
+    )
 
 
 _SENT = T.StructType(
@@ -224,51 +284,32 @@ _SENT = T.StructType(
 )
 
 
-def _sent(packed: Units, seen: DataFrame, text: str, n_blocks: int) -> DataFrame:
-    """Contexts by anchor; for hot anchors, hashes of their windows (context null)."""
+def _sent(
+    packed: Units, pairs: DataFrame, anchors: DataFrame, text: str, n_blocks: int
+) -> DataFrame:
+    """One copy of each different context of the anchors that have several."""
     shift = np.uint64(64 - (n_blocks.bit_length() - 1))
 
-    def batch(unit, anchor, pair, left, contexts) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
+    def make(unit, rows, pairs_here, anchors_here) -> Iterator[pa.RecordBatch]:
+        if not anchors_here:
+            return
+        held = _Contexts(rows, text)
+        sent = _Marks(held, pairs_here, anchors_here).sent
+        contexts = [held.data[a:b].tobytes() for a, b in zip(held.lo[sent], held.hi[sent])]
+        key = held.key[sent]
+        yield pa.RecordBatch.from_arrays(
             [
-                pa.array((hashing.mix(anchor) >> shift).astype(np.int32)),
-                pa.array(np.full(len(anchor), unit, np.int64)),
-                pa.array(anchor.view(np.int64)),
-                pa.array(pair.view(np.int64)),
-                pa.array(left.astype(np.int32)),
-                contexts,
+                pa.array((hashing.mix(key) >> shift).astype(np.int32)),
+                pa.array(np.full(len(sent), unit, np.int64)),
+                pa.array(key.view(np.int64)),
+                pa.array(held.pair[sent].view(np.int64)),
+                pa.array((held.at[sent] - held.lo[sent]).astype(np.int32)),
+                pa.array(contexts, pa.binary()),
             ],
             _SENT.names,
         )
 
-    def make(unit: int, rows: pa.RecordBatch, answer: list[dict]) -> Iterator[pa.RecordBatch]:
-        if not answer:
-            return
-        held = _Contexts(rows, text)
-        flags = _flags(held, answer)
-        chosen = np.flatnonzero(flags & _SHIP)
-        chosen = chosen[np.unique(held.pair[chosen], return_index=True)[1]]
-        plain = chosen[flags[chosen] & _HOT == 0]
-        if len(plain):
-            contexts = [held.data[a:b].tobytes() for a, b in zip(held.lo[plain], held.hi[plain])]
-            yield batch(
-                unit,
-                held.key[plain],
-                held.pair[plain],
-                held.at[plain] - held.lo[plain],
-                pa.array(contexts, pa.binary()),
-            )
-        hot = chosen[flags[chosen] & _HOT > 0]
-        for part in np.array_split(hot, -(-len(hot) // 512)) if len(hot) else []:
-            n = held.hi[part] - held.lo[part] - LENGTH + 1
-            own = np.repeat(part, n)
-            start = np.arange(len(own)) - np.repeat(np.cumsum(n) - n, n) + held.lo[own]
-            left = held.at[own] - start
-            window = _window_hashes(held.data, start)
-            key = hashing.mix(window + hashing.mix(held.key[own] + left.astype(np.uint64)))
-            yield batch(unit, key, held.pair[own], left, pa.nulls(len(own), pa.binary()))
-
-    return units.each_unit(packed, make, _SENT, (seen,))
+    return units.each_unit(packed, make, _SENT, (pairs, anchors))
 
 
 def _window_hashes(data: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -340,22 +381,14 @@ def _repeated(sent: DataFrame) -> DataFrame:
     def run(table: pa.Table) -> pa.Table:
         names = ("unit", "anchor", "pair", "left")
         unit, anchor, pair, left = (table.column(n).to_numpy() for n in names)
-        hashed = table.column("context").is_null().to_numpy()
-        plain = np.flatnonzero(~hashed)
         own, away = np.empty(0, np.int64), np.empty(0, np.int64)
         # Only anchors with two contexts here can have equal windows.
-        if len(plain):
-            _, at, n = np.unique(anchor[plain], return_inverse=True, return_counts=True)
-            plain = plain[n[at] > 1]
-        if len(plain):
-            contexts = table.column("context").take(pa.array(plain)).to_pylist()
-            o, away = _equal_windows(anchor[plain], left[plain].astype(np.int64), contexts)
-            own = plain[o]
-        rows = np.flatnonzero(hashed)
-        if len(rows):
-            _, at, n = np.unique(anchor[rows], return_inverse=True, return_counts=True)
-            rows = rows[n[at] > 1]
-        own, away = np.append(own, rows), np.append(away, left[rows])
+        _, at, n = np.unique(anchor, return_inverse=True, return_counts=True)
+        several = np.flatnonzero(n[at] > 1)
+        if len(several):
+            contexts = table.column("context").take(pa.array(several)).to_pylist()
+            own, away = _equal_windows(anchor[several], left[several].astype(np.int64), contexts)
+            own = several[own]
         unit, pair = unit[own], pair[own].view(np.uint64)
         order = np.lexsort((away, pair, unit))
         unit, pair, away = unit[order], pair[order], away[order]
@@ -386,18 +419,23 @@ def _repeated(sent: DataFrame) -> DataFrame:
 # ---------------------------------------------------------------- the operator
 
 
-def _gone(held: _Contexts, seen: list[dict], found: list[dict]) -> np.ndarray:
+def _gone(held: _Contexts, pairs, anchors, hot, found: list[dict]) -> np.ndarray:
     """Which bytes of a unit lie in a repeated window."""
+    marks = _Marks(held, pairs, anchors)
     change = np.zeros(len(held.data) + 1, np.int64)
-    everywhere = np.flatnonzero(_flags(held, seen) & _ALL)
-    np.add.at(change, held.lo[everywhere], 1)
-    np.add.at(change, held.hi[everywhere], -1)
-    pairs, values = units.answered(found)
-    if len(pairs):
+    np.add.at(change, held.lo[marks.whole], 1)
+    np.add.at(change, held.hi[marks.whole], -1)
+    again, _ = units.answered(hot)
+    for start, keys in _window_keys(held, marks.dealt if len(again) else marks.dealt[:0]):
+        start = start[units.find(keys, again)[0]]
+        np.add.at(change, start, 1)
+        np.add.at(change, start + LENGTH, -1)
+    own, values = units.answered(found)
+    if len(own):
         order = np.argsort(held.pair)
         mine = held.pair[order]
-        a, b = np.searchsorted(mine, pairs), np.searchsorted(mine, pairs, side="right")
-        run = np.repeat(np.arange(len(pairs)), b - a)
+        a, b = np.searchsorted(mine, own), np.searchsorted(mine, own, side="right")
+        run = np.repeat(np.arange(len(own)), b - a)
         nth = np.arange(len(run)) - np.repeat(np.cumsum(b - a) - (b - a), b - a)
         at = held.at[order[a[run] + nth]]
         away, length = values[0][run], values[1][run]
@@ -417,12 +455,15 @@ def remove_repeats(
     rows = docs.drop(kept, *counts).withColumn(text, docs[text].cast("string"))
     packed = units.pack(rows, text)
     n_blocks = 1 << max(6, (packed.n_bytes // BLOCK_BYTES).bit_length())
-    seen = _contexts_seen(packed, text, hot)
-    found = _repeated(_sent(packed, seen, text, n_blocks))
+    # Stored, since three later passes read them.
+    pairs = units.by_unit(_pair_entries(packed, text), "pairs")
+    anchors = units.by_unit(_shared_anchors(packed, pairs, text, hot), "anchors")
+    windows = _hot_windows(packed, pairs, anchors, text)
+    found = _repeated(_sent(packed, pairs, anchors, text, n_blocks))
 
-    def make(unit, rows, seen_here, found_here) -> Iterator[pa.RecordBatch]:
+    def make(unit, rows, *answers) -> Iterator[pa.RecordBatch]:
         held = _Contexts(rows, text)
-        gone = _gone(held, seen_here, found_here)
+        gone = _gone(held, *answers)
         left, removed, spans = [], [], []
         for whole, a, b in zip(held.texts, held.starts, held.ends):
             marks = gone[a:b]
@@ -448,4 +489,4 @@ def remove_repeats(
             *(T.StructField(c, T.LongType()) for c in counts),
         ]
     )
-    return units.each_unit(packed, make, schema, (seen, found))
+    return units.each_unit(packed, make, schema, (pairs, anchors, windows, found))
