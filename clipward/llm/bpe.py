@@ -14,7 +14,6 @@ kept.
 from __future__ import annotations
 
 import base64
-import functools
 import re
 from collections.abc import Iterator
 
@@ -45,8 +44,8 @@ def pieces(text: str, limit: int = PIECE_CHARS) -> Iterator[str]:
     yield text[start:]
 
 
-@functools.lru_cache(maxsize=2)
 def encoding(ranks_path: str, pattern: str) -> tiktoken.Encoding:
+    """Made once per task, so that idle workers do not hold it."""
     with open(ranks_path, "rb") as lines:
         ranks = {base64.b64decode(token): int(rank) for token, rank in map(bytes.split, lines)}
     return tiktoken.Encoding("local", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})

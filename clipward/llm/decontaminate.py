@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clipward.llm import hashing
-from clipward.llm.frames import stored
+from clipward.llm.frames import release, small_batches, stored
 
 SEED_WORDS = 4
 MIN_SCORE = 0.5
@@ -181,7 +181,9 @@ def _scan(docs: DataFrame, ids: list[str], text: str, shared) -> DataFrame:
                 base += b - a
                 if out is not None:
                     yield out
+        release()
 
+    small_batches(docs.sparkSession)
     return docs.select(*ids, text).mapInArrow(run, schema)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterable, Iterator
 
 import pyarrow as pa
@@ -11,6 +12,8 @@ from pyspark.sql import types as T
 
 from clipward.session import scratch_path
 
+BATCH_BYTES = 8 << 20
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
@@ -23,6 +26,16 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batches to ``BATCH_BYTES``; a smaller setting stays.
+
+    A batch of texts is held several times over, by the JVM and by the worker of each core.
+    """
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(spark.conf.get(key).rstrip("b")) > BATCH_BYTES:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def add_arrow_columns(
     df: DataFrame,
     fields: Iterable[T.StructField],
@@ -32,6 +45,7 @@ def add_arrow_columns(
 
     ``make`` maps the batches to one list of arrays each, in the order of ``fields``.
     """
+    small_batches(df.sparkSession)
     fields = list(fields)
     names = [f.name for f in fields]
     kept = df.drop(*names)
@@ -47,9 +61,19 @@ def add_arrow_columns(
         for arrays in make(tapped()):
             batch = current[0]
             yield pa.RecordBatch.from_arrays([*batch.columns, *arrays], [*batch.schema.names, *names])
+        current.clear()
+        release()
 
     return kept.mapInArrow(run, T.StructType([*kept.schema.fields, *fields]))
 
 
+def release() -> None:
+    """Give freed memory back to the system; Spark keeps its Python workers between stages."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def sha256_hex(column) -> F.Column:
     return F.sha2(column, 256)

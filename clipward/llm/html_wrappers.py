@@ -38,7 +38,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clipward.llm.frames import stored
+from clipward.llm.frames import small_batches, stored
 from clipward.llm.language import host_of
 
 DEPTH = 150
@@ -423,6 +423,7 @@ def infer(pages: DataFrame, html: str, host: str) -> DataFrame:
         row = {"host": group["host"].iloc[0], "wrapper": _dump(merged), "n_pages": group["n_pages"].sum()}
         return pd.DataFrame([row])
 
+    small_batches(pages.sparkSession)
     schema = "host string, wrapper string, n_pages long"
     partial = pages.select(F.col(host).alias("host"), html).mapInArrow(read, schema)
     salt = F.pmod(F.xxhash64("wrapper"), F.lit(SALTS)).alias("salt")

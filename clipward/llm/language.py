@@ -33,7 +33,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clipward.llm import hashing
-from clipward.llm.frames import add_arrow_columns, stored
+from clipward.llm.frames import add_arrow_columns, small_batches, stored
 
 SAMPLE_ROWS = 400
 BITS = 16
@@ -81,6 +81,7 @@ def _parts(text: str) -> Iterator[str]:
 
 def fit_text(docs: DataFrame, text: str, label: str, sample_rows: int = SAMPLE_ROWS) -> Model:
     """The trigram model from about ``sample_rows`` labelled rows of each language."""
+    small_batches(docs.sparkSession)
     named = docs.where(F.col(label).isNotNull() & (F.length(text) > 0)).select(
         F.lower(F.trim(label)).alias("label"), F.col(text).alias("text")
     )

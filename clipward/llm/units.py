@@ -2,7 +2,7 @@
 
 Several operators ask which content keys (hashes of windows or shingles) occur elsewhere. Sending
 every key with its document costs more than the text itself. So documents are packed into stored
-units of about two megabytes of text. Each unit sends every distinct key once, as sorted arrays cut
+units of about one megabyte of text. Each unit sends every distinct key once, as sorted arrays cut
 by hash bucket; a bucket decides over its keys and answers the units that hold them. A key that
 sits in a third of all documents is one entry per unit, so no bucket grows with it. The answers are
 joined back to the unit table, which is bucketed by unit: only the answers are shuffled. All numpy
@@ -22,9 +22,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clipward.llm.frames import release, small_batches
 from clipward.session import scratch_path
 
-UNIT_BYTES = 2 << 20
+UNIT_BYTES = 1 << 20
 UNIT_ROWS = 1 << 20
 BUCKET_TEXT = 8 << 20  # text bytes whose keys fall into one bucket, about
 
@@ -128,6 +129,7 @@ def pack(df: DataFrame, text: str, unit_bytes: int = UNIT_BYTES) -> Units:
         if held:
             yield unit()
 
+    small_batches(df.sparkSession)
     made = df.mapInArrow(run, "unit long, n_bytes long, payload binary")
     frame = by_unit(made, "units")
     n_bytes = frame.agg(F.coalesce(F.sum("n_bytes"), F.lit(0))).first()[0]
@@ -169,6 +171,8 @@ def each_unit(
                 given = [columns[n][i].as_py() or [] for n in names]
                 rows = unpack_rows(columns["payload"][i].as_buffer())
                 yield from make(columns["unit"][i].as_py(), rows, *given)
+                del rows, given
+                release()
 
     return frame.mapInArrow(run, schema)
 
