@@ -7,10 +7,15 @@ what they share is frequent. Per sample, every shingle draws r, c (gamma) and be
 t = floor(ln w / r + beta), ln a = ln c - r (t - beta) - r, and the least a gives the sample (shingle, t).
 Two documents agree on a sample with their weighted Jaccard similarity.
 
-``BANDS`` bands of ``ROWS`` samples propose pairs. Within a band key, each unit of documents and then each
-bucket compares sample lists and proposes, per document, its two nearest earlier documents, so a
-group of m documents makes at most 2m pairs. Every pair is then verified with the exact weighted
-Jaccard similarity; classes are the connected components of the verified links.
+``BANDS`` bands of ``ROWS`` samples propose pairs, in two rounds. First, within a band key, each unit of
+documents and then each bucket compares sample lists and proposes, per document, its two nearest
+earlier documents, so a group of m documents makes at most 2m pairs. Every pair is verified with the
+exact weighted Jaccard similarity; classes are the connected components of the verified links. Then
+every band key that still holds more than one class proposes all its pairs of different classes, one
+document for equal vectors of a class; they are verified too. So a pair that shares a band key is left
+out only if it is refused exactly, in one class already, or too unlike in total weight. Keys with
+many such documents are compared in blocks of ``CELL``; their pairs grow with the square of the
+documents that are alike enough for a key and yet in different classes.
 
 Cases: documents with fewer than five words are one shingle; documents without words (null or empty
 text) are alone in their class; equal texts are linked; a class is named by its smallest document id
@@ -40,6 +45,8 @@ ROWS = 3
 THRESHOLD = 0.8
 LIKELY = 0.6  # share of equal samples from which a pair is verified
 BLOCK = 256
+CELL = 1024  # documents of a key compared at once in the second round
+VECTORS = 4096  # vectors sent to a unit at once
 
 _SEED = 0x9E3779B97F4A7C15
 _ROW_BITS = 21  # more than a unit's rows
@@ -201,7 +208,7 @@ def _pair_batch(pairs: list) -> pa.RecordBatch:
 
 
 def _signatures(packed: Units, df: DataFrame, text: str, drop_bits: int, n_all: int) -> Units:
-    """Per unit: total weight, band keys and 16-bit marks of every document."""
+    """Per unit: total weight, band keys, 16-bit marks and vector hash of every document."""
 
     def make(unit: int, rows: pa.RecordBatch, answer: list[dict]) -> Iterator[pa.RecordBatch]:
         held = _shingles(rows, text, drop_bits)
@@ -210,14 +217,17 @@ def _signatures(packed: Units, df: DataFrame, text: str, drop_bits: int, n_all:
         total = np.bincount(held.doc, weight, minlength=held.n_docs)
         keys = band_keys(drawn)
         marks = (drawn & np.uint64(0xFFFF)).astype(np.uint16)
+        same = np.zeros(held.n_docs, np.uint64)
+        np.add.at(same, held.doc, hashing.mix(held.key + held.count.astype(np.uint64) * np.uint64(_SEED)))
         payload = units.pack_rows(
             pa.RecordBatch.from_arrays(
                 [
                     pa.array(total),
                     pa.array([k.tobytes() for k in keys], pa.binary()),
                     pa.array([m.tobytes() for m in marks], pa.binary()),
+                    pa.array(same.view(np.int64)),
                 ],
-                ["weight", "keys", "marks"],
+                ["weight", "keys", "marks", "same"],
             )
         )
         yield pa.RecordBatch.from_arrays(
@@ -315,6 +325,113 @@ def _candidates(signed: Units) -> DataFrame:
     return met.unionByName(members.where("b IS NOT NULL").select("b", "a")).distinct()
 
 
+_MET = "cell long, key long, i int, j int, own int, ref long, root long, weight double, same long"
+
+
+def _unsettled(signed: Units, roots: DataFrame) -> DataFrame:
+    """All pairs (b, a) of different classes that share a band key and may reach the threshold."""
+    n_buckets = signed.n_buckets
+    shift = np.uint64(64 - (n_buckets.bit_length() - 1))
+    known = roots.groupBy(F.shiftright("node", _ROW_BITS).alias("unit")).agg(
+        F.collect_list(F.struct("node", "root")).alias("answer")
+    )
+
+    def members(unit: int, rows: pa.RecordBatch, found: list[dict]):
+        """One document per key, class and vector: key, row, ref, root, weight, vector hash."""
+        full, weight, keys, _ = _signed(rows)
+        refs = (unit << _ROW_BITS) + full
+        root = {f["node"]: f["root"] for f in found}
+        root = np.array([root.get(r, r) for r in refs.tolist()], np.int64)
+        same = rows.column(3).to_numpy()[full]
+        at = np.repeat(np.arange(len(full)), BANDS)
+        key = keys.ravel()
+        order = np.lexsort((at, same[at], root[at], key))
+        key, at = key[order], at[order]
+        new = np.ones(len(at), bool)
+        new[1:] = (
+            (key[1:] != key[:-1]) | (root[at[1:]] != root[at[:-1]]) | (same[at[1:]] != same[at[:-1]])
+        )
+        key, at = key[new], at[new]
+        return key, refs[at], root[at], weight[at], same[at]
+
+    def offer(unit: int, rows: pa.RecordBatch, found: list[dict]) -> Iterator[pa.RecordBatch]:
+        key, _, root, _, _ = members(unit, rows, found)
+        if len(key):
+            each, first, n = np.unique(key, return_index=True, return_counts=True)
+            least, most = np.minimum.reduceat(root, first), np.maximum.reduceat(root, first)
+            yield units.entry_batch(unit, each, [least, most, n.astype(np.int64)], n_buckets)
+
+    def decide(keys: np.ndarray, values: list[np.ndarray]):
+        new = np.append(True, keys[1:] != keys[:-1])
+        first, group = np.flatnonzero(new), np.cumsum(new) - 1
+        mixed = np.minimum.reduceat(values[0], first) < np.maximum.reduceat(values[1], first)
+        return mixed[group], [np.add.reduceat(values[2], first)[group]]
+
+    mixed = units.shared(units.each_unit(signed, offer, units.ENTRY, (known,)), decide)
+
+    def deal(unit: int, rows: pa.RecordBatch, found: list[dict], answer: list[dict]):
+        held, values = units.answered(answer)
+        if not len(held):
+            return
+        key, ref, root, weight, same = members(unit, rows, found)
+        hit, at = units.find(key, held)
+        key, ref, root, weight, same = (c[hit] for c in (key, ref, root, weight, same))
+        blocks = -(-values[0][at[hit]] // CELL)
+        own = hashing.mix(root.view(np.uint64) * np.uint64(_SEED) + same.view(np.uint64))
+        own = (own % blocks.astype(np.uint64)).astype(np.int64)
+        copy = np.repeat(np.arange(len(key)), blocks)
+        other = np.arange(len(copy)) - np.repeat(np.cumsum(blocks) - blocks, blocks)
+        i, j = np.minimum(own[copy], other), np.maximum(own[copy], other)
+        one = key[copy]
+        cell = hashing.mix(hashing.mix(one + i.astype(np.uint64)) + j.astype(np.uint64))
+        # Keys of one block share a cell by bucket; each cell of a larger key is a group.
+        cell = np.where(blocks[copy] == 1, one >> shift, cell | np.uint64(1 << 63))
+        columns = [cell.view(np.int64), one.view(np.int64), i.astype(np.int32), j.astype(np.int32)]
+        columns += [own[copy].astype(np.int32), ref[copy], root[copy], weight[copy], same[copy]]
+        for a in range(0, len(copy), 1 << 16):
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(c[a : a + (1 << 16)]) for c in columns],
+                ["cell", "key", "i", "j", "own", "ref", "root", "weight", "same"],
+            )
+
+    met = units.each_unit(signed, deal, _MET, (known, mixed))
+
+    def compare(table: pa.Table) -> pa.Table:
+        c = {n: table.column(n).to_numpy() for n in table.column_names}
+        order = np.lexsort((c["ref"], c["same"], c["root"], c["own"], c["j"], c["i"], c["key"]))
+        c = {n: v[order] for n, v in c.items()}
+
+        def changes(*names: str) -> np.ndarray:
+            new = np.ones(len(order), bool)
+            new[1:] = np.any([c[n][1:] != c[n][:-1] for n in names], axis=0)
+            return new
+
+        once = changes("key", "i", "j", "own", "root", "same")
+        begins = changes("key", "i", "j")[once]
+        c = {n: v[once] for n, v in c.items()}
+        cuts = np.flatnonzero(begins)
+        out = []
+        for a, b in zip(cuts, [*cuts[1:], len(begins)]):
+            ref, root, weight, own = (c[n][a:b] for n in ("ref", "root", "weight", "own"))
+            lone = c["i"][a] == c["j"][a]
+            left = np.flatnonzero(own == c["i"][a])
+            right = left if lone else np.flatnonzero(own == c["j"][a])
+            for k in range(0, len(left), BLOCK):
+                part = left[k : k + BLOCK]
+                low = np.minimum.outer(weight[part], weight[right])
+                high = np.maximum.outer(weight[part], weight[right])
+                ok = (low >= (THRESHOLD - 1e-9) * high) & (root[part][:, None] != root[right][None, :])
+                if lone:
+                    ok &= ref[part][:, None] < ref[right][None, :]
+                x, y = np.nonzero(ok)
+                x, y = ref[part[x]], ref[right[y]]
+                out.append(np.stack([np.maximum(x, y), np.minimum(x, y)], 1))
+        pairs = np.unique(np.concatenate([np.empty((0, 2), np.int64), *out]), axis=0)
+        return pa.Table.from_batches([_pair_batch(pairs)])
+
+    return met.groupBy("cell").applyInArrow(compare, _PAIR).distinct()
+
+
 def weighted_jaccard(a: tuple, b: tuple) -> float:
     """Of two vectors (ascending keys, weights)."""
     known, at = units.find(a[0], b[0])
@@ -325,10 +442,14 @@ def weighted_jaccard(a: tuple, b: tuple) -> float:
 def _verified(packed: Units, pairs: DataFrame, df: DataFrame, text: str, drop_bits: int, n_all: int) -> DataFrame:
     """Pairs (b, a) whose weighted Jaccard similarity reaches the threshold."""
     unit_of = lambda c: F.shiftright(c, _ROW_BITS)
+    asked = pairs.select(F.col("a").alias("ref"), unit_of("b").alias("to")).distinct()
+    # A unit that is sent many vectors takes them in several parts.
+    parts = asked.groupBy(F.col("to").alias("unit")).agg(
+        F.ceil(F.count("*") / VECTORS).alias("parts")
+    )
+    part = F.pmod(F.xxhash64("ref"), F.col("parts")).alias("part")
     asked = (
-        pairs.select(F.col("a").alias("ref"), unit_of("b").alias("to"))
-        .distinct()
-        .groupBy(unit_of("ref").alias("unit"))
+        asked.groupBy(unit_of("ref").alias("unit"))
         .agg(F.collect_list(F.struct("ref", "to")).alias("answer"))
     )
 
@@ -353,16 +474,25 @@ def _verified(packed: Units, pairs: DataFrame, df: DataFrame, text: str, drop_bi
     sent = units.each_unit(
         packed, send, "unit long, ref long, keys binary, counts binary, df binary", (df, asked)
     )
-    vectors = sent.groupBy("unit").agg(
-        F.collect_list(F.struct("ref", "keys", "counts", "df")).alias("answer")
+    vectors = (
+        sent.join(parts, "unit")
+        .groupBy("unit", part)
+        .agg(F.collect_list(F.struct("ref", "keys", "counts", "df")).alias("given"))
+    )
+    mine = (
+        pairs.select(unit_of("b").alias("unit"), F.col("a").alias("ref"), "b", "a")
+        .join(parts, "unit")
+        .groupBy("unit", part)
+        .agg(F.collect_list(F.struct("b", "a")).alias("wanted"))
     )
-    mine = pairs.groupBy(unit_of("b").alias("unit")).agg(
-        F.collect_list(F.struct("b", "a")).alias("answer")
+    both = vectors.join(mine, ["unit", "part"]).select(
+        "unit", F.struct("given", "wanted").alias("answer")
     )
 
-    def verify(unit, rows, frequencies, given, wanted) -> Iterator[pa.RecordBatch]:
-        if not wanted:
+    def verify(unit, rows, frequencies, answer) -> Iterator[pa.RecordBatch]:
+        if not answer:
             return
+        given, wanted = answer["given"], answer["wanted"]
         held = _shingles(rows, text, drop_bits)
         weight = _weigh(held.count, _frequencies(held, frequencies), n_all)
         first, kept, others = held.first(), [], {g["ref"]: g for g in given}
@@ -376,7 +506,7 @@ def _verified(packed: Units, pairs: DataFrame, df: DataFrame, text: str, drop_bi
         if kept:
             yield _pair_batch(kept)
 
-    return units.each_unit(packed, verify, _PAIR, (df, vectors, mine))
+    return units.each_unit(packed, verify, _PAIR, (df, both))
 
 
 def _classes(packed: Units, id_col: str, text: str) -> DataFrame:
@@ -400,7 +530,13 @@ def _classes(packed: Units, id_col: str, text: str) -> DataFrame:
     signed = _signatures(packed, df, text, drop_bits, n_all)
     pairs = stored(_candidates(signed), "pairs")
     links = stored(_verified(packed, pairs, df, text, drop_bits, n_all), "verified")
-    roots = graphs.components(links)
+    roots = stored(graphs.components(links), "roots")
+    rest = stored(_unsettled(signed, roots).join(pairs, ["b", "a"], "left_anti"), "rest")
+    if not rest.isEmpty():
+        more = stored(_verified(packed, rest, df, text, drop_bits, n_all), "verified")
+        if not more.isEmpty():
+            within = roots.select(F.col("node").alias("b"), F.col("root").alias("a"))
+            roots = graphs.components(within.unionByName(more))
     return refs.join(roots.withColumnRenamed("node", "ref"), "ref", "left")
 
 

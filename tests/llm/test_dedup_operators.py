@@ -222,6 +222,29 @@ def test_large_groups_make_few_pairs():
     assert len(leads) < 10 and 990 <= len(pairs) <= 2000
 
 
+def test_pairs_inside_a_group_of_look_alikes(spark):
+    draw = random.Random(11)
+    say = lambda n: [f"{draw.randrange(16**6):06x}" for _ in range(n)]
+    base, texts, want = say(244), [], {}
+    for i in range(160):
+        own, other = say(12), say(12)
+        shared = say(8)
+        texts += [base + shared + own, base + shared + other]
+        want |= {2 * i: 2 * i, 2 * i + 1: 2 * i}
+    order = list(range(0, 320, 2)) + list(range(1, 320, 2))  # partners are far apart
+    rows = spark.createDataFrame([(i, " ".join(texts[i])) for i in order], "doc_id long, text string")
+    bags = weights([" ".join(t) for t in texts])
+    assert similarity(bags[0], bags[1]) > 0.83 and 0.7 < similarity(bags[0], bags[2]) < 0.78
+    got = {r.doc_id: r.class_id for r in weighted_minhash.classes(rows.repartition(3, "doc_id")).collect()}
+    assert got == want
+
+
+def test_second_round_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(weighted_minhash, "CELL", 7)
+    monkeypatch.setattr(weighted_minhash, "VECTORS", 5)
+    test_near_classes(spark)
+
+
 def test_components(spark):
     chain = [(i, i + 1) for i in range(40)] + [(100, 101), (103, 101), (7, 7)]
     got = {r.node: r.root for r in graphs.components(spark.createDataFrame(chain, "a long, b long")).collect()}
