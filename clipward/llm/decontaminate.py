@@ -1,11 +1,17 @@
-"""Training passages that copy test items: rare n-gram seeds, then Smith-Waterman alignment.
+"""Training passages that copy test items: word pairs as seeds, a counting bound, then Smith-Waterman.
 
-Texts are lowered and cut into words of letters, digits and non-ASCII characters. Every run of
-``seed_words`` words of a test item is a seed (shorter items are one seed). One scan of the corpus
-looks every n-gram up among the seeds and keeps, per document and item, the words around each group
-of hits on about the same diagonal. Seeds are weighted by rarity over all documents, 1 / ln(e + df):
-one fairly rare seed or a few common ones make a candidate. Candidates are aligned word by word
-(match 2, mismatch and gap -1); the score is divided by the item's own, and kept from ``min_score`` on.
+Texts are lowered and cut into words of letters, digits and non-ASCII characters. A pair aligns with
+match 2, mismatch and gap -1; the score is divided by the item's own, and kept from ``min_score`` on. So an
+item of L words must reach P = max(2 L min_score, min(MIN_POINTS, 2 L)) points.
+
+Where P = 2 L, only a whole copy counts and the whole item is one seed. Else every two neighbours of
+the item are a seed, which the text may hold side by side or with one word between. Let an alignment
+have m matches and, among its m - 1 steps from match to match, S seeds, u steps that pass over a word
+of the item and v steps that pass over two or more words of the text only. It scores at most
+2 m - u - 2 v, and m + u <= L, u + S <= m - 1, so S >= (2 P - L - 3) / 3; its text is at most 3 L - P
+words long. One scan of the corpus aligns every document and item with that many seeds so near each
+other, around them; no document frequency plays a part. For ``min_score`` under 0.5 the bound falls to
+one seed, which long items at less than 0.3 need not hold.
 
 Test items are held in blocks of bounded size (``BLOCK_WORDS``); with more items there are more
 blocks, each scanning the corpus once, so what is broadcast never grows.
@@ -32,10 +38,9 @@ from pyspark.sql import types as T
 from clipward.llm import hashing
 from clipward.llm.frames import release, small_batches, stored
 
-SEED_WORDS = 4
+SEED_WORDS = 2
 MIN_SCORE = 0.5
 MIN_POINTS = 12
-RARITY = 0.2
 BLOCK_WORDS = 1 << 20
 PART_BYTES = 2 << 20
 MATCH, MISS, GAP = 2, -1, -1
@@ -55,6 +60,8 @@ class Items:
     item: np.ndarray
     place: np.ndarray
     size: np.ndarray
+    needed: np.ndarray  # seeds an accepted copy holds at least, per item
+    span: np.ndarray  # words of text it covers at most
 
     @property
     def sizes(self) -> list[int]:
@@ -69,23 +76,31 @@ def _words_of(texts: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return hashes, doc, np.searchsorted(doc, np.arange(len(texts) + 1))
 
 
-def read_items(rows: list, seed_words: int) -> Items:
+def read_items(rows: list, seed_words: int, min_score: float = MIN_SCORE) -> Items:
     ids, texts = [r[0] for r in rows], [r[1] or "" for r in rows]
     hashes, _, first = _words_of(texts)
     words = [hashes[a:b] for a, b in zip(first[:-1], first[1:])]
     seeds, item, place, size = [], [], [], []
+    needed, span = np.ones(len(words), np.int64), np.zeros(len(words), np.int64)
     for i, w in enumerate(words):
-        n = min(seed_words, len(w))
+        best = MATCH * len(w)
+        least = max(math.ceil(best * min_score - 1e-9), min(MIN_POINTS, best))
+        n = len(w) if least >= best else min(seed_words, len(w))
         if n:
             found = hashing.window_hashes(w, n)
             seeds.append(found)
             item += [i] * len(found)
             place += range(len(found))
-            size += [n] * len(found)
+            size += [n if least < best else -n] * len(found)
+            span[i] = max(len(w), 3 * len(w) - least)
+            if least < best:
+                # The bound is that of pairs; other seeds are taken at the first hit.
+                pairs = -(-(2 * least - len(w) - 3) // 3)
+                needed[i] = max(1, pairs) if n == 2 else 1
     flat = np.concatenate([np.empty(0, np.uint64), *seeds])
     order = np.argsort(flat, kind="stable")
     columns = (np.array(c, np.int64)[order] for c in (item, place, size))
-    return Items(ids, words, flat[order], *columns)
+    return Items(ids, words, flat[order], *columns, needed, span)
 
 
 def _lookup(items: Items) -> np.ndarray:
@@ -95,27 +110,62 @@ def _lookup(items: Items) -> np.ndarray:
 
 
 def _hits(items: Items, seen: np.ndarray, hashes: np.ndarray, doc: np.ndarray):
-    """(word position, seed entry) of every n-gram that is a seed and stays in its document."""
+    """(word position, seed entry) of every seed in a document; pairs also with one word between."""
     at, entry = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-    for n in items.sizes:
-        grams = hashing.window_hashes(hashes, n)
+
+    def look(grams: np.ndarray, width: int, size: int) -> None:
         near = np.flatnonzero(seen[(grams >> _BITS).astype(np.int64)])
-        near = near[doc[near] == doc[near + n - 1]]
+        near = near[doc[near] == doc[near + width - 1]]
         lo = np.searchsorted(items.seeds, grams[near])
         hi = np.searchsorted(items.seeds, grams[near], side="right")
         run = np.repeat(np.arange(len(near)), hi - lo)
         found = np.arange(len(run)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[run]
-        right = items.size[found] == n
+        right = items.size[found] == size
         at.append(near[run][right])
         entry.append(found[right])
+
+    for n in items.sizes:
+        look(hashing.window_hashes(hashes, abs(n)), abs(n), n)
+        if n == 2:
+            look(_apart(hashes), 3, n)
     return np.concatenate(at), np.concatenate(entry)
 
 
+def _apart(hashes: np.ndarray) -> np.ndarray:
+    """Hash of every word and the next but one, as if they were neighbours."""
+    n = max(0, len(hashes) - 2)
+    out = np.empty(n, np.uint64)
+    for odd in (0, 1):
+        pairs = hashing.window_hashes(hashes[odd::2], 2)
+        out[odd::2] = pairs
+    return out
+
+
+def _near(items: Items, doc: np.ndarray, item: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Which hits, sorted by document, item and position, are in a span with enough of them."""
+    ok = np.zeros(len(at), bool)
+    for n in np.unique(items.needed[item]).tolist():
+        mine = np.flatnonzero(items.needed[item] == n)
+        if len(mine) < n:
+            continue
+        head, tail = mine[: len(mine) - n + 1], mine[n - 1 :]
+        full = (
+            (doc[head] == doc[tail])
+            & (item[head] == item[tail])
+            & (at[tail] - at[head] <= items.span[item[head]])
+        )
+        change = np.zeros(len(mine) + 1, np.int64)
+        places = np.flatnonzero(full)
+        np.add.at(change, places, 1)
+        np.add.at(change, places + n, -1)
+        ok[mine] = np.cumsum(change[:-1]) > 0
+    return ok
+
+
 _CANDIDATE = T.StructType(
     [
         T.StructField("row", T.LongType()),
         T.StructField("item", T.IntegerType()),
-        T.StructField("seeds", T.ArrayType(T.LongType())),
         T.StructField("start", T.LongType()),
         T.StructField("words", T.ArrayType(T.LongType())),
     ]
@@ -132,27 +182,25 @@ def _scan(docs: DataFrame, ids: list[str], text: str, shared) -> DataFrame:
         if not len(at):
             return None
         item = items.item[entry]
-        start = at - items.place[entry]
-        length = np.array([len(w) for w in items.words])
-        order = np.lexsort((start, item, doc[at]))
-        at, entry, item, start = at[order], entry[order], item[order], start[order]
-        own = doc[at]
+        order = np.lexsort((at, item, doc[at]))
+        at, item = at[order], item[order]
+        near = _near(items, doc[at], item, at)
+        at, item = at[near], item[near]
+        if not len(at):
+            return None
+        own, span = doc[at], items.span[item]
         new = np.ones(len(at), bool)
-        new[1:] = (
-            (own[1:] != own[:-1]) | (item[1:] != item[:-1]) | (np.diff(start) > length[item[1:]])
-        )
+        new[1:] = (own[1:] != own[:-1]) | (item[1:] != item[:-1]) | (np.diff(at) > span[1:])
         begins = np.flatnonzero(new)
         rows: dict[str, list] = {n: [] for n in _CANDIDATE.names}
         picked = []
         for a, b in zip(begins, [*begins[1:], len(at)]):
             d, i = own[a], item[a]
-            slack = length[i] // 2 + 8
-            lo = max(first[d], start[a] - slack)
-            hi = min(first[d + 1], start[b - 1] + length[i] + slack)
+            lo = max(first[d], at[a] - span[a])
+            hi = min(first[d + 1], at[b - 1] + span[a] + 1)
             picked.append(d)
             rows["row"].append(base + int(d))
             rows["item"].append(int(i))
-            rows["seeds"].append(np.unique(items.seeds[entry[a:b]]).view(np.int64))
             rows["start"].append(int(lo - first[d]))
             rows["words"].append(hashes[lo:hi].view(np.int64))
         columns = [
@@ -161,7 +209,6 @@ def _scan(docs: DataFrame, ids: list[str], text: str, shared) -> DataFrame:
         made = [
             pa.array(rows["row"], pa.int64()),
             pa.array(rows["item"], pa.int32()),
-            pa.array(rows["seeds"], pa.list_(pa.int64())),
             pa.array(rows["start"], pa.int64()),
             pa.array(rows["words"], pa.list_(pa.int64())),
         ]
@@ -221,7 +268,7 @@ def align(items: list[np.ndarray], texts: list[np.ndarray]) -> tuple[np.ndarray,
     return best, end
 
 
-def _aligned(candidates: DataFrame, ids: list[str], shared, weights) -> DataFrame:
+def _aligned(candidates: DataFrame, ids: list[str], shared) -> DataFrame:
     schema = T.StructType(
         [
             *(candidates.schema[c] for c in ids),
@@ -234,12 +281,10 @@ def _aligned(candidates: DataFrame, ids: list[str], shared, weights) -> DataFram
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        items, weight = shared.value, weights.value
+        items = shared.value
         for batch in batches:
-            seeds = batch.column(batch.schema.get_field_index("seeds")).to_pylist()
-            chosen = [i for i, s in enumerate(seeds) if sum(weight[x] for x in s) >= RARITY]
             column = batch.column(batch.schema.get_field_index("words"))
-            chosen.sort(key=lambda i: len(column[i]))
+            chosen = sorted(range(batch.num_rows), key=lambda i: len(column[i]))
             index = batch.column(batch.schema.get_field_index("item")).to_pylist()
             start = batch.column(batch.schema.get_field_index("start")).to_pylist()
             for a in range(0, len(chosen), 128):
@@ -283,15 +328,10 @@ def find_copies(
     found = None
     for b in range(n_blocks):
         mine = tests.where(F.pmod(F.xxhash64("item_id", "t"), F.lit(n_blocks)) == b)
-        held = read_items([tuple(r) for r in mine.orderBy("item_id", "t").collect()], seed_words)
+        held = read_items([tuple(r) for r in mine.orderBy("item_id", "t").collect()], seed_words, min_score)
         shared = spark.sparkContext.broadcast(held)
         candidates = stored(_scan(docs, list(ids), text, shared), "candidates")
-        seen = candidates.select("row", F.explode("seeds").alias("seed")).distinct()
-        counts = seen.groupBy("seed").count().collect()  # at most the block's seeds
-        weights = spark.sparkContext.broadcast(
-            {r["seed"]: 1 / math.log(math.e + r["count"]) for r in counts}
-        )
-        scored = _aligned(candidates, list(ids), shared, weights)
+        scored = _aligned(candidates, list(ids), shared)
         names = spark.createDataFrame(
             list(enumerate(held.ids)), "item int, item_id long"
         )

@@ -304,6 +304,28 @@ def test_copies_are_found_and_others_are_not(spark):
     assert decontaminate.find_copies(frame(spark, texts), tests.where("false")).count() == 0
 
 
+def test_every_accepted_copy_is_found(spark):
+    draw = random.Random(9)
+    word = lambda: "".join(draw.choice("abcdefgh") for _ in range(9))
+    say = lambda n: [word() for _ in range(n)]
+    items = [say(28), say(12), say(4), say(5)]
+    fourth = [word() if i % 4 == 3 else w for i, w in enumerate(items[0])]
+    spread = [x for w in items[1] for x in (w, word())]
+    third = [word() if i % 3 == 2 else w for i, w in enumerate(items[0])]
+    texts = [say(20) + fourth + say(9), say(7) + spread + say(30), third + say(3)]
+    texts += [say(3) + items[2] + say(3) for _ in range(200)] + [items[3] + say(2), items[3][:4] + say(9)]
+    bench = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(items)], "item_id long, text string")
+    want = set()
+    for d, t in enumerate(texts):
+        for i, w in enumerate(items):
+            points = smith_waterman(w, t)
+            if points >= max(len(w), min(12, 2 * len(w))):
+                want.add((d, i, points))
+    got = decontaminate.find_copies(frame(spark, [" ".join(t) for t in texts]), bench).collect()
+    assert {(r.doc_id, r.item_id, r.points) for r in got} == want
+    assert {(0, 0), (1, 1), (3, 2), (202, 2), (203, 3)} <= {w[:2] for w in want} and len(want) >= 204
+
+
 # ---------------------------------------------------------------- empty tables
 
 
