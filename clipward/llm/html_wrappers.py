@@ -13,6 +13,9 @@ the body without fixed slots. Inside a region, whatever is named as navigation,
 bar, notice, advert, form, script, style or comments is left out. A page that has no text in
 its host's best region falls back to the next; where only fixed slots are left, they are the text.
 
+Class and id names leave out no body, main or article element and no element with a class of its own for content (unless
+another class is itself such a name); nor one that holds the page's only article, main or content elements.
+
 Text: character references are decoded, white space inside a block becomes one space, blocks are
 joined by one line break; ``br`` is white space. Nothing else is dropped or shortened.
 
@@ -81,6 +84,7 @@ NAMED = frozenset(
     "login signup search pagination pager toolbar widget".split()
 )
 ROLES = frozenset("navigation banner contentinfo complementary search dialog alert".split())
+WHOLE = frozenset("html body main article".split())  # never left out by class or id names
 CONTENT = frozenset("content post entry article story".split())
 
 _TOKEN = re.compile(
@@ -114,10 +118,12 @@ def _kind(label: str) -> str:
     tag, *names = label.split(" ")
     if tag in SKIPPED or "hidden" in names:
         return "skip"
+    values = {name[2:] for name in names if name[0] != "r"}
+    named = tag not in WHOLE and (not values & CONTENT or bool(values & NAMED))
     for name in names:
         kind, _, value = name.partition(":")
         words = set(re.split(r"[-_]+", value))
-        if (kind == "r" and value in ROLES) or (kind != "r" and words & NAMED):
+        if (kind == "r" and value in ROLES) or (kind != "r" and named and words & NAMED):
             return "skip"
         if kind == "r" and value == "main":
             return "main"
@@ -133,6 +139,43 @@ def _kind(label: str) -> str:
 
 def parse(page: str) -> list:
     """The page as [label, members]; a member is such a list or a text."""
+    root = _parse(page)
+    _unname(root)
+    return root
+
+
+def _by_name(label: str) -> bool:
+    """Left out for its class or id names only."""
+    tag, *names = label.split(" ")
+    others = " ".join([tag, *(n for n in names if n[:2] not in ("c:", "i:"))])
+    return _kind(label) == "skip" and _kind(others) != "skip"
+
+
+def _unname(root: list) -> None:
+    """Where all regions are inside elements that names leave out, those lose their names."""
+    held: list[list] = []
+    todo: list[tuple[list, tuple]] = [(root, ())]
+    while todo:
+        node, around = todo.pop()
+        kind = _kind(node[0])
+        if kind == "skip":
+            if not _by_name(node[0]):
+                continue
+            around = (node, around)
+        elif kind in _ORDER:
+            if not around:
+                return
+            while around:
+                held.append(around[0])
+                around = around[1]
+            continue
+        todo += [(m, around) for m in node[1] if not isinstance(m, str)]
+    for node in held:
+        tag, *names = node[0].split(" ")
+        node[0] = " ".join([tag, *(n for n in names if n[:2] not in ("c:", "i:"))])
+
+
+def _parse(page: str) -> list:
     root: list = ["html", []]
     stack = [root]
     at = 0

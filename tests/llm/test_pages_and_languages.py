@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import random
 
+import pytest
+
 from pyspark.sql import functions as F
 
 from clipward.llm import html_wrappers as wrappers
@@ -191,3 +193,19 @@ def test_pipeline_stages_take_effect(spark, sf_dir):
     assert decoded[0] == first and decoded[2] == rows[2][1] and decoded[6] == rows[6][1]
     assert passage.split()[5] not in decoded[7].split() or passage not in decoded[7]
     assert len(decoded[7].split()) == 100
+
+
+@pytest.mark.parametrize(
+    "page",
+    [
+        "<body class='has-sidebar'><article><p>kept</p></article></body>",
+        "<body><main class='no-sidebar'><p>kept</p></main></body>",
+        "<body><article class='post comments-open'><p>kept</p></article></body>",
+        "<body><div class='content ad-free'><p>kept</p></div></body>",
+        "<body><div class='layout-sidebar'><article><p>kept</p></article></div></body>",
+        "<body><article><p>kept</p><div class='ad'>x</div></article><div class='related'><article>y</article></div></body>",
+        "<body><article><p>kept</p></article><div class='comments content'>x</div></body>",
+    ],
+)
+def test_names_do_not_drop_regions(page):
+    assert wrappers.main_text(page, wrappers.own_wrapper(wrappers.parse(page))) == "kept"
