@@ -12,8 +12,11 @@ from clipward.llm import (
     bpe,
     chat,
     decontaminate,
+    fill_in_middle,
     html_wrappers,
     language,
+    periodic_runs,
+    personal_data,
     suffix_dedup,
     token_counts,
     topk,
@@ -218,3 +221,105 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted.select(
         "doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > 1024).alias("over_limit")
     )
+
+
+@register()
+def op11_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every whole text: counts of all spans, the plain ones as a digest, all spans."""
+    found = personal_data.find(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    said = lambda s: F.concat_ws(":", s["kind"], s["start"].cast("string"), s["end"].cast("string"))
+    listed = lambda spans: F.array_join(F.transform(spans, said), ",")
+    plain = F.filter("spans", lambda s: s["plain"])
+    kinds = F.transform("spans", lambda s: s["kind"])
+    counts = [
+        (F.size("spans") - F.size(F.array_remove(kinds, kind))).cast("long").alias(f"n_{kind}")
+        for kind in personal_data.KINDS
+    ]
+    return found.select(
+        "doc_id",
+        *counts,
+        sha256_hex(listed(plain)).alias("base_sha256"),
+        listed(F.col("spans")).alias("spans"),
+        (F.size("spans") - F.size(plain)).cast("long").alias("n_disguised"),
+    )
+
+
+_FILL_IN_MIDDLE = """
+WITH split AS (
+  SELECT doc_id, coalesce(text, '') AS text, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h,
+         regexp_extract_all(coalesce(text, ''), '[^\n]*\n|[^\n]+') AS units
+  FROM documents),
+drawn AS (
+  SELECT *, CAST(len(units) AS BIGINT) AS n,
+         [CAST('0x' || h[1 + 8 * i : 8 + 8 * i] AS BIGINT) FOR i IN [0, 1, 2, 3]] AS draws
+  FROM split),
+cut AS (
+  SELECT *, least(draws[1] % (n + 1), draws[2] % (n + 1)) AS a, greatest(draws[1] % (n + 1), draws[2] % (n + 1)) AS b,
+         CASE WHEN text = '' OR contains(text, '<P>') OR contains(text, '<S>') OR contains(text, '<M>')
+                   OR draws[3] % 100 >= 100 THEN 'plain'
+              WHEN draws[4] % 100 < 50 THEN 'spm' ELSE 'psm' END AS form
+  FROM drawn),
+parts AS (
+  SELECT *, array_to_string(units[1 : a], '') AS prefix, array_to_string(units[a + 1 : b], '') AS middle,
+         array_to_string(units[b + 1 :], '') AS suffix
+  FROM cut)
+SELECT doc_id, n, form,
+       CASE WHEN form <> 'plain' THEN length(prefix) END AS prefix_chars,
+       CASE WHEN form <> 'plain' THEN length(middle) END AS middle_chars,
+       sha256(CASE form WHEN 'plain' THEN text WHEN 'psm' THEN '<P>' || prefix || '<S>' || suffix || '<M>' || middle
+              ELSE '<S>' || suffix || '<P>' || prefix || '<M>' || middle END) AS output_sha256,
+       sha256(text) AS restored_sha256
+FROM parts"""
+
+
+@register(_FILL_IN_MIDDLE)
+def op12_fill_in_middle(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every whole text cut into lines and rearranged, and the text rebuilt from that."""
+    made = fill_in_middle.transform(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return made.select(
+        "doc_id",
+        "n",
+        "form",
+        "prefix_chars",
+        "middle_chars",
+        sha256_hex("output").alias("output_sha256"),
+        sha256_hex("restored").alias("restored_sha256"),
+    )
+
+
+def _with_periods(docs: DataFrame) -> DataFrame:
+    """``docs`` where every tenth text, by the checksum of its id, ends in a repeated stretch of its own words."""
+    h = F.crc32(F.col("doc_id").cast("string"))
+    words = F.filter(F.split("text", "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
+    n, g = F.size("words"), F.floor(h / 10)
+    a = g % n
+    p = F.lit(1) + F.floor((n - a) / (F.lit(3) + g % 8))
+    source = F.transform(
+        F.sequence(F.lit(0), n - 1), lambda i: F.when(i < a, i).otherwise(a + (i - a) % p)
+    )
+    repeated = F.array_join(F.transform(source, lambda i: F.get("words", i.cast("int"))), " ")
+    docs = docs.withColumn("words", F.when(h % 10 == 0, words))
+    return docs.withColumn("text", F.when(F.size("words") > 0, repeated).otherwise(F.col("text"))).drop("words")
+
+
+@register()
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Periodic runs of every whole text, the one of most periods, and the text with runs collapsed."""
+    docs = _with_periods(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    found = periodic_runs.collapse(docs)
+    # The first of the most repeated: runs are in order of start, then period.
+    better = lambda best, r: F.when(
+        best.isNull() | (r["length"] * best["period"] > best["length"] * r["period"]), r
+    ).otherwise(best)
+    best = F.aggregate("runs", F.lit(None).cast("struct<start:bigint,length:bigint,period:bigint>"), better)
+    line = F.transform("runs", lambda r: F.concat(F.concat_ws(",", *(r[n].cast("string") for n in ("start", "length", "period"))), F.lit("\n")))
+    return found.withColumn("best", best).select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.lit(1000) * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        sha256_hex(F.array_join(line, "")).alias("runs_sha256"),
+        sha256_hex("collapsed").alias("collapsed_sha256"),
+    )
