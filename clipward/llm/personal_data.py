@@ -8,9 +8,9 @@ character it writes the source range it stands for:
    nine, double seven"); "point" or "dot" between them becomes a point.
 3. ``plain_addresses``: "(at)", "[dot]" and bare "at" and "dot" inside an address become @ and points.
 
-The same detectors run on the result, and their spans are mapped back. Plain spans always stay. A mapped
-one is added unless it equals one or cuts into one of its kind: it may only hold it whole (a longer address
-of which a part was plain).
+After each, the same detectors run on the result, and their spans are mapped back. Plain spans always
+stay. A mapped one is added where it touches no span of its kind; an address, or what look-alikes were
+part of, also where it holds such spans whole and more (a longer address of which a part was plain).
 
 Every detector takes time in proportion to the text: possessive groups and looking behind keep long runs
 from being tried at every place.
@@ -257,33 +257,38 @@ TRANSDUCERS = (plain_characters, plain_digits, plain_addresses)
 def spans(text: str) -> list[tuple[str, int, int, bool]]:
     """(kind, start, end, plain) by start, then kind, then end."""
     base = detect(text)
-    found = [(*span, True) for span in base]
-    given = same = Mapped.identity(text)
+    found = {span: True for span in base}
+    given = Mapped.identity(text)
     for transducer in TRANSDUCERS:
-        given = transducer(given)
-    if given is not same:
-        own = {kind: _Spans([s[1:] for s in base if s[0] == kind]) for kind in KINDS}
+        before, given = given, transducer(given)
+        if given is before:
+            continue
+        known = {kind: _Spans(sorted(s[1:] for s in found if s[0] == kind)) for kind in KINDS}
         for kind, a, b in detect(given.text):
             a, b = given.source(a, b)
-            if own[kind].admits(a, b):
-                found.append((kind, a, b, False))
-    return sorted(found, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
+            # A number word beside a number is no part of it.
+            whole = kind == "email" or transducer is plain_characters
+            if known[kind].admits(a, b, whole):
+                found[kind, a, b] = False
+    rows = [(*span, plain) for span, plain in found.items()]
+    return sorted(rows, key=lambda s: (s[1], KINDS.index(s[0]), s[2]))
 
 
 class _Spans:
-    """Ascending disjoint spans of one kind."""
+    """Spans of one kind, ascending by start."""
 
     def __init__(self, spans: list[tuple[int, int]]):
-        self.starts, self.ends = (np.array([s[i] for s in spans], np.int64) for i in (0, 1))
+        self.starts, ends = (np.array([s[i] for s in spans], np.int64) for i in (0, 1))
+        self.ends = np.maximum.accumulate(ends) if len(ends) else ends
 
-    def admits(self, a: int, b: int) -> bool:
-        """Whether a..b equals none of the spans and holds every one it touches."""
+    def admits(self, a: int, b: int, whole: bool) -> bool:
+        """Whether a..b touches none of the spans or, if ``whole``, holds more than one of them does."""
         lo = int(np.searchsorted(self.ends, a, side="right"))
         hi = int(np.searchsorted(self.starts, b))
-        if lo == hi:
+        if lo >= hi:
             return True
         inside = a <= self.starts[lo] and self.ends[hi - 1] <= b
-        return bool(inside and (hi - lo > 1 or (self.starts[lo], self.ends[lo]) != (a, b)))
+        return bool(whole and inside and (hi - lo > 1 or b - a > self.ends[lo] - self.starts[lo]))
 
 
 _SPAN = T.StructType(

@@ -95,6 +95,12 @@ def test_ordinary_prose_holds_nothing():
         assert personal_data.spans(text) == [], text
 
 
+def test_number_words_beside_numbers_are_no_part_of_them():
+    for text in ("un 79.86.197.198 two", "one 4111 1111 1111 1111 nine", "five five +1 (017) 555-7713 two, six"):
+        assert all(plain for *_, plain in personal_data.spans(text)), text
+        assert len(personal_data.spans(text)) == 1
+
+
 def test_a_longer_address_holds_the_plain_part():
     text = "jоhn@example.com"  # the second letter is Cyrillic
     assert personal_data.spans(text) == [("email", 0, 16, False), ("email", 2, 16, True)]
