@@ -117,30 +117,45 @@ def _sliding(values: np.ndarray, width: int, best: np.ufunc) -> np.ndarray:
     return best(behind[: n - width + 1], ahead[width - 1 : n])
 
 
+_ANCHORS = ("at", "key", "context")
+
+
 class _Contexts:
-    """Anchors of a unit with the range and the identity of their contexts."""
+    """Anchors of a unit with the range and the identity of their contexts.
 
-    def __init__(self, rows: pa.RecordBatch, text: str):
+    ``found`` holds the anchors where an earlier pass has stored them.
+    """
+
+    def __init__(self, rows: pa.RecordBatch, text: str, found: bytes | None = None):
         texts = rows.column(rows.schema.get_field_index(text)).to_pylist()
         self.texts = [(t or "").encode() for t in texts]
         sizes = np.fromiter(map(len, self.texts), np.int64, len(self.texts))
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
         self.data = np.frombuffer(b"".join(self.texts), np.uint8)
-        parts = [self._slice(a) for a in range(0, len(self.data), SLICE)]
-        if not parts:
-            parts = [(np.empty(0, np.int64),) * 3 + (np.empty(0, np.uint64),) * 2]
-        self.at, self.lo, self.hi, self.key, context = map(np.concatenate, zip(*parts))
-        self.pair = hashing.mix(self.key + hashing.mix(context))
-        self.context = context
+        if found is None:
+            parts = [self._slice(a) for a in range(0, len(self.data), SLICE)]
+            if not parts:
+                parts = [(np.empty(0, np.int64),) + (np.empty(0, np.uint64),) * 2]
+            self.at, self.key, self.context = map(np.concatenate, zip(*parts))
+        else:
+            self.at, self.key, self.context = _anchors(units.unpack_rows(found))
+        self.pair = _pairs(self.key, self.context)
+        own = np.searchsorted(self.ends, self.at, side="right")
+        self.lo = np.maximum(self.at - SIDE, self.starts[own])
+        self.hi = np.minimum(self.at + LENGTH, self.ends[own])
+
+    def pack(self) -> bytes:
+        """What ``found`` takes."""
+        columns = [pa.array(self.at)] + [pa.array(c.view(np.int64)) for c in (self.key, self.context)]
+        return units.pack_rows(pa.RecordBatch.from_arrays(columns, _ANCHORS))
 
     def _slice(self, begin: int):
         """Anchors at begin .. begin + SLICE, from a range that holds their contexts."""
         a, b = max(0, begin - LENGTH), min(len(self.data), begin + SLICE + LENGTH)
         n = b - a
-        empty = np.empty(0, np.int64), np.empty(0, np.uint64)
         if n < LENGTH:
-            return empty[0], empty[0], empty[0], empty[1], empty[1]
+            return np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
         sums = hashing.byte_sums(self.data[a:b])
         place = np.arange(n - ANCHOR + 1)
         gram = hashing.byte_hashes(sums, place, place + ANCHOR) | _ONE
@@ -155,7 +170,19 @@ class _Contexts:
         lo = np.maximum(at - SIDE, self.starts[own])
         hi = np.minimum(at + LENGTH, self.ends[own])
         context = hashing.byte_hashes(sums, lo - a, hi - a) + (at - lo).astype(np.uint64)
-        return at, lo, hi, gram[at - a], context
+        # Least hashes are all small; mixed, they spread over the buckets.
+        return at, hashing.mix(gram[at - a]), context
+
+
+def _anchors(rows: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Places, keys and contexts of a unit's stored anchors."""
+    at, key, context = (c.to_numpy() for c in rows.columns)
+    return at, key.view(np.uint64), context.view(np.uint64)
+
+
+def _pairs(key: np.ndarray, context: np.ndarray) -> np.ndarray:
+    """Identity of an anchor in its context."""
+    return hashing.mix(key + hashing.mix(context))
 
 
 def _runs(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -173,30 +200,48 @@ def _repeated_keys(keys: np.ndarray, values: list[np.ndarray]):
     return (np.add.reduceat(values[0], first) > 1)[run], [leads]
 
 
-def _pair_entries(packed: Units, text: str) -> DataFrame:
+_STORED = T.StructType(
+    [T.StructField("unit", T.LongType()), T.StructField("payload", T.BinaryType())]
+)
+
+
+def _stored_anchors(packed: Units, text: str) -> Units:
+    """Anchors of every unit, found once; four later passes read them."""
+
+    def make(unit: int, rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        payload = _Contexts(rows, text).pack()
+        yield pa.RecordBatch.from_arrays([pa.array([unit]), pa.array([payload], pa.binary())], _STORED.names)
+
+    frame = units.by_unit(units.each_unit(packed, make, _STORED), "anchors")
+    return Units(frame.select("unit", "payload"), _STORED, packed.n_bytes)
+
+
+def _pair_entries(known: Units) -> DataFrame:
     """Answers the contexts that occur more than once."""
-    n_buckets = packed.n_buckets
+    n_buckets = known.n_buckets
 
     def make(unit: int, rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
-        keys, times = np.unique(_Contexts(rows, text).pair, return_counts=True)
+        _, key, context = _anchors(rows)
+        keys, times = np.unique(_pairs(key, context), return_counts=True)
         if len(keys):
             yield units.entry_batch(unit, keys, [np.minimum(times, 2)], n_buckets)
 
-    return units.shared(units.each_unit(packed, make, units.ENTRY), _repeated_keys)
+    return units.shared(units.each_unit(known, make, units.ENTRY), _repeated_keys)
 
 
-def _shared_anchors(packed: Units, pairs: DataFrame, text: str, hot: int) -> DataFrame:
+def _shared_anchors(known: Units, pairs: DataFrame, hot: int) -> DataFrame:
     """Answers anchors that have several contexts, one of them unique, and whether they are hot."""
-    n_buckets = packed.n_buckets
+    n_buckets = known.n_buckets
 
     def make(unit: int, rows: pa.RecordBatch, answer: list[dict]) -> Iterator[pa.RecordBatch]:
-        held = _Contexts(rows, text)
-        if not len(held.at):
+        _, key, context = _anchors(rows)
+        if not len(key):
             return
         again, _ = units.answered(answer)
-        single = ~units.find(held.pair, again)[0]
-        order = np.lexsort((held.pair, held.key))
-        key, pair = held.key[order], held.pair[order]
+        pair = _pairs(key, context)
+        single = ~units.find(pair, again)[0]
+        order = np.lexsort((pair, key))
+        key, pair = key[order], pair[order]
         new_pair = np.ones(len(pair), np.int64)
         new_pair[1:] = (pair[1:] != pair[:-1]) | (key[1:] != key[:-1])
         first, _ = _runs(key)
@@ -222,7 +267,7 @@ def _shared_anchors(packed: Units, pairs: DataFrame, text: str, hot: int) -> Dat
         is_hot = np.add.reduceat(n, first) > hot
         return open_[run], [is_hot.astype(np.int64)[run]]
 
-    return units.shared(units.each_unit(packed, make, units.ENTRY, (pairs,)), decide)
+    return units.shared(units.each_unit(known, make, units.ENTRY, (pairs,)), decide)
 
 
 class _Marks:
@@ -254,21 +299,23 @@ def _window_keys(held: _Contexts, chosen: np.ndarray) -> Iterator[tuple[np.ndarr
         yield start, hashing.mix(window + hashing.mix(held.key[own] + away))
 
 
-def _hot_windows(packed: Units, pairs: DataFrame, anchors: DataFrame, text: str) -> DataFrame:
+def _hot_windows(
+    packed: Units, known: DataFrame, pairs: DataFrame, anchors: DataFrame, text: str
+) -> DataFrame:
     """Answers the repeated windows of hot anchors."""
     n_buckets = packed.n_buckets
 
-    def make(unit, rows, pairs_here, anchors_here) -> Iterator[pa.RecordBatch]:
+    def make(unit, rows, known_here, pairs_here, anchors_here) -> Iterator[pa.RecordBatch]:
         if not anchors_here:
             return
-        held = _Contexts(rows, text)
+        held = _Contexts(rows, text, known_here)
         keys = [k for _, k in _window_keys(held, _Marks(held, pairs_here, anchors_here).dealt)]
         if keys:
             keys, times = np.unique(np.concatenate(keys), return_counts=True)
             yield units.entry_batch(unit, keys, [np.minimum(times, 2)], n_buckets)
 
     return units.shared(
-        units.each_unit(packed, make, units.ENTRY, (pairs, anchors)), _repeated_keys
+        units.each_unit(packed, make, units.ENTRY, (known, pairs, anchors)), _repeated_keys
     )
 
 
@@ -285,21 +332,21 @@ _SENT = T.StructType(
 
 
 def _sent(
-    packed: Units, pairs: DataFrame, anchors: DataFrame, text: str, n_blocks: int
+    packed: Units, known: DataFrame, pairs: DataFrame, anchors: DataFrame, text: str, n_blocks: int
 ) -> DataFrame:
     """One copy of each different context of the anchors that have several."""
     shift = np.uint64(64 - (n_blocks.bit_length() - 1))
 
-    def make(unit, rows, pairs_here, anchors_here) -> Iterator[pa.RecordBatch]:
+    def make(unit, rows, known_here, pairs_here, anchors_here) -> Iterator[pa.RecordBatch]:
         if not anchors_here:
             return
-        held = _Contexts(rows, text)
+        held = _Contexts(rows, text, known_here)
         sent = _Marks(held, pairs_here, anchors_here).sent
         contexts = [held.data[a:b].tobytes() for a, b in zip(held.lo[sent], held.hi[sent])]
         key = held.key[sent]
         yield pa.RecordBatch.from_arrays(
             [
-                pa.array((hashing.mix(key) >> shift).astype(np.int32)),
+                pa.array((key >> shift).astype(np.int32)),
                 pa.array(np.full(len(sent), unit, np.int64)),
                 pa.array(key.view(np.int64)),
                 pa.array(held.pair[sent].view(np.int64)),
@@ -309,7 +356,7 @@ def _sent(
             _SENT.names,
         )
 
-    return units.each_unit(packed, make, _SENT, (pairs, anchors))
+    return units.each_unit(packed, make, _SENT, (known, pairs, anchors))
 
 
 def _window_hashes(data: np.ndarray, start: np.ndarray) -> np.ndarray:
@@ -455,14 +502,16 @@ def remove_repeats(
     rows = docs.drop(kept, *counts).withColumn(text, docs[text].cast("string"))
     packed = units.pack(rows, text)
     n_blocks = 1 << max(6, (packed.n_bytes // BLOCK_BYTES).bit_length())
+    contexts = _stored_anchors(packed, text)
+    known = contexts.frame.withColumnRenamed("payload", "answer")
     # Stored, since three later passes read them.
-    pairs = units.by_unit(_pair_entries(packed, text), "pairs")
-    anchors = units.by_unit(_shared_anchors(packed, pairs, text, hot), "anchors")
-    windows = _hot_windows(packed, pairs, anchors, text)
-    found = _repeated(_sent(packed, pairs, anchors, text, n_blocks))
+    pairs = units.by_unit(_pair_entries(contexts), "pairs")
+    anchors = units.by_unit(_shared_anchors(contexts, pairs, hot), "shared")
+    windows = _hot_windows(packed, known, pairs, anchors, text)
+    found = _repeated(_sent(packed, known, pairs, anchors, text, n_blocks))
 
-    def make(unit, rows, *answers) -> Iterator[pa.RecordBatch]:
-        held = _Contexts(rows, text)
+    def make(unit, rows, known_here, *answers) -> Iterator[pa.RecordBatch]:
+        held = _Contexts(rows, text, known_here)
         gone = _gone(held, *answers)
         left, removed, spans = [], [], []
         for whole, a, b in zip(held.texts, held.starts, held.ends):
@@ -489,4 +538,4 @@ def remove_repeats(
             *(T.StructField(c, T.LongType()) for c in counts),
         ]
     )
-    return units.each_unit(packed, make, schema, (pairs, anchors, windows, found))
+    return units.each_unit(packed, make, schema, (known, pairs, anchors, windows, found))

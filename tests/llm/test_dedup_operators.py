@@ -142,6 +142,17 @@ def windows_brute(texts, ids):
 
 
 @pytest.mark.parametrize("odd_ids", [False, True])
+def test_anchor_keys_spread_over_buckets():
+    rng = random.Random(8)
+    text = "".join(chr(rng.randint(97, 122)) for _ in range(200_000))
+    held = suffix_dedup._Contexts(*_rows([text]))
+    counts = np.bincount((held.key >> np.uint64(58)).astype(np.int64), minlength=64)
+    assert len(held.key) > 1000 and counts.max() < 4 * counts.mean()
+    again = suffix_dedup._Contexts(*_rows([text]), held.pack())
+    for name in ("at", "key", "context", "pair", "lo", "hi"):
+        assert np.array_equal(getattr(again, name), getattr(held, name))
+
+
 def test_window_dedup(spark, odd_ids):
     texts = corpus(9)
     ids = list(range(len(texts)))
