@@ -13,7 +13,9 @@ earlier documents, so a group of m documents makes at most 2m pairs. Every pair
 exact weighted Jaccard similarity; classes are the connected components of the verified links. Then
 every band key that still holds more than one class proposes all its pairs of different classes, one
 document for equal vectors of a class; they are verified too. So a pair that shares a band key is left
-out only if it is refused exactly, in one class already, or too unlike in total weight. Keys with
+out only if it is refused exactly, in one class already, or too unlike in total weight or in weight by hash
+class: the sum of the class-wise minima bounds what two documents can share, so most pairs are refused
+exactly without sending a vector. Keys with
 many such documents are compared in blocks of ``CELL``; their pairs grow with the square of the
 documents that are alike enough for a key and yet in different classes.
 
@@ -47,6 +49,9 @@ LIKELY = 0.6  # share of equal samples from which a pair is verified
 BLOCK = 256
 CELL = 1024  # documents of a key compared at once in the second round
 VECTORS = 4096  # vectors sent to a unit at once
+REQUESTS = 65536  # vectors asked of a unit at once
+CLASSES = 256  # hash classes of the weight bound
+MANY_CLASSES = 4096  # the same for documents with more shingles than this
 
 _SEED = 0x9E3779B97F4A7C15
 _ROW_BITS = 21  # more than a unit's rows
@@ -97,6 +102,54 @@ def _weigh(count: np.ndarray, df: np.ndarray, n_all: int) -> np.ndarray:
     return count * (1 + np.log((1 + n_all) / (1 + df)) / math.log(1 + n_all))
 
 
+def profiles(held: _Vectors, weight: np.ndarray) -> list[bytes]:
+    """Per document, the weight of its shingles by hash class, one byte a class, rounded up.
+
+    The sum of the class-wise minima of two documents is never less than the weight they share. The
+    first eight bytes hold the weight that a step stands for.
+    """
+    first, out = held.first(), []
+    for a, b in zip(first[:-1], first[1:]):
+        n = MANY_CLASSES if b - a > MANY_CLASSES else CLASSES
+        own = (hashing.mix(held.key[a:b]) & np.uint64(n - 1)).astype(np.int64)
+        sums = np.bincount(own, weight[a:b], minlength=n)
+        step = max(float(sums.max()), 1e-300) / 255
+        steps = np.minimum(np.ceil(sums / step), 255).astype(np.uint8)
+        out.append(np.float64(step * (1 + 1e-12)).tobytes() + steps.tobytes())
+    return out
+
+
+def _levels(profile: bytes, fold: bool) -> np.ndarray:
+    """Weights by class; a long profile is folded for comparison with a short one."""
+    steps = np.frombuffer(profile, np.uint8, offset=8).astype(np.float64)
+    if fold:
+        steps = steps.reshape(-1, CLASSES).sum(axis=0)
+    return steps * np.frombuffer(profile, np.float64, 1)[0]
+
+
+def may_reach(profiles: list[bytes], weight: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which pairs (x, y) are not refused by the bound on the weight they share.
+
+    Exact: a pair at the threshold or above is never refused.
+    """
+    many = np.fromiter((len(p) > CLASSES + 8 for p in profiles), bool, len(profiles))
+    short = {i: _levels(profiles[i], bool(many[i])) for i in np.unique(np.concatenate([x, y])).tolist()}
+    ok = np.zeros(len(x), bool)
+    both = many[x] & many[y]
+    least = THRESHOLD / (1 + THRESHOLD) * (1 - 1e-6)
+    for group in (np.flatnonzero(~both), np.flatnonzero(both)):
+        for a in range(0, len(group), 1024):
+            part = group[a : a + 1024]
+            if len(part) and both[part[0]]:
+                bound = [np.minimum(_levels(profiles[i], False), _levels(profiles[j], False)).sum()
+                         for i, j in zip(x[part].tolist(), y[part].tolist())]
+            else:
+                left, right = (np.stack([short[i] for i in c[part].tolist()]) for c in (x, y))
+                bound = np.minimum(left, right).sum(axis=1)
+            ok[part] = np.array(bound) >= least * (weight[x[part]] + weight[y[part]])
+    return ok
+
+
 def samples(key: np.ndarray, weight: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
     """``n`` consistent weighted samples of each vector; row i covers first[i] .. first[i + 1]."""
     full = np.flatnonzero(np.diff(first) > 0)
@@ -208,7 +261,7 @@ def _pair_batch(pairs: list) -> pa.RecordBatch:
 
 
 def _signatures(packed: Units, df: DataFrame, text: str, drop_bits: int, n_all: int) -> Units:
-    """Per unit: total weight, band keys, 16-bit marks and vector hash of every document."""
+    """Per unit: total weight, band keys, 16-bit marks, vector hash and weight profile of every document."""
 
     def make(unit: int, rows: pa.RecordBatch, answer: list[dict]) -> Iterator[pa.RecordBatch]:
         held = _shingles(rows, text, drop_bits)
@@ -226,8 +279,9 @@ def _signatures(packed: Units, df: DataFrame, text: str, drop_bits: int, n_all:
                     pa.array([k.tobytes() for k in keys], pa.binary()),
                     pa.array([m.tobytes() for m in marks], pa.binary()),
                     pa.array(same.view(np.int64)),
+                    pa.array(profiles(held, weight), pa.binary()),
                 ],
-                ["weight", "keys", "marks", "same"],
+                ["weight", "keys", "marks", "same", "profile"],
             )
         )
         yield pa.RecordBatch.from_arrays(
@@ -325,7 +379,9 @@ def _candidates(signed: Units) -> DataFrame:
     return met.unionByName(members.where("b IS NOT NULL").select("b", "a")).distinct()
 
 
-_MET = "cell long, key long, i int, j int, own int, ref long, root long, weight double, same long"
+_MET = (
+    "cell long, key long, i int, j int, own int, ref long, root long, weight double, same long, profile binary"
+)
 
 
 def _unsettled(signed: Units, roots: DataFrame) -> DataFrame:
@@ -352,10 +408,10 @@ def _unsettled(signed: Units, roots: DataFrame) -> DataFrame:
             (key[1:] != key[:-1]) | (root[at[1:]] != root[at[:-1]]) | (same[at[1:]] != same[at[:-1]])
         )
         key, at = key[new], at[new]
-        return key, refs[at], root[at], weight[at], same[at]
+        return key, refs[at], root[at], weight[at], same[at], full[at]
 
     def offer(unit: int, rows: pa.RecordBatch, found: list[dict]) -> Iterator[pa.RecordBatch]:
-        key, _, root, _, _ = members(unit, rows, found)
+        key, _, root, *_ = members(unit, rows, found)
         if len(key):
             each, first, n = np.unique(key, return_index=True, return_counts=True)
             least, most = np.minimum.reduceat(root, first), np.maximum.reduceat(root, first)
@@ -373,9 +429,9 @@ def _unsettled(signed: Units, roots: DataFrame) -> DataFrame:
         held, values = units.answered(answer)
         if not len(held):
             return
-        key, ref, root, weight, same = members(unit, rows, found)
+        key, ref, root, weight, same, row = members(unit, rows, found)
         hit, at = units.find(key, held)
-        key, ref, root, weight, same = (c[hit] for c in (key, ref, root, weight, same))
+        key, ref, root, weight, same, row = (c[hit] for c in (key, ref, root, weight, same, row))
         blocks = -(-values[0][at[hit]] // CELL)
         own = hashing.mix(root.view(np.uint64) * np.uint64(_SEED) + same.view(np.uint64))
         own = (own % blocks.astype(np.uint64)).astype(np.int64)
@@ -388,16 +444,20 @@ def _unsettled(signed: Units, roots: DataFrame) -> DataFrame:
         cell = np.where(blocks[copy] == 1, one >> shift, cell | np.uint64(1 << 63))
         columns = [cell.view(np.int64), one.view(np.int64), i.astype(np.int32), j.astype(np.int32)]
         columns += [own[copy].astype(np.int32), ref[copy], root[copy], weight[copy], same[copy]]
-        for a in range(0, len(copy), 1 << 16):
+        profile, row = rows.column(4), row[copy]
+        for a in range(0, len(copy), 1 << 12):
+            part = slice(a, a + (1 << 12))
             yield pa.RecordBatch.from_arrays(
-                [pa.array(c[a : a + (1 << 16)]) for c in columns],
-                ["cell", "key", "i", "j", "own", "ref", "root", "weight", "same"],
+                [*(pa.array(c[part]) for c in columns), profile.take(pa.array(row[part]))],
+                ["cell", "key", "i", "j", "own", "ref", "root", "weight", "same", "profile"],
             )
 
     met = units.each_unit(signed, deal, _MET, (known, mixed))
 
     def compare(table: pa.Table) -> pa.Table:
-        c = {n: table.column(n).to_numpy() for n in table.column_names}
+        profile = table.column("profile").to_pylist()
+        c = {n: table.column(n).to_numpy() for n in table.column_names if n != "profile"}
+        c["row"] = np.arange(len(profile))
         order = np.lexsort((c["ref"], c["same"], c["root"], c["own"], c["j"], c["i"], c["key"]))
         c = {n: v[order] for n, v in c.items()}
 
@@ -412,7 +472,8 @@ def _unsettled(signed: Units, roots: DataFrame) -> DataFrame:
         cuts = np.flatnonzero(begins)
         out = []
         for a, b in zip(cuts, [*cuts[1:], len(begins)]):
-            ref, root, weight, own = (c[n][a:b] for n in ("ref", "root", "weight", "own"))
+            ref, root, weight, own, row = (c[n][a:b] for n in ("ref", "root", "weight", "own", "row"))
+            seen = [profile[i] for i in row.tolist()]
             lone = c["i"][a] == c["j"][a]
             left = np.flatnonzero(own == c["i"][a])
             right = left if lone else np.flatnonzero(own == c["j"][a])
@@ -424,7 +485,11 @@ def _unsettled(signed: Units, roots: DataFrame) -> DataFrame:
                 if lone:
                     ok &= ref[part][:, None] < ref[right][None, :]
                 x, y = np.nonzero(ok)
-                x, y = ref[part[x]], ref[right[y]]
+                x, y = part[x], right[y]
+                if len(x):
+                    ok = may_reach(seen, weight, x, y)
+                    x, y = x[ok], y[ok]
+                x, y = ref[x], ref[y]
                 out.append(np.stack([np.maximum(x, y), np.minimum(x, y)], 1))
         pairs = np.unique(np.concatenate([np.empty((0, 2), np.int64), *out]), axis=0)
         return pa.Table.from_batches([_pair_batch(pairs)])
@@ -442,15 +507,18 @@ def weighted_jaccard(a: tuple, b: tuple) -> float:
 def _verified(packed: Units, pairs: DataFrame, df: DataFrame, text: str, drop_bits: int, n_all: int) -> DataFrame:
     """Pairs (b, a) whose weighted Jaccard similarity reaches the threshold."""
     unit_of = lambda c: F.shiftright(c, _ROW_BITS)
+    salted = lambda *c: F.pmod(F.xxhash64(*c), F.col("parts"))
     asked = pairs.select(F.col("a").alias("ref"), unit_of("b").alias("to")).distinct()
     # A unit that is sent many vectors takes them in several parts.
-    parts = asked.groupBy(F.col("to").alias("unit")).agg(
-        F.ceil(F.count("*") / VECTORS).alias("parts")
-    )
-    part = F.pmod(F.xxhash64("ref"), F.col("parts")).alias("part")
-    asked = (
-        asked.groupBy(unit_of("ref").alias("unit"))
-        .agg(F.collect_list(F.struct("ref", "to")).alias("answer"))
+    parts = asked.groupBy("to").agg(F.ceil(F.count("*") / VECTORS).alias("parts"))
+    asked = asked.join(parts, "to").withColumn("part", salted("ref")).drop("parts")
+    asked = stored(asked.withColumn("unit", unit_of("ref")), "asked")
+    # So does a unit that many others ask, as the one of a large group's first member.
+    shares = asked.groupBy("unit").agg(F.ceil(F.count("*") / REQUESTS).alias("parts"))
+    requests = (
+        asked.join(shares, "unit")
+        .groupBy("unit", salted("ref", "to").alias("share"))
+        .agg(F.collect_list(F.struct("ref", "to", "part")).alias("answer"))
     )
 
     def send(unit, rows, frequencies, requests) -> Iterator[pa.RecordBatch]:
@@ -463,30 +531,41 @@ def _verified(packed: Units, pairs: DataFrame, df: DataFrame, text: str, drop_bi
         yield pa.RecordBatch.from_arrays(
             [
                 pa.array([r["to"] for r in requests], pa.int64()),
+                pa.array([r["part"] for r in requests], pa.int64()),
                 pa.array([r["ref"] for r in requests], pa.int64()),
                 pa.array([units.pack_ints(held.key[c], True) for c in cuts], pa.binary()),
                 pa.array([units.pack_ints(held.count[c]) for c in cuts], pa.binary()),
                 pa.array([units.pack_ints(df[c]) for c in cuts], pa.binary()),
             ],
-            ["unit", "ref", "keys", "counts", "df"],
+            ["unit", "part", "ref", "keys", "counts", "df"],
         )
 
-    sent = units.each_unit(
-        packed, send, "unit long, ref long, keys binary, counts binary, df binary", (df, asked)
-    )
-    vectors = (
-        sent.join(parts, "unit")
-        .groupBy("unit", part)
-        .agg(F.collect_list(F.struct("ref", "keys", "counts", "df")).alias("given"))
+    vector = "ref long, keys binary, counts binary, df binary"
+    sent = units.each_unit(packed, send, f"unit long, part long, {vector}", (df, requests))
+    vectors = sent.select(
+        "unit",
+        "part",
+        F.struct("ref", "keys", "counts", "df").alias("given"),
+        F.lit(None).cast("struct<b: bigint, a: bigint>").alias("wanted"),
     )
     mine = (
-        pairs.select(unit_of("b").alias("unit"), F.col("a").alias("ref"), "b", "a")
-        .join(parts, "unit")
-        .groupBy("unit", part)
-        .agg(F.collect_list(F.struct("b", "a")).alias("wanted"))
+        pairs.select(unit_of("b").alias("to"), F.col("a").alias("ref"), "b", "a")
+        .join(parts, "to")
+        .select(
+            F.col("to").alias("unit"),
+            salted("ref").alias("part"),
+            F.lit(None).cast(vectors.schema["given"].dataType).alias("given"),
+            F.struct("b", "a").alias("wanted"),
+        )
     )
-    both = vectors.join(mine, ["unit", "part"]).select(
-        "unit", F.struct("given", "wanted").alias("answer")
+    # Dealt by unit, as the unit table is, so a vector is shuffled once.
+    n = int(packed.frame.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    both = (
+        vectors.unionByName(mine)
+        .repartition(n, "unit")
+        .groupBy("unit", "part")
+        .agg(F.collect_list("given").alias("given"), F.collect_list("wanted").alias("wanted"))
+        .select("unit", F.struct("given", "wanted").alias("answer"))
     )
 
     def verify(unit, rows, frequencies, answer) -> Iterator[pa.RecordBatch]:

@@ -120,6 +120,29 @@ def _rows(texts):
     return pa.RecordBatch.from_arrays([pa.array(texts)], ["text"]), "text"
 
 
+def test_weight_bound_never_refuses_a_pair_at_the_threshold(monkeypatch):
+    monkeypatch.setattr(weighted_minhash, "MANY_CLASSES", 1024)
+    rng = np.random.default_rng(9)
+    docs = []
+    for size in (1, 3, 40, 900, 1100, 1300, 3000):  # short and long profiles, and one of each
+        base = rng.integers(0, 1 << 63, size).astype(np.uint64)
+        for share in (1.0, 0.95, 0.9, 0.85, 0.8, 0.5, 0.1):
+            n = int(size * share)
+            keys = np.concatenate([base[:n], rng.integers(0, 1 << 63, size - n).astype(np.uint64)])
+            docs.append((np.sort(np.unique(keys)), rng.uniform(1, 3, len(np.unique(keys)))))
+    first = np.cumsum([0, *(len(k) for k, _ in docs)])
+    held = weighted_minhash._Vectors(
+        np.repeat(np.arange(len(docs)), np.diff(first)), np.concatenate([k for k, _ in docs]), np.ones(first[-1]), len(docs)
+    )
+    made = weighted_minhash.profiles(held, np.concatenate([w for _, w in docs]))
+    total = np.array([w.sum() for _, w in docs])
+    x, y = (c.ravel() for c in np.triu_indices(len(docs), 1))
+    open_ = weighted_minhash.may_reach(made, total, x, y)
+    alike = np.array([weighted_minhash.weighted_jaccard(docs[i], docs[j]) for i, j in zip(x, y)])
+    assert (alike >= 0.8).sum() > 5 and open_[alike >= 0.8].all()
+    assert open_[alike < 0.4].mean() < 0.1
+
+
 def test_anchor_keys_spread_over_buckets():
     rng = random.Random(8)
     text = "".join(chr(rng.randint(97, 122)) for _ in range(200_000))
