@@ -52,6 +52,8 @@ VECTORS = 4096  # vectors sent to a unit at once
 REQUESTS = 65536  # vectors asked of a unit at once
 CLASSES = 256  # hash classes of the weight bound
 MANY_CLASSES = 4096  # the same for documents with more shingles than this
+FEW = 192  # up to so many shingles, only classes in use are listed, out of FINE_CLASSES
+FINE_CLASSES = 65536
 
 _SEED = 0x9E3779B97F4A7C15
 _ROW_BITS = 21  # more than a unit's rows
@@ -102,52 +104,77 @@ def _weigh(count: np.ndarray, df: np.ndarray, n_all: int) -> np.ndarray:
     return count * (1 + np.log((1 + n_all) / (1 + df)) / math.log(1 + n_all))
 
 
+_LISTED, _DENSE, _LONG = range(3)  # kinds of weight profiles
+
+
 def profiles(held: _Vectors, weight: np.ndarray) -> list[bytes]:
     """Per document, the weight of its shingles by hash class, one byte a class, rounded up.
 
-    The sum of the class-wise minima of two documents is never less than the weight they share. The
-    first eight bytes hold the weight that a step stands for.
+    The sum of the class-wise minima of two documents is never less than the weight they share. A
+    profile is its kind, the weight that a step stands for, for few shingles the classes, and the steps.
     """
     first, out = held.first(), []
     for a, b in zip(first[:-1], first[1:]):
-        n = MANY_CLASSES if b - a > MANY_CLASSES else CLASSES
+        kind = _LISTED if b - a <= FEW else _LONG if b - a > MANY_CLASSES else _DENSE
+        n = (FINE_CLASSES, CLASSES, MANY_CLASSES)[kind]
         own = (hashing.mix(held.key[a:b]) & np.uint64(n - 1)).astype(np.int64)
+        listed = b""
+        if kind == _LISTED:
+            used, own = np.unique(own, return_inverse=True)
+            listed, n = used.astype("<u2").tobytes(), len(used)
         sums = np.bincount(own, weight[a:b], minlength=n)
-        step = max(float(sums.max()), 1e-300) / 255
+        step = max(float(sums.max(initial=0)), 1e-300) / 255
         steps = np.minimum(np.ceil(sums / step), 255).astype(np.uint8)
-        out.append(np.float64(step * (1 + 1e-12)).tobytes() + steps.tobytes())
+        out.append(bytes([kind]) + np.float64(step * (1 + 1e-12)).tobytes() + listed + steps.tobytes())
     return out
 
 
-def _levels(profile: bytes, fold: bool) -> np.ndarray:
-    """Weights by class; a long profile is folded for comparison with a short one."""
-    steps = np.frombuffer(profile, np.uint8, offset=8).astype(np.float64)
-    if fold:
-        steps = steps.reshape(-1, CLASSES).sum(axis=0)
-    return steps * np.frombuffer(profile, np.float64, 1)[0]
+def _levels(profile: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Classes of a profile, as fine as it has them, and their weights."""
+    step = np.frombuffer(profile, np.float64, 1, 1)[0]
+    if profile[0] == _LISTED:
+        n = (len(profile) - 9) // 3
+        classes = np.frombuffer(profile, "<u2", n, 9).astype(np.int64)
+        return classes, np.frombuffer(profile, np.uint8, n, 9 + 2 * n) * step
+    steps = np.frombuffer(profile, np.uint8, offset=9)
+    return np.arange(len(steps)), steps * step
 
 
 def may_reach(profiles: list[bytes], weight: np.ndarray, x: np.ndarray, y: np.ndarray) -> np.ndarray:
     """Which pairs (x, y) are not refused by the bound on the weight they share.
 
-    Exact: a pair at the threshold or above is never refused.
+    Exact: a pair at the threshold or above is never refused. Profiles of one kind are compared class by
+    class, others in the classes common to all kinds.
     """
-    many = np.fromiter((len(p) > CLASSES + 8 for p in profiles), bool, len(profiles))
-    short = {i: _levels(profiles[i], bool(many[i])) for i in np.unique(np.concatenate([x, y])).tolist()}
-    ok = np.zeros(len(x), bool)
-    both = many[x] & many[y]
+    kinds = np.fromiter((p[0] for p in profiles), np.int64, len(profiles))
+    fine = {i: _levels(profiles[i]) for i in np.unique(np.concatenate([x, y])).tolist()}
+    coarse: dict[int, np.ndarray] = {}
+
+    def folded(i: int) -> np.ndarray:
+        if i not in coarse:
+            coarse[i] = np.bincount(fine[i][0] & (CLASSES - 1), fine[i][1], minlength=CLASSES)
+        return coarse[i]
+
+    bound = np.zeros(len(x))
+    order = np.argsort(x, kind="stable")
+    cuts = np.flatnonzero(np.append(True, x[order][1:] != x[order][:-1]))
+    here = np.zeros(FINE_CLASSES)
+    for part in np.split(order, cuts[1:]):
+        i, others = int(x[part[0]]), y[part]
+        alike = kinds[others] == kinds[i]
+        if alike.any():
+            classes, levels = fine[i]
+            here[classes] = levels
+            for at in np.array_split(np.flatnonzero(alike), -(-int(alike.sum()) // 1024)):
+                found = [fine[j] for j in others[at].tolist()]
+                sizes = np.array([len(c) for c, _ in found])
+                low = np.minimum(here[np.concatenate([c for c, _ in found])], np.concatenate([v for _, v in found]))
+                bound[part[at]] = np.bincount(np.repeat(np.arange(len(at)), sizes), low, minlength=len(at))
+            here[classes] = 0
+        for at in np.flatnonzero(~alike).tolist():
+            bound[part[at]] = np.minimum(folded(i), folded(int(others[at]))).sum()
     least = THRESHOLD / (1 + THRESHOLD) * (1 - 1e-6)
-    for group in (np.flatnonzero(~both), np.flatnonzero(both)):
-        for a in range(0, len(group), 1024):
-            part = group[a : a + 1024]
-            if len(part) and both[part[0]]:
-                bound = [np.minimum(_levels(profiles[i], False), _levels(profiles[j], False)).sum()
-                         for i, j in zip(x[part].tolist(), y[part].tolist())]
-            else:
-                left, right = (np.stack([short[i] for i in c[part].tolist()]) for c in (x, y))
-                bound = np.minimum(left, right).sum(axis=1)
-            ok[part] = np.array(bound) >= least * (weight[x[part]] + weight[y[part]])
-    return ok
+    return bound >= least * (weight[x] + weight[y])
 
 
 def samples(key: np.ndarray, weight: np.ndarray, first: np.ndarray, n: int) -> np.ndarray:
@@ -504,6 +531,11 @@ def weighted_jaccard(a: tuple, b: tuple) -> float:
     return float(low / (a[1].sum() + b[1].sum() - low))
 
 
+def _rows_of(refs: list[int]) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct rows that ``refs`` name, and where each is among them."""
+    return np.unique(np.array(refs, np.int64) & ((1 << _ROW_BITS) - 1), return_inverse=True)
+
+
 def _verified(packed: Units, pairs: DataFrame, df: DataFrame, text: str, drop_bits: int, n_all: int) -> DataFrame:
     """Pairs (b, a) whose weighted Jaccard similarity reaches the threshold."""
     unit_of = lambda c: F.shiftright(c, _ROW_BITS)
@@ -524,9 +556,10 @@ def _verified(packed: Units, pairs: DataFrame, df: DataFrame, text: str, drop_bi
     def send(unit, rows, frequencies, requests) -> Iterator[pa.RecordBatch]:
         if not requests:
             return
-        held = _shingles(rows, text, drop_bits)
+        row, own = _rows_of([r["ref"] for r in requests])
+        held = _shingles(rows.take(pa.array(row)), text, drop_bits)
         df, first = _frequencies(held, frequencies), held.first()
-        row = [r["ref"] & ((1 << _ROW_BITS) - 1) for r in requests]
+        row = own.tolist()
         cuts = [slice(first[i], first[i + 1]) for i in row]
         yield pa.RecordBatch.from_arrays(
             [
@@ -572,11 +605,12 @@ def _verified(packed: Units, pairs: DataFrame, df: DataFrame, text: str, drop_bi
         if not answer:
             return
         given, wanted = answer["given"], answer["wanted"]
-        held = _shingles(rows, text, drop_bits)
+        row, own = _rows_of([w["b"] for w in wanted])
+        held = _shingles(rows.take(pa.array(row)), text, drop_bits)
         weight = _weigh(held.count, _frequencies(held, frequencies), n_all)
         first, kept, others = held.first(), [], {g["ref"]: g for g in given}
-        for pair in sorted(wanted, key=lambda p: p["a"]):
-            i, other = pair["b"] & ((1 << _ROW_BITS) - 1), others[pair["a"]]
+        for pair, i in sorted(zip(wanted, own.tolist()), key=lambda p: p[0]["a"]):
+            other = others[pair["a"]]
             part = slice(first[i], first[i + 1])
             counts, df = (units.unpack_ints(other[c]).view(np.int64) for c in ("counts", "df"))
             vector = units.unpack_ints(other["keys"]), _weigh(counts, df, n_all)

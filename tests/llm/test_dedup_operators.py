@@ -124,12 +124,13 @@ def test_weight_bound_never_refuses_a_pair_at_the_threshold(monkeypatch):
     monkeypatch.setattr(weighted_minhash, "MANY_CLASSES", 1024)
     rng = np.random.default_rng(9)
     docs = []
-    for size in (1, 3, 40, 900, 1100, 1300, 3000):  # short and long profiles, and one of each
-        base = rng.integers(0, 1 << 63, size).astype(np.uint64)
+    for size in (1, 3, 40, 180, 200, 220, 900, 1000, 1050, 1100, 3000):  # all kinds of profiles, and pairs of two kinds
+        base, weight = rng.integers(0, 1 << 63, size).astype(np.uint64), rng.uniform(1, 3, size)
         for share in (1.0, 0.95, 0.9, 0.85, 0.8, 0.5, 0.1):
             n = int(size * share)
             keys = np.concatenate([base[:n], rng.integers(0, 1 << 63, size - n).astype(np.uint64)])
-            docs.append((np.sort(np.unique(keys)), rng.uniform(1, 3, len(np.unique(keys)))))
+            order = np.argsort(keys)
+            docs.append((keys[order], weight[order]))
     first = np.cumsum([0, *(len(k) for k, _ in docs)])
     held = weighted_minhash._Vectors(
         np.repeat(np.arange(len(docs)), np.diff(first)), np.concatenate([k for k, _ in docs]), np.ones(first[-1]), len(docs)
