@@ -94,15 +94,19 @@ SEARCH_SPACE: dict[str, dict[str, tuple]] = {
         "rate": ("log", 0.01, 0.3),
         "row_share": ("real", 0.6, 1.0),
         "column_share": ("real", 0.6, 1.0),
-        "leaf_rows": ("int", 1, 10),
+        "child_weight": ("int", 1, 10),
+        "l2": ("log", 1e-3, 10.0),
     },
     "boosted_leaf": {
         "trees": ("step", 100, 400, 50),
         "depth": ("int", 3, 12),
         "rate": ("log", 0.01, 0.3),
+        "leaves": ("int", 16, 128),
         "row_share": ("real", 0.6, 1.0),
         "column_share": ("real", 0.6, 1.0),
         "leaf_rows": ("int", 5, 50),
+        "l2": ("log", 1e-3, 10.0),
     },
     "network": {"hidden": ("step", 16, 64, 16), "step": ("log", 1e-3, 0.3)},
+    "gaussian": {"shrink": ("real", 0.0, 1.0), "smoothing": ("log", 1e-6, 1.0)},
 }

@@ -6,8 +6,6 @@ rebuild the whole chain from one folder.
 
 from __future__ import annotations
 
-import math
-import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
@@ -16,11 +14,8 @@ from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
-    GBTClassifier,
     MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
-    OneVsRest,
-    OneVsRestModel,
     RandomForestClassificationModel,
     RandomForestClassifier,
 )
@@ -29,52 +24,43 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipward import constants as K
-from clipward.operators import evaluation, labels, scaling, splits
-from clipward.session import stable
+from clipward.operators import boosting, evaluation, labels, scaling, splits
+from clipward.operators import search as sampler
+from clipward.operators.boosting import Boosted, Growth
+from clipward.session import scratch_path, stable
 
-TABULAR_MODELS = ("forest", "boosted_depth", "boosted_leaf")
+BOOSTED_MODELS = ("boosted_depth", "boosted_leaf")
+TABULAR_MODELS = ("forest", *BOOSTED_MODELS)
 MATRIX_MODELS = ("network",)
 _LOADERS = {
     "forest": RandomForestClassificationModel,
-    "boosted_depth": OneVsRestModel,
-    "boosted_leaf": OneVsRestModel,
+    "boosted_depth": Boosted,
+    "boosted_leaf": Boosted,
     "network": MultilayerPerceptronClassificationModel,
 }
 
 def suggest(
-    model_name: str, number: int, seed: int = 42, limits: Mapping[str, float] | None = None
+    model_name: str,
+    number: int,
+    seed: int = 42,
+    limits: Mapping[str, float] | None = None,
+    completed: Sequence[sampler.Trial] = (),
 ) -> dict[str, object]:
-    """Parameters of one trial: a function of (seed, model, trial number) only.
+    """Parameters of one trial: a function of the arguments only; random without ``completed`` trials.
 
     ``limits`` lowers the upper end of a range, for instance when the cluster cannot hold
     trees of full depth; what is used is recorded with the trial.
     """
     if model_name not in K.SEARCH_SPACE:
         raise ValueError(f"unknown model '{model_name}'")
-    rng = random.Random(f"{seed}:{model_name}:{number}")
-    drawn: dict[str, object] = {}
-    for name, (kind, *bounds) in K.SEARCH_SPACE[model_name].items():
-        if kind == "choice":
-            drawn[name] = rng.choice(bounds)
-            continue
-        low, high = bounds[0], min(bounds[1], (limits or {}).get(name, bounds[1]))
-        low = min(low, high)
-        if kind == "step":
-            drawn[name] = low + bounds[2] * rng.randint(0, int((high - low) // bounds[2]))
-        elif kind == "int":
-            drawn[name] = rng.randint(int(low), int(high))
-        elif kind == "real":
-            drawn[name] = rng.uniform(low, high)
-        else:
-            drawn[name] = math.exp(rng.uniform(math.log(low), math.log(high)))
-    return drawn
+    space = sampler.bounded(K.SEARCH_SPACE[model_name], limits)
+    return sampler.propose(space, completed, number, seed)
 
 
 def build_estimator(
     model_name: str, params: Mapping[str, object], n_features: int, n_classes: int, seed: int = 42
 ) -> Estimator:
-    """The estimator for a parameter set. Regularisation by L2 and leaf counts have no
-    counterpart in these trees; the network has no row weights, see ``balanced``."""
+    """The estimator for a parameter set; the network has no row weights, see ``balanced``."""
     columns = {"featuresCol": "vector", "labelCol": "class_id"}
     if model_name == "forest":
         return RandomForestClassifier(
@@ -86,19 +72,6 @@ def build_estimator(
             minInstancesPerNode=int(params.get("leaf_rows", 1)),
             featureSubsetStrategy=str(params.get("feature_subset", "sqrt")),
         )
-    if model_name in ("boosted_depth", "boosted_leaf"):
-        trees = GBTClassifier(
-            **columns,
-            weightCol="weight",
-            seed=seed,
-            maxIter=int(params.get("trees", 100)),
-            maxDepth=int(params.get("depth", 5)),
-            stepSize=float(params.get("rate", 0.1)),
-            subsamplingRate=float(params.get("row_share", 1.0)),
-            featureSubsetStrategy=str(params.get("column_share", 1.0)),
-            minInstancesPerNode=int(params.get("leaf_rows", 1)),
-        )
-        return OneVsRest(classifier=trees, weightCol="weight", parallelism=4, **columns)
     if model_name == "network":
         return MultilayerPerceptronClassifier(
             **columns,
@@ -116,7 +89,7 @@ def training_rows(
     """Encoded, weighted and standardised rows; weights come from these rows alone."""
     encoded = labels.encode_labels(train, mapping)
     weighted = labels.with_sample_weights(encoded, labels.class_weights(train, mapping))
-    return _vectors(scaling.scale_matrix(weighted, scaler, column), column)
+    return scaling.scale_matrix(weighted, scaler, column)
 
 
 def _vectors(df: DataFrame, column: str) -> DataFrame:
@@ -146,28 +119,13 @@ def balanced(rows: DataFrame, key: str = "path") -> DataFrame:
     return rows.withColumn("__copy", copies).drop("__copy")
 
 
-def with_probabilities(model: Model, rows: DataFrame, n_classes: int) -> DataFrame:
-    """Adds ``proba``, ``pred`` and ``confidence``; the first class wins ties.
-
-    One-vs-rest gives raw margins only; their logistic values are normalised to sum to one.
-    """
-    if isinstance(model, OneVsRestModel):
-        scored, margins = rows, []
-        for i, binary in enumerate(model.models):
-            # Each binary model adds its margin as a column; no Python code runs per row.
-            added = binary.copy({binary.rawPredictionCol: f"__raw{i}"})
-            scored = added.transform(scored).drop("probability", "prediction")
-            margins.append(F.element_at(vector_to_array(f"__raw{i}"), 2))
-        odds = F.transform(F.array(*margins), lambda m: 1 / (1 + F.exp(-2 * m)))
-        total = F.aggregate(odds, F.lit(0.0), lambda acc, v: acc + v)
-        proba: Column = F.transform(odds, lambda v: v / total)
-    else:
-        scored, proba = model.transform(rows), vector_to_array("probability")
-    plain = scored.withColumn("proba", F.slice(proba, 1, n_classes))
-    extra = [c for c in plain.columns if c.startswith("__raw")]
-    return evaluation.top_class(plain).drop(
-        "rawPrediction", "probability", "prediction", "vector", *extra
-    )
+def with_probabilities(model: Model | Boosted, rows: DataFrame, n_classes: int, column: str) -> DataFrame:
+    """Adds ``proba``, ``pred`` and ``confidence``; the first class wins ties. ``column`` goes."""
+    if isinstance(model, Boosted):
+        return evaluation.top_class(boosting.with_shares(rows, model, column))
+    scored = model.transform(_vectors(rows, column))
+    plain = scored.withColumn("proba", F.slice(vector_to_array("probability"), 1, n_classes))
+    return evaluation.top_class(plain).drop("rawPrediction", "probability", "prediction", "vector")
 
 
 @dataclass(frozen=True)
@@ -175,14 +133,14 @@ class Fitted:
     """A trained model with what is needed to score new rows."""
 
     name: str
-    model: Model
+    model: Model | Boosted
     scaler: DataFrame
     mapping: DataFrame
     n_classes: int
 
     def score(self, rows: DataFrame, column: str = "features") -> DataFrame:
-        scaled = _vectors(scaling.scale_matrix(rows, self.scaler, column), column)
-        return with_probabilities(self.model, scaled, self.n_classes)
+        scaled = scaling.scale_matrix(rows, self.scaler, column)
+        return with_probabilities(self.model, scaled, self.n_classes, column)
 
     def evaluate(self, rows: DataFrame, column: str = "features") -> DataFrame:
         """Scored rows with the true class id as ``y_true``."""
@@ -190,7 +148,10 @@ class Fitted:
         return self.score(encoded, column)
 
     def save(self, folder: str) -> None:
-        self.model.write().overwrite().save(f"{folder}/model")
+        if isinstance(self.model, Boosted):
+            boosting.save(self.model, self.scaler.sparkSession, f"{folder}/model")
+        else:
+            self.model.write().overwrite().save(f"{folder}/model")
         self.scaler.write.mode("overwrite").parquet(f"{folder}/scaler")
         self.mapping.write.mode("overwrite").parquet(f"{folder}/labels")
 
@@ -209,8 +170,13 @@ def fit(
     n_classes = mapping.count()
     scaler = stable(fit_array_scaler(train, column, n_features), "scaler")
     rows = training_rows(train, mapping, scaler, column)
+    if model_name in BOOSTED_MODELS:
+        growth = Growth.of(params, seed)
+        grown = boosting.fit(rows, n_features, n_classes, growth, column, "path" if "path" in rows.columns else column)
+        return Fitted(model_name, grown, scaler, mapping, n_classes)
     if model_name in MATRIX_MODELS:
         rows = balanced(rows)
+    rows = _vectors(rows, column)
     estimator = build_estimator(model_name, params, n_features, n_classes, seed)
     # Tree and network fitting scan the rows many times.
     kept = rows.select("vector", "class_id", "weight").persist(StorageLevel.MEMORY_AND_DISK)
@@ -226,6 +192,15 @@ def macro_f1(scored: DataFrame) -> float:
     return float(row["f1_macro"])
 
 
+_TRIALS = "number int, state string, value double, params map<string,string>"
+
+
+def completed_trials(trials: DataFrame) -> list[sampler.Trial]:
+    """The completed trials of a stored trial table, which has one row per trial."""
+    rows = trials.where((F.col("state") == "COMPLETE") & F.col("value").isNotNull()).collect()
+    return [sampler.Trial(r["number"], r["value"], r["params"]) for r in rows]
+
+
 def search(
     model_name: str,
     train: DataFrame,
@@ -236,30 +211,35 @@ def search(
     n_trials: int = 20,
     seed: int = 42,
     limits: Mapping[str, float] | None = None,
-    parallelism: int = 2,
+    parallelism: int = 4,
 ) -> DataFrame:
     """Trial table (number, state, value, params), value being macro F1 on the validation rows.
 
-    Trials run as concurrent Spark jobs over the same persisted split.
+    ``parallelism`` trials run at a time as concurrent Spark jobs over the same persisted split. The table is stored
+    after each batch, and the proposals of the next one are a function of what is stored.
     """
     spark = train.sparkSession
     kept = [df.persist(StorageLevel.MEMORY_AND_DISK) for df in (train, validation)]
+    path = scratch_path(spark, "trials")
+    spark.createDataFrame([], _TRIALS).write.parquet(path)
 
-    def trial(number: int) -> tuple[int, str, float, dict[str, str]]:
-        params = suggest(model_name, number, seed, limits)
+    def trial(number: int, params: dict[str, object]) -> tuple[int, str, float, dict[str, str]]:
         fitted = fit(model_name, params, kept[0], mapping, n_features=n_features, seed=seed)
         value = macro_f1(fitted.evaluate(kept[1]))
         return number, "COMPLETE", value, {k: str(v) for k, v in params.items()}
 
     try:
         with ThreadPoolExecutor(parallelism) as pool:
-            rows = list(pool.map(trial, range(n_trials)))
+            for first in range(0, n_trials, parallelism):
+                known = completed_trials(spark.read.schema(_TRIALS).parquet(path))
+                batch = range(first, min(first + parallelism, n_trials))
+                drawn = [suggest(model_name, n, seed, limits, known) for n in batch]
+                rows = list(pool.map(trial, batch, drawn))
+                spark.createDataFrame(rows, _TRIALS).coalesce(1).write.mode("append").parquet(path)
     finally:
         for df in kept:
             df.unpersist()
-    return spark.createDataFrame(
-        rows, "number int, state string, value double, params map<string,string>"
-    )
+    return spark.read.schema(_TRIALS).parquet(path)
 
 
 def refit_and_evaluate(
@@ -343,9 +323,10 @@ def load_fitted(spark: SparkSession, folder: str, model_name: str) -> Fitted:
     if f".{loader.__name__}" not in stored:
         raise ValueError(f"{folder} does not hold a {model_name} model")
     mapping = spark.read.parquet(f"{folder}/labels")
+    whole = boosting.load(spark, f"{folder}/model") if loader is Boosted else loader.load(f"{folder}/model")
     return Fitted(
         model_name,
-        loader.load(f"{folder}/model"),
+        whole,
         spark.read.parquet(f"{folder}/scaler"),
         mapping,
         mapping.count(),

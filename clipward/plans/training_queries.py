@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clipward import constants as K
 from clipward import schemas as S
-from clipward.operators import evaluation, labels, modeling, scaling, splits
+from clipward.operators import evaluation, gaussian, labels, modeling, scaling, splits
 from clipward.plans import clip_queries
 from clipward.plans import sql_views as Q
 from clipward.plans import views as V
@@ -19,13 +20,14 @@ from clipward.plans.drift_queries import (
     _ROLLING_KS,
     prediction_reference,
 )
+from clipward.plans.model_queries import _ALL, _metrics_sql
 from clipward.plans.registry import r6, register, rounded
 from clipward.plans.sql_views import query
-from clipward.session import scratch_path
+from clipward.session import scratch_path, stable
 from clipward.streaming import jobs
 
 _SMALL = {"trees": 10, "depth": 5, "feature_subset": "sqrt"}
-_BOOST = {"trees": 3, "depth": 3, "rate": 0.3, "row_share": 0.9, "column_share": 0.8}
+_BOOST = {"trees": 4, "depth": 4, "rate": 0.3, "row_share": 0.9, "column_share": 0.8, "l2": 1.0, "bins": 16}
 
 
 def vectors(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -76,12 +78,13 @@ def random_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("m2_boosted_trees_depth", _HELD_OUT)
 def boosted_trees_depth(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _held_out("boosted_depth", _BOOST, vectors(spark, sf_dir), V.N_FEATURES)
+    params = {**_BOOST, "child_weight": 2}
+    return _held_out("boosted_depth", params, vectors(spark, sf_dir), V.N_FEATURES)
 
 
 @register("m3_boosted_trees_leaf", _HELD_OUT)
 def boosted_trees_leaf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    params = {**_BOOST, "leaf_rows": 10}
+    params = {**_BOOST, "leaf_rows": 10, "leaves": 8}
     return _held_out("boosted_leaf", params, vectors(spark, sf_dir), V.N_FEATURES)
 
 
@@ -109,6 +112,7 @@ def clip_holdout_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("m6_search")
 def search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty adaptive trials of a forest over its whole search space."""
     parts = splits.four_way(vectors(spark, sf_dir))
     trials = modeling.search(
         "forest",
@@ -116,8 +120,6 @@ def search(spark: SparkSession, sf_dir: str) -> DataFrame:
         parts["validation"],
         labels.stored_label_map(parts["tune_train"]),
         n_features=V.N_FEATURES,
-        n_trials=3,
-        limits={"trees": 100, "depth": 4},
     )
     return trials.select("number", "state", "value", F.to_json("params").alias("params"))
 
@@ -146,6 +148,167 @@ def cross_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _sound(scored)
 
 
+# --- one-scan cross-validation and the selection chain -------------------------------
+
+#: Settings of the closed-form classifier that compete in the selection chain.
+_SETTINGS = (("shared", 1.0, 1e-3), ("blended", 0.5, 1e-3), ("own", 0.0, 1e-3), ("smooth", 0.5, 1.0))
+
+
+def _closed_form_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Scored originals of every fold under each setting; stored, as metrics and predictions both read them."""
+    rows = stable(vectors(spark, sf_dir), "vectors")
+    encoded = labels.encode_labels(rows, labels.stored_label_map(rows))
+    scored = gaussian.cross_validate(encoded, 10, {name: s for name, *s in _SETTINGS})
+    listed = F.array(*[F.lit(name) for name, *_ in _SETTINGS])
+    named = scored.withColumnRenamed("setting", "model_name")
+    return stable(named.withColumn("position", F.array_position(listed, F.col("model_name")) - 1), "scored")
+
+
+_VALUES = ", ".join(f"({i}, '{name}', {a}, {b})" for i, (name, a, b) in enumerate(_SETTINGS))
+_CLOSED_FORM = f"""
+settings AS (SELECT * FROM (VALUES {_VALUES}) AS t(m, model_name, shrink, smoothing)),
+floats AS (SELECT path, CAST(classID AS INTEGER) AS class_id, fold, is_augmented, i,
+                  CAST(CAST(x AS FLOAT) AS DOUBLE) AS x FROM feat_long),
+stats AS MATERIALIZED (
+  SELECT fold, class_id, i, count(*) AS n, sum(x) AS s, sum(x * x) AS q FROM floats GROUP BY ALL),
+totals AS (SELECT class_id, i, sum(n) AS n, sum(s) AS s, sum(q) AS q FROM stats GROUP BY ALL),
+others AS (
+  SELECT f.fold, t.class_id, t.i, t.n - coalesce(o.n, 0) AS n, t.s - coalesce(o.s, 0) AS s, t.q - coalesce(o.q, 0) AS q
+  FROM totals t CROSS JOIN (SELECT DISTINCT fold FROM stats) f
+  LEFT JOIN stats o ON o.fold = f.fold AND o.class_id = t.class_id AND o.i = t.i),
+moments AS (
+  SELECT fold, class_id, i, n, s / n AS mean, greatest(q - s * (s / n), 0) AS spread FROM others WHERE n > 0),
+within AS (SELECT fold, i, sum(spread) / sum(n) AS within FROM moments GROUP BY ALL),
+models AS MATERIALIZED (
+  SELECT m, fold, class_id, i, mean, (1 - shrink) * spread / n + shrink * within + smoothing AS variance
+  FROM moments JOIN within USING (fold, i) CROSS JOIN settings),
+likely AS (
+  SELECT m, path, fold, any_value(f.class_id) AS y_true, g.class_id AS c,
+         -0.5 * sum((x - mean) * (x - mean) / variance + ln(variance)) AS v
+  FROM floats f JOIN models g USING (fold, i) WHERE NOT is_augmented GROUP BY m, path, fold, g.class_id),
+scores_long AS MATERIALIZED (
+  SELECT m, path AS vec_id, fold, y_true, c, e / sum(e) OVER (PARTITION BY m, path) AS p
+  FROM (SELECT *, exp(v - max(v) OVER (PARTITION BY m, path)) AS e FROM likely)),
+scores AS (
+  SELECT m, vec_id, fold, y_true, c AS pred, p AS confidence FROM scores_long
+  QUALIFY row_number() OVER (PARTITION BY m, vec_id ORDER BY p DESC, c) = 1)"""
+
+
+@register(
+    "m8_one_scan_scores",
+    query(
+        Q.FEAT_LONG, _CLOSED_FORM,
+        f"""SELECT model_name, vec_id AS path, fold, y_true, pred, {Q.r6("confidence")} AS confidence
+        FROM scores JOIN settings USING (m)""",
+    ),
+)
+def one_scan_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every original scored by a model of the other nine folds, under four settings."""
+    scored = _closed_form_scores(spark, sf_dir)
+    return rounded(scored, "confidence").select("model_name", "path", "fold", "y_true", "pred", "confidence")
+
+
+@register(
+    "m8_one_scan_folds",
+    query(
+        Q.FEAT_LONG, _CLOSED_FORM, *_metrics_sql("m", "fold"),
+        f"SELECT model_name, fold, {_ALL} FROM metrics JOIN auc USING (m, fold) JOIN settings USING (m)",
+    ),
+)
+def one_scan_folds(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All eight metrics of every rotation."""
+    metrics = evaluation.fold_metrics(_closed_form_scores(spark, sf_dir), 10, extra=["model_name"])
+    return rounded(metrics, *K.FOLD_METRICS)
+
+
+def selection_results(scored: DataFrame) -> DataFrame:
+    """Run results from scored rows: cross-validated mean and deviation, and the holdout values of fold 10."""
+    keys = ["position", "model_name"]
+    folds = evaluation.classification_metrics(
+        evaluation.confusion_counts(scored, group=[*keys, "fold"]), [*keys, "fold"]
+    )
+    held_out = F.col("fold") == K.EVAL_FOLD
+    values = folds.groupBy(*keys).agg(
+        F.avg("f1_macro").alias("cv_f1_macro_mean"),
+        F.stddev_pop("f1_macro").alias("cv_f1_macro_std"),
+        F.max(F.when(held_out, F.col("f1_macro"))).alias("f1_macro"),
+        F.max(F.when(held_out, F.col("accuracy"))).alias("accuracy"),
+    )
+    names = ("f1_macro", "accuracy", "cv_f1_macro_mean", "cv_f1_macro_std")
+    entries = F.create_map(*[part for n in names for part in (F.lit(n), F.col(n))])
+    return values.select(
+        *keys,
+        F.concat(F.lit("run-"), F.col("model_name")).alias("run_id"),
+        entries.alias("metrics"),
+        F.lit("vectors").alias("dataset"),
+    )
+
+
+_CHAIN = """
+res AS (
+  SELECT m, avg(f1_macro) AS cv_mean, stddev_pop(f1_macro) AS cv_std,
+         max(CASE WHEN fold = 10 THEN f1_macro END) AS f1 FROM metrics GROUP BY m)"""
+
+
+@register(
+    "m11_selection_board",
+    query(
+        Q.FEAT_LONG, _CLOSED_FORM, _metrics_sql("m", "fold")[0], _CHAIN,
+        f"""SELECT model_name, 'run-' || model_name AS run_id, {Q.r6("cv_mean")} AS score, {Q.r6("f1")} AS f1_macro,
+             {Q.r6("cv_std")} AS cv_f1_macro_std,
+             CAST(row_number() OVER (ORDER BY cv_mean DESC, m) AS INTEGER) AS place
+        FROM res JOIN settings USING (m)""",
+    ),
+)
+def selection_board(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The leaderboard of the models that were just cross-validated."""
+    board = evaluation.leaderboard(selection_results(_closed_form_scores(spark, sf_dir)))
+    value = lambda name: F.element_at("metrics", name)
+    return board.select(
+        "model_name",
+        "run_id",
+        r6("score").alias("score"),
+        r6(value("f1_macro")).alias("f1_macro"),
+        r6(value("cv_f1_macro_std")).alias("cv_f1_macro_std"),
+        "place",
+    )
+
+
+@register(
+    "m11_selected_predictions",
+    query(
+        Q.FEAT_LONG, _CLOSED_FORM, _metrics_sql("m", "fold")[0], _CHAIN,
+        f"""SELECT model_name, vec_id AS path, y_true, pred, {Q.r6("confidence")} AS confidence
+        FROM scores JOIN settings USING (m)
+        WHERE fold = 10 AND m = (SELECT m FROM res ORDER BY cv_mean DESC, m LIMIT 1)""",
+    ),
+)
+def selected_predictions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Held-out predictions of the winning model."""
+    scored = _closed_form_scores(spark, sf_dir)
+    winner = evaluation.select_winner(selection_results(scored)).first()["model_name"]
+    chosen = scored.where((F.col("model_name") == winner) & (F.col("fold") == K.EVAL_FOLD))
+    return rounded(chosen, "confidence").select("model_name", "path", "y_true", "pred", "confidence")
+
+
+@register("m7_holdout_metrics")
+def holdout_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Metrics of fold 10 for forest and boosted models refit on folds 1 to 9."""
+    rows = stable(vectors(spark, sf_dir), "refit")
+    models = (
+        ("forest", _SMALL),
+        ("boosted_depth", {**_BOOST, "child_weight": 2}),
+        ("boosted_leaf", {**_BOOST, "leaf_rows": 10, "leaves": 8}),
+    )
+    parts = []
+    for name, params in models:
+        _, scored = modeling.refit_and_evaluate(name, params, rows, n_features=V.N_FEATURES)
+        counts = evaluation.confusion_counts(scored)
+        metrics = evaluation.classification_metrics(counts).crossJoin(evaluation.roc_auc_ovr(scored, 10))
+        parts.append(metrics.select(F.lit(name).alias("model_name"), *K.FOLD_METRICS))
+    return rounded(parts[0].unionByName(parts[1]).unionByName(parts[2]), *K.FOLD_METRICS)
+
+
 def _clip_forest(spark: SparkSession, sf_dir: str) -> modeling.Fitted:
     rows = clip_vectors(spark, sf_dir)
     train, _ = splits.fold_split(rows)

@@ -8,6 +8,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clipward.operators import drift, evaluation, labels, modeling, splits
+from clipward.operators import search as sampler
 from clipward.operators.monitor import rolling_monitor
 from clipward.plans import training_queries as TQ
 from clipward.streaming import jobs
@@ -84,6 +85,32 @@ def test_stored_model(spark, separable, tmp_path):
         modeling.load_fitted(spark, str(tmp_path / "none"), "forest")
 
 
+def test_stored_boosted_model(spark, separable, tmp_path):
+    train, held_out = splits.fold_split(separable)
+    params = {"trees": 2, "depth": 3, "leaves": 4, "l2": 0.5}
+    fitted = modeling.fit("boosted_leaf", params, train, labels.label_map(train), n_features=4)
+    folder = str(tmp_path / "boosted")
+    fitted.save(folder)
+    again = modeling.load_fitted(spark, folder, "boosted_leaf")
+    key = lambda m: sorted((r["path"], r["confidence"]) for r in m.score(held_out).collect())
+    assert key(again) == key(fitted)
+    with pytest.raises(ValueError, match="does not hold"):
+        modeling.load_fitted(spark, folder, "forest")
+
+
+def test_search_proposals_follow_from_the_stored_table(separable):
+    parts = splits.four_way(separable)
+    mapping = labels.label_map(parts["tune_train"])
+    args = parts["tune_train"], parts["validation"], mapping
+    trials = modeling.search("boosted_depth", *args, n_features=4, n_trials=7, limits={"trees": 1, "depth": 2}, parallelism=3)
+    known = modeling.completed_trials(trials)
+    assert sorted(t.number for t in known) == list(range(7))
+    for t in known:
+        seen = sampler.visible(known, t.number, 3)
+        again = modeling.suggest("boosted_depth", t.number, 42, {"trees": 1, "depth": 2}, seen)
+        assert {k: str(v) for k, v in again.items()} == t.params
+
+
 def test_clip_forest_recognises_the_tones(spark, sf_dir):
     row = TQ.clip_holdout_metrics(spark, sf_dir).first()
     assert row["f1_macro"] > 0.8
