@@ -18,10 +18,12 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clipward import constants as K
 from clipward.functions.columns import is_finite
 from clipward.operators import splits
-from clipward.operators.evaluation import top_class
-from clipward.session import stable
+from clipward.operators.evaluation import classification_metrics, confusion_counts, top_class
+from clipward.operators.search import TRIALS, completed, propose
+from clipward.session import scratch_path, stable
 
 
 def usable(rows: DataFrame, column: str = "features") -> DataFrame:
@@ -124,3 +126,41 @@ def cross_validate(
     tested = clean.where(splits.original(clean)).join(models, F.col("fold") == F.col("test_fold"))
     scored = with_shares(tested, column, n_classes)
     return top_class(scored.select("setting", *keep, "fold", F.col("class_id").alias("y_true"), "proba"))
+
+
+def search(
+    rows: DataFrame,
+    n_classes: int,
+    *,
+    validation_fold: int = K.VAL_FOLD,
+    n_trials: int = 20,
+    batch: int = 4,
+    seed: int = 42,
+    column: str = "features",
+) -> DataFrame:
+    """Trial table (number, state, value, params) of an adaptive search over the whole space of this classifier.
+
+    The statistics of all folds but the validation fold come from one scan; a batch of trials is scored together in
+    one pass over the originals of that fold. Value is macro F1; a trial without a score has failed.
+    """
+    spark = rows.sparkSession
+    clean = usable(rows, column)
+    stats = stable(statistics(clean, column), "statistics")
+    held_out = stable(clean.where(splits.original(clean) & (F.col("fold") == validation_fold)), "validation")
+    path, space = scratch_path(spark, "trials"), K.SEARCH_SPACE["gaussian"]
+    spark.createDataFrame([], TRIALS).write.parquet(path)
+    for first in range(0, n_trials, batch):
+        known = completed(spark.read.schema(TRIALS).parquet(path))
+        drawn = {n: propose(space, known, n, seed) for n in range(first, min(first + batch, n_trials))}
+        settings = {str(n): (p["shrink"], p["smoothing"]) for n, p in drawn.items()}
+        models = rotation_models(stats, settings).where(F.col("test_fold") == validation_fold)
+        tested = held_out.join(models, F.col("fold") == F.col("test_fold"))
+        scored = top_class(with_shares(tested, column, n_classes)).withColumn("y_true", F.col("class_id"))
+        metrics = classification_metrics(confusion_counts(scored, group=["setting"]), ["setting"])
+        values = {r["setting"]: r["f1_macro"] for r in metrics.collect()}  # one row per trial
+        done = [
+            (n, "COMPLETE" if str(n) in values else "FAIL", values.get(str(n)), {k: str(v) for k, v in p.items()})
+            for n, p in drawn.items()
+        ]
+        spark.createDataFrame(done, TRIALS).coalesce(1).write.mode("append").parquet(path)
+    return spark.read.schema(TRIALS).parquet(path)

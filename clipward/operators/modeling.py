@@ -192,15 +192,6 @@ def macro_f1(scored: DataFrame) -> float:
     return float(row["f1_macro"])
 
 
-_TRIALS = "number int, state string, value double, params map<string,string>"
-
-
-def completed_trials(trials: DataFrame) -> list[sampler.Trial]:
-    """The completed trials of a stored trial table, which has one row per trial."""
-    rows = trials.where((F.col("state") == "COMPLETE") & F.col("value").isNotNull()).collect()
-    return [sampler.Trial(r["number"], r["value"], r["params"]) for r in rows]
-
-
 def search(
     model_name: str,
     train: DataFrame,
@@ -221,7 +212,7 @@ def search(
     spark = train.sparkSession
     kept = [df.persist(StorageLevel.MEMORY_AND_DISK) for df in (train, validation)]
     path = scratch_path(spark, "trials")
-    spark.createDataFrame([], _TRIALS).write.parquet(path)
+    spark.createDataFrame([], sampler.TRIALS).write.parquet(path)
 
     def trial(number: int, params: dict[str, object]) -> tuple[int, str, float, dict[str, str]]:
         fitted = fit(model_name, params, kept[0], mapping, n_features=n_features, seed=seed)
@@ -231,15 +222,15 @@ def search(
     try:
         with ThreadPoolExecutor(parallelism) as pool:
             for first in range(0, n_trials, parallelism):
-                known = completed_trials(spark.read.schema(_TRIALS).parquet(path))
+                known = sampler.completed(spark.read.schema(sampler.TRIALS).parquet(path))
                 batch = range(first, min(first + parallelism, n_trials))
                 drawn = [suggest(model_name, n, seed, limits, known) for n in batch]
                 rows = list(pool.map(trial, batch, drawn))
-                spark.createDataFrame(rows, _TRIALS).coalesce(1).write.mode("append").parquet(path)
+                spark.createDataFrame(rows, sampler.TRIALS).coalesce(1).write.mode("append").parquet(path)
     finally:
         for df in kept:
             df.unpersist()
-    return spark.read.schema(_TRIALS).parquet(path)
+    return spark.read.schema(sampler.TRIALS).parquet(path)
 
 
 def refit_and_evaluate(

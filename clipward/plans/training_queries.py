@@ -112,7 +112,7 @@ def clip_holdout_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("m6_search")
 def search(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Twenty adaptive trials of a forest over its whole search space."""
+    """Twenty adaptive trials of a forest of at most 10 trees of depth 8; the other ranges are whole."""
     parts = splits.four_way(vectors(spark, sf_dir))
     trials = modeling.search(
         "forest",
@@ -120,10 +120,30 @@ def search(spark: SparkSession, sf_dir: str) -> DataFrame:
         parts["validation"],
         labels.stored_label_map(parts["tune_train"]),
         n_features=V.N_FEATURES,
+        limits={"trees": 10, "depth": 8},
     )
     return trials.select("number", "state", "value", F.to_json("params").alias("params"))
 
 
+def _closed_form_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = stable(vectors(spark, sf_dir), "vectors")
+    return gaussian.search(labels.encode_labels(rows, labels.stored_label_map(rows)), 10)
+
+
+@register("m6_closed_form_search")
+def closed_form_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Twenty adaptive trials of the closed-form classifier over its whole search space."""
+    trials = _closed_form_trials(spark, sf_dir)
+    return trials.select("number", "state", "value", F.to_json("params").alias("params"))
+
+
+@register("e10_searched_trial")
+def searched_trial(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best trial of the closed-form search."""
+    best = evaluation.best_trial(_closed_form_trials(spark, sf_dir))
+    return best.select("number", r6("value").alias("value"), F.to_json("params").alias("params"), "n_complete")
+
+
 @register("m7_refit_and_evaluate", _HELD_OUT)
 def refit_and_evaluate(spark: SparkSession, sf_dir: str) -> DataFrame:
     _, scored = modeling.refit_and_evaluate(

@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clipward import constants as K
-from clipward.operators import boosting, gaussian, search
+from clipward.operators import boosting, evaluation, gaussian, search
 from clipward.operators.boosting import Growth
 
 
@@ -218,3 +218,21 @@ def test_one_scan_equals_ten_separate_fits(spark):
             assert got[path].proba == pytest.approx(whole, abs=1e-9)
             assert got[path].y_true == label and got[path].pred == int(np.argmax(whole))
     assert gaussian.cross_validate(table.limit(0), 4, {"x": (0.3, 0.01)}).count() == 0
+
+
+def test_closed_form_search_follows_from_its_table(spark):
+    rng = np.random.default_rng(7)
+    rows = [(f"p{i}", i % 10 + 1, i % 3, False, (rng.normal(size=3) + i % 3).tolist()) for i in range(200)]
+    table = spark.createDataFrame(rows, "path string, fold int, class_id int, is_augmented boolean, features array<double>")
+    trials = gaussian.search(table, 3, n_trials=9)
+    known = search.completed(trials)
+    assert sorted(t.number for t in known) == list(range(9))
+    space = K.SEARCH_SPACE["gaussian"]
+    for t in known:
+        again = search.propose(space, search.visible(known, t.number, 4), t.number)
+        assert {k: str(v) for k, v in again.items()} == t.params
+        own = {"x": (float(t.params["shrink"]), float(t.params["smoothing"]))}
+        scored = gaussian.cross_validate(table, 3, own).where("fold = 9")
+        value = evaluation.classification_metrics(evaluation.confusion_counts(scored)).first()["f1_macro"]
+        assert value == pytest.approx(t.value, abs=1e-12)
+    assert {r.state for r in gaussian.search(table.where("fold <> 9"), 3, n_trials=2).collect()} == {"FAIL"}

@@ -103,7 +103,7 @@ def test_search_proposals_follow_from_the_stored_table(separable):
     mapping = labels.label_map(parts["tune_train"])
     args = parts["tune_train"], parts["validation"], mapping
     trials = modeling.search("boosted_depth", *args, n_features=4, n_trials=7, limits={"trees": 1, "depth": 2}, parallelism=3)
-    known = modeling.completed_trials(trials)
+    known = sampler.completed(trials)
     assert sorted(t.number for t in known) == list(range(7))
     for t in known:
         seen = sampler.visible(known, t.number, 3)
