@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import random
 
 import pytest
@@ -57,6 +58,60 @@ def test_main_text(spark):
     assert wrappers.extract(df.where("false")).count() == 0
 
 
+def said(html, wrapper=None):
+    return wrappers.main_text(html, wrapper or wrappers.own_wrapper(wrappers.parse(html)))
+
+
+def test_text_after_inline_notices_deep_elements_and_inside_forms():
+    assert said('<article><p>text <small class="notice">x</small> more text</p><p>next</p></article>') == "text more text\nnext"
+    assert said('<p>one <em class="share">x <em>y</em> z</em> two three</p>') == "one two three"
+    assert said('<p>one <b class="ad">x</p><p>two</b> three</p>') == "one\ntwo three"
+    deep = "<div>" * 200 + "deep" + "</div>" * 200
+    assert said(f"<div id=wrap><article>{deep}<p>rest</p></article></div><p>out</p>") == "deep\nrest"
+    nav = "<div>" * 400 + "<nav>menu</nav><p>in</p>" + "</div>" * 400
+    assert said(f"<article>{nav}<p>rest</p></article>") == "in\nrest"
+    assert said("<body><form><p>all</p><input><button>go</button></form></body>") == "all"
+    assert said("<body><form><nav>n</nav><article>all</article></form><p>foot</p></body>") == "all"
+    assert said('<body><p>text</p><form><div class="content">name</div></form></body>') == "text"
+    assert said("<div>" * 100000 + "deep" + "</b></p>" * 100000) == "deep"
+
+
+def test_wrapper_leaves_out_what_all_pages_of_a_host_repeat_inside_the_article(spark):
+    box = '<div class="box">Read <b>also</b> this</div>'
+    body = lambda i, b: f"<article><h1>Title {i}</h1><p>text {i} of some length</p><p>more {i}</p>{b}</article>"
+    pages = [body(i, box) for i in range(5)]
+    merged = wrappers.own_wrapper(wrappers.parse(pages[0]))
+    for p in pages[1:]:
+        merged = wrappers.merge(merged, wrappers.own_wrapper(wrappers.parse(p)))
+    assert said(pages[2]) == "Title 2\ntext 2 of some length\nmore 2\nRead also this"
+    assert said(pages[2], merged) == "Title 2\ntext 2 of some length\nmore 2"
+    # Two pages are too few, also when they come many times; copies of one article are one page.
+    few = [body(i % 2, box) for i in range(6)]
+    copies = [f"<article><h1>n {i}</h1><div>one long text that all have</div></article>" for i in range(6)]
+    # An optional box is content.
+    some = [body(i, box if i % 2 else "") for i in range(8)]
+    rows = [(h, i, f"https://{h}.example/{i}", p) for h, ps in (("a", pages), ("b", few), ("c", copies), ("d", some)) for i, p in enumerate(ps)]
+    rows += [("e", 0, "https://e.example", None), ("a", 9, "https://a.example/9", "")]
+    df = spark.createDataFrame(rows, "h string, i int, url string, html string")
+    got = {(r.h, r.i): r.text for r in wrappers.extract(df).collect()}
+    assert all("also" not in got["a", i] for i in range(5)) and got["a", 9] == "" == got["e", 0]
+    assert all("also" in got["b", i] for i in range(6)) and all("also" in got["d", i] for i in range(1, 8, 2))
+    assert all(got["c", i] == f"n {i}\none long text that all have" for i in range(6))
+    wide = wrappers.BROADCAST_BYTES, wrappers.SHARE_BYTES
+    wrappers.BROADCAST_BYTES, wrappers.SHARE_BYTES = 0, 100
+    try:
+        assert {(r.h, r.i): r.text for r in wrappers.extract(df).collect()} == got
+    finally:
+        wrappers.BROADCAST_BYTES, wrappers.SHARE_BYTES = wide
+
+
+def test_merging_does_not_depend_on_the_order_of_pages():
+    page_of = lambda i: f"<body><h1>t{i % 3}</h1><div class=x>same</div><p>long text {i}</p></body>"
+    own = [wrappers.own_wrapper(wrappers.parse(page_of(i))) for i in range(6)]
+    fold = lambda ws: functools.reduce(wrappers.merge, ws)
+    assert fold(own) == fold(own[::-1]) == wrappers.merge(fold(own[:2]), fold(own[2:]))
+
+
 def test_alignment_makes_optional_and_repeated_members():
     own = lambda t: wrappers.own_wrapper(wrappers.parse(t))
     merged = wrappers.merge(
