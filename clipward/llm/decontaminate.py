@@ -1,4 +1,4 @@
-"""Training passages that copy test items: word pairs as seeds, a counting bound, then Smith-Waterman.
+"""Training passages that copy test items: the rarest word pairs as seeds, a counting bound, then Smith-Waterman.
 
 Texts are lowered and cut into words of letters, digits and non-ASCII characters. A pair aligns with
 match 2, mismatch and gap -1; the score is divided by the item's own, and kept from ``min_score`` on. So an
@@ -9,12 +9,18 @@ the item are a seed, which the text may hold side by side or with one word betwe
 have m matches and, among its m - 1 steps from match to match, S seeds, u steps that pass over a word
 of the item and v steps that pass over two or more words of the text only. It scores at most
 2 m - u - 2 v, and m + u <= L, u + S <= m - 1, so S >= (2 P - L - 3) / 3; its text is at most 3 L - P
-words long. One scan of the corpus aligns every document and item with that many seeds so near each
-other, around them; no document frequency plays a part. For ``min_score`` under 0.5 the bound falls to
+words long. So of the n seeds of an item any n - S + 1 include one of every accepted copy. One scan of the corpus
+counts the items' seeds; the n - S + 1 rarest of each item are joined with the corpus in a second scan, and
+where one is found, all seeds of the item are counted around it. Texts and items with S seeds so near each other are
+aligned. Counts choose the seeds only, so the result does not depend on them. For ``min_score`` under 0.5 the bound falls to
 one seed, which long items at less than 0.3 need not hold.
 
+Hits are handled ``HITS`` at a time and their surroundings ``PLACES`` words at a time; long windows are aligned in
+strips that overlap by the longest accepted copy. So memory does not grow with frequent pairs or long texts.
+
 Test items are held in blocks of bounded size (``BLOCK_WORDS``); with more items there are more
-blocks, each scanning the corpus once, so what is broadcast never grows.
+blocks, each scanning the corpus twice, so what is broadcast never grows; the counts that reach the driver are those
+of a block's seeds.
 
 Cases: null or empty texts and items match nothing; items shorter than a seed match as a whole; ties
 between windows of one document keep the best score, then the earliest place; repeated documents
@@ -26,10 +32,11 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -43,6 +50,10 @@ MIN_SCORE = 0.5
 MIN_POINTS = 12
 BLOCK_WORDS = 1 << 20
 PART_BYTES = 2 << 20
+HITS = 1 << 18
+PLACES = 1 << 20
+STRIP_SPANS = 4  # words of a strip, in spans of its item
+CELLS = 1 << 17  # words of text that are aligned together
 MATCH, MISS, GAP = 2, -1, -1
 
 _SEPARATOR = np.ones(256, bool)
@@ -52,7 +63,7 @@ _BITS = np.uint64(44)  # 2**20 places for the first look
 
 @dataclass
 class Items:
-    """A block of test items: word hashes and their seeds, ascending."""
+    """A block of test items: word hashes and the seeds to look for, ascending."""
 
     ids: list
     words: list[np.ndarray]
@@ -62,6 +73,7 @@ class Items:
     size: np.ndarray
     needed: np.ndarray  # seeds an accepted copy holds at least, per item
     span: np.ndarray  # words of text it covers at most
+    keys: np.ndarray  # every pair of every item that needs more than one, ascending
 
     @property
     def sizes(self) -> list[int]:
@@ -99,8 +111,29 @@ def read_items(rows: list, seed_words: int, min_score: float = MIN_SCORE) -> Ite
                 needed[i] = max(1, pairs) if n == 2 else 1
     flat = np.concatenate([np.empty(0, np.uint64), *seeds])
     order = np.argsort(flat, kind="stable")
-    columns = (np.array(c, np.int64)[order] for c in (item, place, size))
-    return Items(ids, words, flat[order], *columns, needed, span)
+    item, place, size = (np.array(c, np.int64)[order] for c in (item, place, size))
+    flat = flat[order]
+    many = needed[item] > 1
+    keys = np.unique(_key(flat[many], item[many]))
+    return Items(ids, words, flat, item, place, size, needed, span, keys)
+
+
+def _key(seeds: np.ndarray, item: np.ndarray) -> np.ndarray:
+    """Hash of a seed in an item."""
+    return seeds ^ hashing.mix(item.astype(np.uint64) + np.uint64(1))
+
+
+def rarest(items: Items, counts: np.ndarray) -> Items:
+    """``items`` with the seeds of each that every accepted copy holds one of, rarest first chosen.
+
+    ``counts`` has the occurrences of each entry of ``items.seeds``.
+    """
+    order = np.lexsort((items.place, counts, items.item))
+    item = items.item[order]
+    first = np.searchsorted(item, item)
+    n = np.searchsorted(item, item, side="right") - first
+    kept = np.sort(order[np.arange(len(order)) - first < n - items.needed[item] + 1])
+    return replace(items, **{c: getattr(items, c)[kept] for c in ("seeds", "item", "place", "size")})
 
 
 def _lookup(items: Items) -> np.ndarray:
@@ -109,26 +142,78 @@ def _lookup(items: Items) -> np.ndarray:
     return seen
 
 
-def _hits(items: Items, seen: np.ndarray, hashes: np.ndarray, doc: np.ndarray):
-    """(word position, seed entry) of every seed in a document; pairs also with one word between."""
-    at, entry = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+def _inside(doc: np.ndarray, places: np.ndarray, width: int) -> np.ndarray:
+    """Whether ``width`` words from each place are in one document."""
+    last = places + width - 1
+    return (last < len(doc)) & (doc[places] == doc[np.minimum(last, len(doc) - 1)])
 
-    def look(grams: np.ndarray, width: int, size: int) -> None:
-        near = np.flatnonzero(seen[(grams >> _BITS).astype(np.int64)])
-        near = near[doc[near] == doc[near + width - 1]]
-        lo = np.searchsorted(items.seeds, grams[near])
-        hi = np.searchsorted(items.seeds, grams[near], side="right")
-        run = np.repeat(np.arange(len(near)), hi - lo)
-        found = np.arange(len(run)) - np.repeat(np.cumsum(hi - lo) - (hi - lo), hi - lo) + lo[run]
-        right = items.size[found] == size
-        at.append(near[run][right])
-        entry.append(found[right])
 
+def _hits(
+    items: Items, seen: np.ndarray, hashes: np.ndarray, grams: dict[int, np.ndarray], doc: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(word position, item) of every seed in a document, about ``HITS`` at a time; pairs also with one
+    word between. ``grams`` has the hashes of pairs by the words they cover."""
+    at, item, held = [], [], 0
     for n in items.sizes:
-        look(hashing.window_hashes(hashes, abs(n)), abs(n), n)
-        if n == 2:
-            look(_apart(hashes), 3, n)
-    return np.concatenate(at), np.concatenate(entry)
+        for width, found in grams.items() if n == 2 else ((abs(n), hashing.window_hashes(hashes, abs(n))),):
+            near = np.flatnonzero(seen[(found >> _BITS).astype(np.int64)])
+            near = near[_inside(doc, near, width)]
+            lo = np.searchsorted(items.seeds, found[near])
+            hi = np.searchsorted(items.seeds, found[near], side="right")
+            near, lo, hi = near[hi > lo], lo[hi > lo], hi[hi > lo]
+            for a, b in _runs(np.cumsum(hi - lo) // HITS):
+                run, entry = _spread(lo[a:b], hi[a:b])
+                right = items.size[entry] == n
+                at.append(near[a:b][run][right])
+                item.append(items.item[entry[right]])
+                held += len(at[-1])
+                if held >= HITS:
+                    yield np.concatenate(at), np.concatenate(item)
+                    at, item, held = [], [], 0
+    if held:
+        yield np.concatenate(at), np.concatenate(item)
+
+
+def _spread(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of the range and value, for all values of the ranges lo .. hi - 1."""
+    size = hi - lo
+    run = np.repeat(np.arange(len(lo)), size)
+    return run, np.arange(len(run)) - (np.cumsum(size) - size)[run] + lo[run]
+
+
+def _gathered(
+    items: Items, grams: dict[int, np.ndarray], doc: np.ndarray, first: np.ndarray, at: np.ndarray, item: np.ndarray
+) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """(word position, item) of the seeds around each hit that are enough and near each other, by item and position."""
+    order = np.lexsort((at, item))
+    at, item = at[order], item[order]
+    one = items.needed[item] == 1
+    if one.any():
+        yield at[one], item[one]
+    at, item = at[~one], item[~one]
+    if not len(at):
+        return
+    span = items.span[item]
+    new = np.ones(len(at), bool)
+    new[1:] = (np.diff(item) != 0) | (np.diff(doc[at]) != 0) | (np.diff(at) > 2 * span[1:])
+    head = np.flatnonzero(new)
+    tail = np.append(head[1:], len(at)) - 1
+    own, wide = doc[at[head]], span[head]
+    lo = np.maximum(first[own], at[head] - wide)
+    hi = np.minimum(first[own + 1], at[tail] + wide + 1)
+    for a, b in _runs(np.cumsum(hi - lo) // PLACES):
+        run, place = _spread(lo[a:b], hi[a:b])
+        its = item[head[a:b][run]]
+        hit = np.zeros(len(place), bool)
+        for width, found in grams.items():
+            ok = np.flatnonzero(_inside(doc, place, width))
+            key = _key(found[place[ok]], its[ok])
+            known = np.minimum(np.searchsorted(items.keys, key), len(items.keys) - 1)
+            hit[ok] |= items.keys[known] == key
+        place, its = place[hit], its[hit]
+        near = _near(items, doc[place], its, place)
+        if near.any():
+            yield place[near], its[near]
 
 
 def _apart(hashes: np.ndarray) -> np.ndarray:
@@ -142,7 +227,7 @@ def _apart(hashes: np.ndarray) -> np.ndarray:
 
 
 def _near(items: Items, doc: np.ndarray, item: np.ndarray, at: np.ndarray) -> np.ndarray:
-    """Which hits, sorted by document, item and position, are in a span with enough of them."""
+    """Which hits, sorted by item and position, are in a span with enough of them."""
     ok = np.zeros(len(at), bool)
     for n in np.unique(items.needed[item]).tolist():
         mine = np.flatnonzero(items.needed[item] == n)
@@ -172,37 +257,77 @@ _CANDIDATE = T.StructType(
 )
 
 
+def _pairs(hashes: np.ndarray) -> dict[int, np.ndarray]:
+    """Hashes of pairs by the words they cover."""
+    return {2: hashing.window_hashes(hashes, 2), 3: _apart(hashes)}
+
+
+def _parts(column: pa.Array) -> Iterator[tuple[int, list[str]]]:
+    """The texts in parts of about ``PART_BYTES``, with the first row of each."""
+    sizes = pc.fill_null(pc.binary_length(column), 0).to_numpy(False)
+    for a, b in _runs(np.cumsum(sizes) // PART_BYTES):
+        yield a, [t or "" for t in column.slice(a, b - a).to_pylist()]
+
+
+def _counts(docs: DataFrame, text: str, shared) -> DataFrame:
+    """(seed, n): how often the corpus has the pairs of the items."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        items = shared.value
+        seen, seeds = _lookup(items), np.unique(items.seeds)
+        counts = np.zeros(len(seeds) + 1, np.int64)
+        for batch in batches:
+            for _, texts in _parts(batch.column(0)):
+                hashes, doc, _ = _words_of(texts)
+                for width, found in _pairs(hashes).items():
+                    near = np.flatnonzero(seen[(found >> _BITS).astype(np.int64)])
+                    found = found[near[_inside(doc, near, width)]]
+                    place = np.searchsorted(seeds, found)
+                    place[(place == len(seeds)) | (seeds[np.minimum(place, len(seeds) - 1)] != found)] = len(seeds)
+                    counts += np.bincount(place, minlength=len(counts))
+        some = np.flatnonzero(counts[:-1])
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(seeds[some].view(np.int64)), pa.array(counts[some])], ["seed", "n"]
+        )
+        release()
+
+    small_batches(docs.sparkSession)
+    found = docs.select(text).mapInArrow(run, "seed long, n long")
+    return found.groupBy("seed").agg(F.sum("n").alias("n"))
+
+
 def _scan(docs: DataFrame, ids: list[str], text: str, shared) -> DataFrame:
     """Candidate windows of ``docs`` with the id columns of their document."""
     schema = T.StructType([*(docs.schema[c] for c in ids), *_CANDIDATE.fields])
 
     def part(batch: pa.RecordBatch, texts: list[str], base: int, items: Items, seen: np.ndarray):
         hashes, doc, first = _words_of(texts)
-        at, entry = _hits(items, seen, hashes, doc)
-        if not len(at):
-            return None
-        item = items.item[entry]
-        order = np.lexsort((at, item, doc[at]))
-        at, item = at[order], item[order]
-        near = _near(items, doc[at], item, at)
-        at, item = at[near], item[near]
-        if not len(at):
-            return None
+        grams = _pairs(hashes)
+        for hits in _hits(items, seen, hashes, grams, doc):
+            for at, item in _gathered(items, grams, doc, first, *hits):
+                yield candidates(batch, base, items, hashes, doc, first, at, item)
+
+    def candidates(batch, base, items, hashes, doc, first, at, item) -> pa.RecordBatch:
         own, span = doc[at], items.span[item]
         new = np.ones(len(at), bool)
-        new[1:] = (own[1:] != own[:-1]) | (item[1:] != item[:-1]) | (np.diff(at) > span[1:])
+        new[1:] = (np.diff(own) != 0) | (np.diff(item) != 0) | (np.diff(at) > span[1:])
         begins = np.flatnonzero(new)
         rows: dict[str, list] = {n: [] for n in _CANDIDATE.names}
         picked = []
         for a, b in zip(begins, [*begins[1:], len(at)]):
-            d, i = own[a], item[a]
-            lo = max(first[d], at[a] - span[a])
-            hi = min(first[d + 1], at[b - 1] + span[a] + 1)
-            picked.append(d)
-            rows["row"].append(base + int(d))
-            rows["item"].append(int(i))
-            rows["start"].append(int(lo - first[d]))
-            rows["words"].append(hashes[lo:hi].view(np.int64))
+            d, i, wide = own[a], item[a], span[a]
+            end = min(first[d + 1], at[b - 1] + wide + 1)
+            lo = max(first[d], at[a] - wide)
+            while True:
+                hi = min(end, lo + STRIP_SPANS * wide)
+                picked.append(d)
+                rows["row"].append(base + int(d))
+                rows["item"].append(int(i))
+                rows["start"].append(int(lo - first[d]))
+                rows["words"].append(hashes[lo:hi].view(np.int64))
+                if hi == end:
+                    break
+                lo = hi - wide
         columns = [
             batch.column(batch.schema.get_field_index(c)).take(pa.array(picked)) for c in ids
         ]
@@ -219,15 +344,9 @@ def _scan(docs: DataFrame, ids: list[str], text: str, shared) -> DataFrame:
         seen = _lookup(items)
         base = TaskContext.get().partitionId() << 40
         for batch in batches:
-            column = batch.column(batch.schema.get_field_index(text))
-            sizes = pa.compute.fill_null(pa.compute.binary_length(column), 0).to_numpy(False)
-            group = np.cumsum(sizes) // PART_BYTES
-            for a, b in _runs(group):
-                texts = [t or "" for t in column.slice(a, b - a).to_pylist()]
-                out = part(batch.slice(a, b - a), texts, base, items, seen)
-                base += b - a
-                if out is not None:
-                    yield out
+            for a, texts in _parts(batch.column(batch.schema.get_field_index(text))):
+                yield from part(batch.slice(a, len(texts)), texts, base, items, seen)
+                base += len(texts)
         release()
 
     small_batches(docs.sparkSession)
@@ -239,6 +358,17 @@ def _runs(group: np.ndarray) -> list[tuple[int, int]]:
     return [(a, b) for a, b in zip(cuts[:-1], cuts[1:]) if b > a]
 
 
+def _groups(lengths: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Ranges of at most 128 ascending lengths that are at most ``CELLS`` when padded, or one."""
+    a = 0
+    while a < len(lengths):
+        b = min(a + 128, len(lengths))
+        while b > a + 1 and (b - a) * lengths[b - 1] > CELLS:
+            b = a + (b - a + 1) // 2
+        yield a, b
+        a = b
+
+
 def align(items: list[np.ndarray], texts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Best local alignment score of each pair, and the text position where it ends.
 
@@ -287,8 +417,9 @@ def _aligned(candidates: DataFrame, ids: list[str], shared) -> DataFrame:
             chosen = sorted(range(batch.num_rows), key=lambda i: len(column[i]))
             index = batch.column(batch.schema.get_field_index("item")).to_pylist()
             start = batch.column(batch.schema.get_field_index("start")).to_pylist()
-            for a in range(0, len(chosen), 128):
-                rows = chosen[a : a + 128]
+            lengths = np.array([len(column[i]) for i in chosen], np.int64)
+            for a, b in _groups(lengths):
+                rows = chosen[a:b]
                 words = [items.words[index[i]] for i in rows]
                 texts = [column[i].values.to_numpy().view(np.uint64) for i in rows]
                 points, end = align(words, texts)
@@ -329,6 +460,14 @@ def find_copies(
     for b in range(n_blocks):
         mine = tests.where(F.pmod(F.xxhash64("item_id", "t"), F.lit(n_blocks)) == b)
         held = read_items([tuple(r) for r in mine.orderBy("item_id", "t").collect()], seed_words, min_score)
+        if (held.needed > 1).any():
+            counted = _counts(docs, text, spark.sparkContext.broadcast(held)).toPandas()
+            seeds = counted["seed"].to_numpy(np.int64).view(np.uint64)
+            order = np.argsort(seeds)
+            counts = np.append(counted["n"].to_numpy(np.int64)[order], 0)
+            place = np.searchsorted(seeds[order], held.seeds)
+            known = np.append(seeds[order], np.uint64(0))[place] == held.seeds
+            held = rarest(held, np.where(known, counts[place], 0))
         shared = spark.sparkContext.broadcast(held)
         candidates = stored(_scan(docs, list(ids), text, shared), "candidates")
         scored = _aligned(candidates, list(ids), shared)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 import re
@@ -361,6 +362,38 @@ def test_every_accepted_copy_is_found(spark):
     assert {(0, 0), (1, 1), (3, 2), (202, 2), (203, 3)} <= {w[:2] for w in want} and len(want) >= 204
 
 
+def test_frequent_pairs_and_a_text_of_a_million_words(spark):
+    """Ordinary phrases in every item, and one long text of them, give the copies that Smith-Waterman accepts."""
+    draw = random.Random(3)
+    common = [f"p{a} n{b}" for a, b in itertools.product(range(30), repeat=2)]
+    rare = lambda: "".join(draw.choice("abcdefgh") for _ in range(8))
+    items = [" ".join(draw.choices(common, k=5) + [rare(), rare()] + draw.choices(common, k=3)) for _ in range(300)]
+    long = draw.choices(common, k=500_000)
+    long[100_000] = items[7]
+    long[400_000] = items[8].rsplit(" ", 3)[0]
+    short = " ".join(draw.choices(common, k=60) + [items[3].replace("p1", "q")]).split()
+    bench = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = decontaminate.find_copies(frame(spark, [" ".join(long), " ".join(short)]), bench).collect()
+    found = {(r.doc_id, r.item_id): r.points for r in got}
+    assert found[0, 7] == 36 and found[0, 8] >= 30
+    want = {}
+    for i, t in enumerate(items):
+        points = smith_waterman(t.split(), short)
+        if points >= len(t.split()):
+            want[1, i] = points
+    assert {k: v for k, v in found.items() if k[0] == 1} == want and want
+
+
+def test_rarest_seeds_are_those_no_accepted_copy_can_miss():
+    items = decontaminate.read_items([(0, "a b c d e f g h i j k l m n o p"), (1, "x y"), (2, "")], 2)
+    counts = np.arange(len(items.seeds))[::-1]
+    chosen = decontaminate.rarest(items, counts)
+    n, needed = (items.item == 0).sum(), items.needed[0]
+    assert needed > 1 and (chosen.item == 0).sum() == n - needed + 1 and (chosen.item == 1).sum() == 1
+    left = set(items.place[items.item == 0]) - set(chosen.place[chosen.item == 0])
+    assert len(left) == needed - 1 and (np.diff(chosen.seeds.astype(object)) >= 0).all()
+
+
 # ---------------------------------------------------------------- empty tables
 
 
