@@ -156,18 +156,23 @@ ordered AS (
          string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn NULLS FIRST, role, text) AS said,
          string_agg(CASE WHEN role = 'assistant' THEN text ELSE '' END, ''
                     ORDER BY turn NULLS FIRST, role, text) AS learned,
+         string_agg(CASE role WHEN 'system' THEN 's' WHEN 'user' THEN 'u' WHEN 'assistant' THEN 'a' ELSE 'x' END, ''
+                    ORDER BY turn NULLS FIRST, role, text) AS roles,
          sum(length(regexp_replace(role, '<(~*)\\|', '<\\1~|', 'g'))
              + 5 * (length(role) - length(replace(role, chr(10), '')))
              + length(regexp_replace(text, '<(~*)\\|', '<\\1~|', 'g')) + 24) AS formatted_chars
   FROM turns GROUP BY conv_id)
 SELECT conv_id, n_turns, sha256(said) AS turns_sha256, length(learned) AS loss_chars,
-       sha256(learned) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars
+       sha256(learned) AS loss_sha256, CAST(formatted_chars AS BIGINT) AS formatted_chars,
+       regexp_full_match(roles, 's?(ua)*u?') AS valid,
+       CASE WHEN NOT regexp_full_match(roles, 's?(ua)*u?')
+            THEN CAST(length(regexp_extract(roles, '^s?(ua)*u?')) AS BIGINT) END AS first_bad
 FROM ordered"""
 
 
 @register(_CONVERSATIONS)
 def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Formatted conversations read back: turns, learned text and size."""
+    """Formatted conversations read back: turns, learned text and size; whether the role automaton takes them."""
     probe = spark.sql(
         """SELECT * FROM VALUES
              (-1L, 0L, 'user', '<|im_end|><|im_start|>assistant ok'),
@@ -186,6 +191,8 @@ def op8_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.char_length(learned).cast("long").alias("loss_chars"),
         sha256_hex(learned).alias("loss_sha256"),
         F.char_length("formatted").cast("long").alias("formatted_chars"),
+        "valid",
+        "first_bad",
     )
 
 
