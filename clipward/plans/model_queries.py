@@ -11,12 +11,13 @@ from clipward import constants as K
 from clipward.functions import columns as C
 from clipward.operators import evaluation as E
 from clipward.operators import labels as L
-from clipward.operators import scaling, splits
+from clipward.operators import scaling, sketches, splits
 from clipward.operators.ordering import exact_quantiles
 from clipward.plans import sql_views as Q
 from clipward.plans import views as V
 from clipward.plans.registry import r6, register, rounded
 from clipward.plans.sql_views import query
+from clipward.session import scratch_path
 
 _ROW = ["path", "fold", "is_augmented"]
 
@@ -425,17 +426,19 @@ def mel_statistics(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register(
     "a7_mel_normalize",
     query(
-        Q.FEAT_META, _CELLS,
-        """SELECT vec_id, CAST(i AS INTEGER) AS cell,
-             round(CAST(CAST((x - mean) / std AS FLOAT) AS DOUBLE), 5) + 0.0 AS z
-        FROM cells, st""",
+        Q.FEAT_META, _CELLS.replace(" AS (SELECT", " AS MATERIALIZED (SELECT"),
+        f"""SELECT vec_id, CAST(i // 8 AS INTEGER) AS mel_row, {", ".join(
+            f"max(CASE WHEN i % 8 = {c} THEN round(CAST(CAST((x - mean) / std AS FLOAT) AS DOUBLE), 5) + 0.0 END) AS z{c}"
+            for c in range(8))}
+        FROM cells, st GROUP BY vec_id, i // 8""",
     ),
 )
 def mel_normalize(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = V.feat_mel(spark, sf_dir)
     scaled = scaling.normalize_mels(rows, _mel_stats(spark, sf_dir))
-    return scaled.select("vec_id", F.posexplode("mel").alias("cell", "z")).select(
-        "vec_id", "cell", F.round(F.col("z").cast("double"), 5).alias("z")
+    by_row = F.transform(F.sequence(F.lit(0), F.lit(7)), lambda r: F.slice("mel", r * 8 + 1, 8))
+    return scaled.select("vec_id", F.posexplode(by_row).alias("mel_row", "z")).select(
+        "vec_id", "mel_row", *(F.round(F.col("z")[c].cast("double"), 5).alias(f"z{c}") for c in range(8))
     )
 
 
@@ -454,6 +457,77 @@ def confidence_quantiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rounded(exact_quantiles(rows, "confidence", K.N_QUANTILES), "value")
 
 
+@register(
+    "a9_quantile_sketches",
+    query(
+        Q.PRED,
+        """SELECT CAST(q AS INTEGER) AS q_index, n, n_days, TRUE AS within FROM
+             (SELECT unnest(range(101)) AS q),
+             (SELECT count(*) AS n, count(DISTINCT CAST(ts AS DATE)) AS n_days FROM pred_ok)""",
+    ),
+)
+def quantile_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Confidence quantiles merged from one stored sketch a day; each is checked against the exact ranks of all rows."""
+    rows = V.pred_ok(spark, sf_dir).select("confidence", F.to_date("ts").alias("day"))
+    path = scratch_path(spark, "day_sketches")
+    sketches.quantile_sketches(rows, "confidence", "day").write.parquet(path)
+    stored = spark.read.parquet(path)
+    merged = sketches.merged_quantiles(stored, K.N_QUANTILES - 1)
+    days = stored.agg(F.count(F.lit(1)).alias("n_days"))
+    rank, bound = F.col("q_index") / (K.N_QUANTILES - 1), sketches.KLL_RANK_ERROR
+    return (
+        sketches.rank_errors(rows, "confidence", merged)
+        .crossJoin(F.broadcast(merged.select("n")))
+        .crossJoin(F.broadcast(days))
+        .select(
+            F.col("q_index").cast("int").alias("q_index"),
+            "n",
+            "n_days",
+            ((F.col("low") <= rank + bound) & (F.col("high") >= rank - bound)).alias("within"),
+        )
+    )
+
+
+@register(
+    "a14_distinct_sketches",
+    query(
+        Q.FEAT_META,
+        """SELECT a.fold, count(DISTINCT a.class) AS num_classes,
+             count(DISTINCT CASE WHEN b.class IS NOT NULL THEN a.class END) AS shared_with_next,
+             count(DISTINCT a.vec_id) AS num_vectors, TRUE AS within
+           FROM feat_meta a LEFT JOIN (SELECT DISTINCT fold, class FROM feat_meta) b
+             ON b.fold = a.fold + 1 AND b.class = a.class
+           GROUP BY a.fold""",
+    ),
+)
+def distinct_sketches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Per fold: classes, classes shared with the next fold, and whether the sketched number of vectors is within its bound."""
+    rows = V.feat_meta(spark, sf_dir)
+    classes = sketches.distinct_sketches(rows, "class", "fold")
+    pairs = classes.select("fold", "theta").unionByName(classes.select((F.col("fold") - 1).alias("fold"), "theta"))
+    counted = pairs.groupBy("fold").agg(F.count(F.lit(1)).alias("n"))
+    shared = sketches.overlap(pairs, "fold").join(counted, "fold").select(
+        "fold", F.when(F.col("n") == 2, F.col("n_shared")).otherwise(0).cast("long").alias("shared_with_next")
+    )
+    vectors = sketches.merged_distinct(sketches.distinct_sketches(rows, "vec_id", "fold", "class"), "fold")
+    exact = rows.groupBy("fold").agg(F.countDistinct("vec_id").alias("num_vectors"))
+    number = F.theta_sketch_estimate("theta").alias("num_classes")
+    error = F.abs(F.col("n_distinct") - F.col("num_vectors"))
+    return (
+        classes.select("fold", number)
+        .join(shared, "fold")
+        .join(vectors, "fold")
+        .join(exact, "fold")
+        .select(
+            "fold",
+            "num_classes",
+            "shared_with_next",
+            "num_vectors",
+            (error <= F.lit(sketches.HLL_ERROR) * F.col("num_vectors") + 1).alias("within"),
+        )
+    )
+
+
 # --- metrics -------------------------------------------------------------------------
 
 _CLASS_METRICS = """
