@@ -12,7 +12,7 @@ from pyspark.sql.window import WindowSpec
 
 from clipward import constants as K
 from clipward.functions import distribution as D
-from clipward.operators.drift import Reference
+from clipward.operators.drift import Reference, knows_confidence
 from clipward.operators.ordering import number_rows, overlapping_blocks
 
 _BLOCK_ROWS = 8192
@@ -64,7 +64,7 @@ def window_scores(
     live = np.hstack([counts / known, np.zeros((len(counts), len(extra)))])
     e, a = np.maximum(prior, K.PSI_FLOOR), np.maximum(live, K.PSI_FLOOR)
     psi = ((a - e) * np.log(a / e)).sum(axis=1)
-    if not reference.has_confidence:
+    if not knows_confidence(reference):
         return psi, np.full(len(psi), np.nan)
     points, cdf = D.reference_points(reference.confidence_quantiles)
     edges = np.asarray(points)
@@ -117,7 +117,7 @@ def rolling_monitor(
         result = ends[names].assign(
             psi_class=psi, ks_confidence=pd.array(ks, dtype="Float64"), n_observations=rows
         )
-        if not reference.has_confidence:
+        if not knows_confidence(reference):
             result["ks_confidence"] = None
         return result[~ends["is_context"].to_numpy()]
 

@@ -54,7 +54,7 @@ def prediction_reference(spark: SparkSession, sf_dir: str) -> drift.Reference:
     early, _ = V.reference_and_live(V.pred_ok(spark, sf_dir))
     base = drift.reference_from_labels(early, V.PRED_CLASSES, label="label", source="log")
     quantiles = drift.confidence_quantiles(early)
-    return base.with_confidence(quantiles, int(base.meta["n_rows"]))
+    return drift.extended(base, quantiles=quantiles, n_confidences=int(base.meta["n_rows"]))
 
 
 @register(

@@ -50,7 +50,7 @@ def _shares(counts: Column, names: Column) -> Column:
         names, lambda k: F.coalesce(F.try_element_at(counts, k), F.lit(0)).cast("double")
     )
     total = F.aggregate(listed, F.lit(0.0), lambda acc, v: acc + v)
-    empty = F.raise_error(F.lit("class counts must sum to a positive value"))
+    empty = F.raise_error(F.lit("no row belongs to a class of the reference"))
     values = F.transform(listed, lambda v: F.when(total > 0, v / total).otherwise(empty.cast("double")))
     return F.map_from_arrays(names, values)
 
@@ -138,7 +138,7 @@ def build_reference(
         kept = confidences.where(F.col(column).isNotNull())
         quantiles = drift.confidence_quantiles(kept, column)
         if quantiles:
-            reference = reference.with_confidence(quantiles, kept.count())
+            reference = drift.extended(reference, quantiles=quantiles, n_confidences=kept.count())
     if features is not None:
         if frame is None:
             raise FileNotFoundError("feature histograms need a stored feature table")
@@ -146,5 +146,5 @@ def build_reference(
         if not usable:
             raise ValueError("the feature table has none of the requested columns")
         table = drift.feature_histograms(frame, usable, bins)
-        reference = reference.with_features(drift.collect_histograms(table))
+        reference = drift.extended(reference, histograms=drift.collect_histograms(table))
     return reference

@@ -90,7 +90,7 @@ def test_monitor_scores_each_window_like_a_batch(spark):
     rng = np.random.default_rng(3)
     labels = rng.choice(K.CLASS_NAMES, 60)
     confidence = rng.random(60).round(2)
-    reference = drift.published_reference().with_confidence([0.1, 0.5, 0.5, 0.9], 4)
+    reference = drift.extended(drift.published_reference(), quantiles=[0.1, 0.5, 0.5, 0.9], n_confidences=4)
     got = rolling_monitor(_log(spark, labels.tolist(), confidence), reference, order=["id"], rows=20)
     for row in got.where("id % 13 = 0").collect():
         part = slice(row["id"] - 19, row["id"] + 1)
@@ -200,7 +200,7 @@ def test_build_reference_from_a_feature_table(spark, tmp_path):
     ]
     reference = reference_store.build_reference(chain, features=["mfcc_0_mean", "mfcc_1_mean"], bins=4)
     assert reference.class_counts["dog_bark"] == 1 and reference.class_counts["siren"] == 1
-    assert list(reference.feature_histograms) == ["mfcc_0_mean"] and not reference.has_confidence
+    assert list(reference.feature_histograms) == ["mfcc_0_mean"] and not drift.knows_confidence(reference)
     store = str(tmp_path / "reference")
     reference_store.dump_reference(drift.reference_row(spark, reference), store)
     assert reference_store.load_reference(reference_store.read_reference(spark, store)) == reference

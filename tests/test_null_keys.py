@@ -17,7 +17,7 @@ from clipward.sources import prediction_log, reference_store
 from clipward.streaming import jobs
 
 PLAIN = Reference({"a": 3, "b": 1}, {"a": 0.6, "b": 0.3, "z": 0.1}, ("a", "b"))
-FULL = PLAIN.with_confidence([0.0, 0.25, 0.5, 0.75, 1.0], 5)
+FULL = drift.extended(PLAIN, quantiles=[0.0, 0.25, 0.5, 0.75, 1.0], n_confidences=5)
 
 
 def log(spark, n=300, days=3):
