@@ -11,7 +11,7 @@ from clipward.operators import drift, evaluation, labels, modeling, splits
 from clipward.operators import search as sampler
 from clipward.operators.monitor import rolling_monitor
 from clipward.plans import training_queries as TQ
-from clipward.streaming import jobs
+from clipward.streaming import jobs, keyed
 
 
 @pytest.fixture(scope="module")
@@ -130,10 +130,15 @@ def _log(spark, n, seed=0):
     return spark.createDataFrame(frame).withColumn("ts", F.col("ts").cast("timestamp"))
 
 
+def _reference(quantiles):
+    base = drift.reference_from_counts({"a": 1, "b": 1}, ["a", "b"])
+    return drift.extended(base, quantiles=quantiles, n_confidences=len(quantiles))
+
+
 def test_monitor_stream_survives_a_restart(spark, tmp_path):
     """Three arrivals in separate runs over one checkpoint equal one batch run."""
     log = _log(spark, 300)
-    reference = drift.reference_from_counts({"a": 1, "b": 1}, ["a", "b"]).with_confidence([0.2, 0.5, 0.8], 3)
+    reference = _reference([0.2, 0.5, 0.8])
     place = {k: str(tmp_path / k) for k in ("arrivals", "output", "state", "checkpoint")}
     for start in range(0, 300, 100):
         part = log.where(F.col("event_id").between(start, start + 99))
@@ -147,6 +152,28 @@ def test_monitor_stream_survives_a_restart(spark, tmp_path):
     assert read(spark.read.parquet(place["output"])) == read(rolling_monitor(log, reference, rows=30))
 
 
+def test_event_time_monitor_ignores_the_order_of_arrival(spark, tmp_path):
+    """Rows up to 50 minutes late, one run each over one checkpoint, equal the monitor over the ordered log."""
+    log = _log(spark, 300).withColumn("label", F.when(F.col("event_id") % 41 != 7, F.col("label")))
+    reference = _reference([0.2, 0.5, 0.8])
+    place = {k: str(tmp_path / k) for k in ("arrivals", "output", "checkpoint")}
+    turn = ((F.col("event_id") + F.pmod(F.hash("event_id"), F.lit(50))) / 70).cast("int")
+    beat = log.where("event_id = 299").selectExpr(
+        "'clock' AS model_name", "ts + INTERVAL 1 DAY AS ts", "-1L AS event_id", "CAST(NULL AS STRING) AS label", "0D AS confidence"
+    )
+    parts = [log.where(turn == t) for t in range(5)] + [beat]
+    for part in parts:
+        part.coalesce(1).write.mode("append").parquet(place["arrivals"])
+        arriving = spark.readStream.schema(log.schema).parquet(place["arrivals"])
+        shown = keyed.event_time_monitor(arriving, reference, delay="1 hour", rows=30)
+        jobs.run_to_end(lambda s=shown: jobs.append_stream(s, place["output"], place["checkpoint"]))
+    read = lambda df: sorted(
+        (r["event_id"], r["ts"], round(r["psi_class"], 9), round(r["ks_confidence"], 9)) for r in df.collect()
+    )
+    want = read(rolling_monitor(log.where("label IS NOT NULL"), reference, rows=30))
+    assert read(spark.read.parquet(place["output"])) == want and len(want) > 200
+
+
 def test_last_rows(spark):
     got = jobs.last_rows(_log(spark, 200), "model_name", ["ts", "event_id"], 7).toPandas()
     want = _log(spark, 200).toPandas().sort_values("event_id").groupby("model_name").tail(7)
@@ -154,8 +181,7 @@ def test_last_rows(spark):
 
 
 def test_windowed_counts_batch(spark):
-    reference = drift.reference_from_counts({"a": 1, "b": 1}, ["a", "b"]).with_confidence([0.5], 1)
-    reference = reference.with_confidence([0.4, 0.6], 2)
+    reference = _reference([0.4, 0.6])
     log = _log(spark, 200)
     table = jobs.score_windows(jobs.windowed_counts(log, reference, window="1 hour"), reference)
     direct = drift.score_predictions(log.withColumn("h", F.date_trunc("hour", "ts")), reference, ["h"])
