@@ -14,6 +14,8 @@ from pyspark import StorageLevel
 from pyspark.errors import AnalysisException
 from pyspark.ml import Estimator, Model
 from pyspark.ml.classification import (
+    LogisticRegression,
+    LogisticRegressionModel,
     MultilayerPerceptronClassificationModel,
     MultilayerPerceptronClassifier,
     RandomForestClassificationModel,
@@ -37,6 +39,7 @@ _LOADERS = {
     "boosted_depth": Boosted,
     "boosted_leaf": Boosted,
     "network": MultilayerPerceptronClassificationModel,
+    "filters": LogisticRegressionModel,
 }
 
 def suggest(
@@ -80,6 +83,15 @@ def build_estimator(
             maxIter=int(params.get("epochs", 30)),
             seed=seed,
         )
+    if model_name == "filters":
+        return LogisticRegression(
+            **columns,
+            weightCol="weight",
+            family="multinomial",
+            standardization=False,
+            maxIter=int(params.get("epochs", 50)),
+            regParam=float(params.get("l2", 1e-3)),
+        )
     raise ValueError(f"unknown model '{model_name}'")
 
 

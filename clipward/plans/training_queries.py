@@ -7,11 +7,10 @@ from pyspark.sql import functions as F
 
 from clipward import constants as K
 from clipward import schemas as S
-from clipward.operators import evaluation, gaussian, labels, modeling, scaling, splits
+from clipward.operators import evaluation, gaussian, labels, matrices, modeling, scaling, splits
 from clipward.plans import clip_queries
 from clipward.plans import sql_views as Q
 from clipward.plans import views as V
-from clipward.plans.clip_fixture import CLIPS_SQL, raw_clips
 from clipward.plans.drift_queries import (
     _POINTS,
     _PSI,
@@ -24,7 +23,8 @@ from clipward.plans.model_queries import _ALL, _metrics_sql
 from clipward.plans.registry import r6, register, rounded
 from clipward.plans.sql_views import query
 from clipward.session import scratch_path, stable
-from clipward.streaming import jobs
+from clipward.sources import prediction_log
+from clipward.streaming import jobs, keyed, log_routes, vector_scoring
 
 _SMALL = {"trees": 10, "depth": 5, "feature_subset": "sqrt"}
 _BOOST = {"trees": 4, "depth": 4, "rate": 0.3, "row_share": 0.9, "column_share": 0.8, "l2": 1.0, "bins": 16}
@@ -90,10 +90,42 @@ def boosted_trees_leaf(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("m4_matrix_network")
 def matrix_network(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """A small network on pooled mel matrices; balance comes from repeated rows."""
-    rows = modeling.pooled_mel(clip_queries.stored_features(spark, sf_dir))
-    kept = rows.select(*S.META_COLUMNS, "features")
-    return _held_out("network", {"hidden": 32, "epochs": 30}, kept, 64)
+    """Vectors as 8 x 8 matrices: filters, pooling, a weighted softmax head; held-out rows and their metrics."""
+    rows = stable(matrices.filter_features(vectors(spark, sf_dir), "features", 8, 8), "responses")
+    train, held_out = splits.fold_split(rows)
+    n_features = matrices.feature_count(8, 8)
+    fitted = modeling.fit("filters", {"epochs": 50}, train, labels.stored_label_map(train), n_features=n_features)
+    scored = stable(fitted.evaluate(held_out).select("path", "y_true", "proba", "pred", "confidence"), "scored")
+    # One row of metrics over the stored rows.
+    metrics = evaluation.classification_metrics(evaluation.confusion_counts(scored))
+    beside = scored.drop("proba").crossJoin(F.broadcast(metrics.select("accuracy", "f1_macro")))
+    return rounded(beside, "confidence", "accuracy", "f1_macro")
+
+
+_FILTERS_SQL = ", ".join(
+    f"({k}, {j // 3}, {j % 3}, CAST({w} AS DOUBLE))"
+    for k, weights in enumerate(matrices.FILTERS.values())
+    for j, w in enumerate(weights)
+)
+
+
+@register(
+    "m4_matrix_features",
+    query(
+        f"""filters AS (SELECT * FROM (VALUES {_FILTERS_SQL}) AS t(k, dr, dc, w)),
+        cells AS (SELECT vec_id, i // 8 AS r, i % 8 AS c, CAST(embedding[i + 1] AS DOUBLE) AS x
+                  FROM embeddings, (SELECT unnest(range(64)) AS i)),
+        responses AS (
+          SELECT vec_id, k, r - dr AS r, c - dc AS c, greatest(sum(w * x), 0) AS v FROM cells, filters
+          WHERE r - dr BETWEEN 0 AND 5 AND c - dc BETWEEN 0 AND 5 GROUP BY ALL),
+        pools AS (SELECT vec_id, k, r // 2 AS r, c // 2 AS c, max(v) AS v FROM responses GROUP BY ALL)""",
+        f"""SELECT vec_id, CAST(k * 9 + r * 3 + c AS INTEGER) AS i, {Q.r6("v")} AS value FROM pools""",
+    ),
+)
+def matrix_features(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pooled filter responses of every vector."""
+    rows = matrices.filter_features(V.table(spark, sf_dir, "embeddings"), "embedding", 8, 8)
+    return rounded(rows.select("vec_id", F.posexplode("features").alias("i", "value")), "value")
 
 
 @register("m5_fit_and_score", _HELD_OUT)
@@ -335,33 +367,61 @@ def _clip_forest(spark: SparkSession, sf_dir: str) -> modeling.Fitted:
     return modeling.fit("forest", _SMALL, train, labels.stored_label_map(train), n_features=84)
 
 
-def upload_table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Raw clips as upload requests, some with a wrong type."""
-    key = F.regexp_extract("slice_file_name", r"^(\d+)", 1).cast("long")
-    return raw_clips(spark, sf_dir).select(
-        F.when(key % 9 == 4, F.concat(key.cast("string"), F.lit(".txt")))
-        .otherwise(F.col("slice_file_name"))
-        .alias("filename"),
-        F.when(key % 9 == 4, "text/plain").otherwise("audio/wav").alias("content_type"),
-        F.col("class").alias("expected"),
-        F.col("audio.bytes").alias("wav"),
+def vector_uploads(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The vectors as uploads: some are cut short, some hold a value that is no number."""
+    # Ten minutes apart, over twenty days and again from the first.
+    at = F.timestamp_seconds(F.lit(1_704_067_200) + (F.col("vec_id") * 600) % (20 * 86_400))
+    nothing = F.transform("embedding", lambda v: F.when(v < 0, float("nan")).otherwise(v).cast("float"))
+    return V.table(spark, sf_dir, "embeddings").select(
+        F.col("vec_id").alias("upload_id"),
+        at.alias("ts"),
+        F.when(F.col("vec_id") % 9 == 4, F.slice("embedding", 1, 63))
+        .when(F.col("vec_id") % 11 == 3, nothing)
+        .otherwise(F.col("embedding"))
+        .alias("embedding"),
     )
 
 
-_STATUS = """
-status AS (
-  SELECT vec_id, CASE WHEN kind = 0 THEN 'http_400' WHEN vec_id % 9 = 4 THEN 'http_400'
-                      WHEN kind IN (1, 2, 3) THEN 'error' ELSE 'ok' END AS status FROM clips)"""
+def _scorer(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, list[str]]:
+    """The closed-form classifier of folds 1 to 9 and its class names."""
+    train, _ = splits.fold_split(vectors(spark, sf_dir))
+    mapping = labels.stored_label_map(train)
+    name, *setting = _SETTINGS[1]
+    fitted = vector_scoring.fit_scorer(labels.encode_labels(train, mapping), *setting)
+    return fitted, [r["class"] for r in mapping.orderBy("class_id").collect()]
 
 
-@register(
-    "m9_batch_scoring",
-    query(Q.FEAT_META, CLIPS_SQL, _STATUS, "SELECT status, count(*) AS n, status = 'ok' AS has_label FROM status GROUP BY ALL"),
+_SCORER = {"size": V.N_FEATURES, "model_name": _SETTINGS[1][0]}
+
+# Every original scored by the model of folds 1 to 9.
+_SCORED_UPLOADS = (
+    _CLOSED_FORM.replace(
+        "JOIN models g USING (fold, i)",
+        "JOIN (SELECT m, class_id, i, mean, variance FROM models WHERE fold = 10 AND m = 1) g USING (i)",
+    )
+    + """,
+uploads AS (
+  SELECT vec_id AS upload_id, 'audio/' || vec_id AS path,
+         CASE WHEN vec_id % 9 = 4 THEN 'http_400'
+              WHEN vec_id % 11 = 3 AND list_min(embedding) < 0 THEN 'error' ELSE 'ok' END AS status
+  FROM embeddings),
+logged AS (
+  SELECT upload_id, status, CASE WHEN status = 'ok' THEN 'c' || pred END AS label,
+         CASE WHEN status = 'ok' THEN confidence END AS confidence
+  FROM uploads u LEFT JOIN scores s ON s.vec_id = u.path)"""
 )
+_LOG_ROWS = query(
+    Q.FEAT_LONG, _SCORED_UPLOADS,
+    f"""SELECT upload_id, status, label, {Q.r6("confidence")} AS confidence, 'blended' AS model_name FROM logged""",
+)
+
+
+@register("m9_batch_scoring", _LOG_ROWS)
 def batch_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    scored = jobs.score_uploads(upload_table(spark, sf_dir), _clip_forest(spark, sf_dir))
-    has_label = F.col("label").isNotNull() & F.col("confidence").between(0.0, 1.0)
-    return scored.groupBy("status", has_label.alias("has_label")).agg(F.count(F.lit(1)).alias("n"))
+    """Every uploaded vector with its status, class and share."""
+    model, classes = _scorer(spark, sf_dir)
+    scored = vector_scoring.score_vectors(vector_uploads(spark, sf_dir), model, classes, **_SCORER)
+    return rounded(scored.drop("ts", "probabilities"), "confidence")
 
 
 def _stream_of(table: DataFrame, files: int) -> DataFrame:
@@ -372,18 +432,21 @@ def _stream_of(table: DataFrame, files: int) -> DataFrame:
     return spark.readStream.schema(table.schema).option("maxFilesPerTrigger", 2).parquet(path)
 
 
-@register(
-    "m10_streaming_scoring",
-    query(Q.FEAT_META, CLIPS_SQL, _STATUS, "SELECT status, count(*) AS n FROM status GROUP BY status"),
-)
+@register("m10_streaming_scoring", _LOG_ROWS)
 def streaming_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Arriving clips scored into a prediction log."""
-    fitted = _clip_forest(spark, sf_dir)
-    arriving = _stream_of(upload_table(spark, sf_dir), 4)
-    scored = jobs.score_uploads(arriving, fitted)
-    output = scratch_path(spark, "scored")
-    jobs.run_to_end(lambda: jobs.append_stream(scored, output, scratch_path(spark, "cp")))
-    return spark.read.parquet(output).groupBy("status").agg(F.count(F.lit(1)).alias("n"))
+    """Vectors arrive in three restarted runs, every third one sent twice; the log has one row an upload."""
+    model, classes = _scorer(spark, sf_dir)
+    uploads = vector_uploads(spark, sf_dir)
+    again = uploads.where(F.col("upload_id") % 3 == 0).withColumn("ts", F.col("ts") + F.expr("INTERVAL 3 HOURS"))
+    path, output, checkpoint = (scratch_path(spark, n) for n in ("arrivals", "scored", "cp"))
+    for part in _by_days(uploads.unionByName(again), 3):
+        part.write.mode("append").parquet(path)
+        arriving = spark.readStream.schema(uploads.schema).parquet(path)
+        options = {"output": output, "checkpoint": checkpoint, "delay": "1 day", **_SCORER}
+        jobs.run_to_end(
+            lambda s=arriving, o=options: vector_scoring.once_only_log(s, model, classes, **o)
+        )
+    return rounded(spark.read.parquet(output).drop("ts", "probabilities", "turn"), "confidence")
 
 
 @register(
@@ -420,9 +483,9 @@ def winner_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- streams over the prediction log -------------------------------------------------
 
 
-def _by_days(log: DataFrame, parts: int) -> list[DataFrame]:
+def _by_days(log: DataFrame, parts: int, ts: str = "ts") -> list[DataFrame]:
     """The log in consecutive runs of whole days."""
-    day = F.to_date("ts")
+    day = F.to_date(ts)
     days = [r[0] for r in log.select(day.alias("d")).distinct().orderBy("d").collect()]
     width = max(1, -(-len(days) // parts))
     firsts = days[::width]
@@ -464,6 +527,107 @@ def streaming_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    "t5_event_time_monitor",
+    query(
+        Q.PRED, _QUANTILES, _POINTS, _ROLLING, _ROLLING_KS,
+        f"""SELECT model_name, event_id, {Q.r6("psi")} AS psi_class, {Q.r6("ks")} AS ks_confidence,
+             CAST(100 AS BIGINT) AS filled FROM psi JOIN rks USING (event_id)""",
+    ),
+)
+def event_time_monitor(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log arrives up to 20 hours late and out of order, in four restarted runs; equals the batch monitor.
+
+    A heartbeat two days after the last row moves the time past it.
+    """
+    log = V.pred_ok(spark, sf_dir).select(
+        "model_name", F.col("ts").cast("timestamp").alias("ts"), "event_id", "label", "confidence"
+    )
+    late = F.make_interval(mins=F.pmod(F.hash("event_id"), F.lit(1200)))
+    arriving_at = log.withColumn("arrives", F.col("ts") + late)
+    beat = log.agg(
+        F.lit("clock").alias("model_name"),
+        (F.max("ts") + F.expr("INTERVAL 2 DAYS")).alias("ts"),
+        F.lit(-1).cast("long").alias("event_id"),
+        F.lit(None).cast("string").alias("label"),
+        F.lit(0.0).alias("confidence"),
+    )
+    path, output = scratch_path(spark, "arrivals"), scratch_path(spark, "snapshots")
+    checkpoint = scratch_path(spark, "cp")
+    reference = prediction_reference(spark, sf_dir)
+    for part in [*_by_days(arriving_at, 3, "arrives"), beat]:
+        part.select(*log.columns).write.mode("append").parquet(path)
+        arriving = spark.readStream.schema(log.schema).parquet(path)
+        shown = keyed.event_time_monitor(arriving, reference, delay="1 day")
+        jobs.run_to_end(lambda shown=shown: jobs.append_stream(shown, output, checkpoint))
+    rows = spark.read.parquet(output)
+    return rows.select(
+        "model_name",
+        "event_id",
+        r6("psi_class").alias("psi_class"),
+        r6("ks_confidence").alias("ks_confidence"),
+        F.col("n_observations").alias("filled"),
+    )
+
+
+_LOG_LINES = """
+kinds AS (
+  SELECT label, confidence, status,
+         CASE WHEN event_id % 50 = 0 THEN 'malformed' WHEN event_id % 50 = 1 THEN 'not_object'
+              WHEN event_id % 50 = 2 THEN 'blank' WHEN event_id % 50 = 3 THEN 'other_event'
+              WHEN status <> 'ok' THEN 'not_ok' ELSE 'kept' END AS route FROM pred)"""
+
+
+@register(
+    "s3_streaming_log",
+    query(
+        Q.PRED, _LOG_LINES,
+        f"""SELECT route, CASE WHEN route = 'kept' THEN label END AS label, count(*) AS n,
+             {Q.r6("sum(CASE WHEN route = 'kept' THEN confidence END)")} AS confidence_sum
+        FROM kinds GROUP BY ALL""",
+    ),
+)
+def streaming_log(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The log as arriving text, some lines broken; every line by its route, the counts checked against the write's own."""
+    kind = F.col("event_id") % 50
+    line = prediction_log.log_line(
+        ts=prediction_log.iso_time(F.col("ts")),
+        status=F.col("status"),
+        label=F.col("label"),
+        confidence=F.col("confidence"),
+        model_name=F.col("model_name"),
+        latency_s=F.col("latency_s"),
+        filename=F.concat(F.lit("f"), F.col("event_id").cast("string")),
+        event=F.when(kind == 3, "heartbeat").otherwise("prediction"),
+    )
+    broken = (
+        F.when(kind == 0, F.substring(line, 1, 25)).when(kind == 1, "[1, 2]").when(kind == 2, " ").otherwise(line)
+    )
+    path, output, counts = (scratch_path(spark, n) for n in ("lines", "routed", "counts"))
+    prediction_log.write_log(V.pred(spark, sf_dir).repartition(4).select(broken.alias("value")), path)
+    lines = log_routes.read_lines(spark, path, files_per_batch=2)
+    jobs.run_to_end(lambda: log_routes.route_stream(lines, output, counts, scratch_path(spark, "cp")))
+    rows = spark.read.parquet(output).groupBy("route", "label").agg(
+        F.count(F.lit(1)).alias("n"), F.sum("confidence").alias("confidence_sum")
+    )
+    return rounded(rows, "confidence_sum")
+
+
+@register(
+    "v4_observed_counts",
+    query(Q.PRED, _LOG_LINES, "SELECT route, count(*) AS n FROM kinds GROUP BY route UNION ALL SELECT 'no_label', 0"),
+)
+def observed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Counts by route as the writing job itself observed them; no scan of what was written."""
+    log = V.pred(spark, sf_dir)
+    kind = F.col("event_id") % 50
+    text = F.to_json(F.struct("label", "confidence", "status", F.when(kind == 3, "other").alias("event")))
+    broken = F.when(kind == 0, F.substring(text, 1, 8)).when(kind == 1, "7").when(kind == 2, "").otherwise(text)
+    rows = log_routes.routed(log.select(broken.alias("value")))
+    found = log_routes.write_routed(rows, scratch_path(spark, "routed"))
+    return spark.createDataFrame(list(found.items()), "route string, n long")
+
+
 @register(
     "t9_live_scoring_input",
     query(
