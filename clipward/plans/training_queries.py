@@ -24,7 +24,7 @@ from clipward.plans.registry import r6, register, rounded
 from clipward.plans.sql_views import query
 from clipward.session import scratch_path, stable
 from clipward.sources import prediction_log
-from clipward.streaming import jobs, keyed, log_routes, vector_scoring
+from clipward.streaming import jobs, keyed, late_rows, log_routes, vector_scoring
 
 _SMALL = {"trees": 10, "depth": 5, "feature_subset": "sqrt"}
 _BOOST = {"trees": 4, "depth": 4, "rate": 0.3, "row_share": 0.9, "column_share": 0.8, "l2": 1.0, "bins": 16}
@@ -692,3 +692,50 @@ def windowed_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
     table = jobs.score_windows(closed.unionByName(jobs.open_windows(every, closed)), reference)
     shown = table.withColumn("day", F.date_format("window_start", "yyyy-MM-dd"))
     return rounded(shown.drop("window_start", "n_unknown_labels"), "psi_class", "ks_confidence")
+
+
+@register(
+    "t10_late_rows",
+    query(
+        Q.PRED,
+        """arriving AS (
+          SELECT ts, date_trunc('day', ts) AS day,
+                 date_trunc('day', ts + CASE WHEN event_id % 7 = 0 THEN INTERVAL 9 DAYS ELSE INTERVAL 0 DAYS END) AS arrives
+          FROM pred_ok),
+        runs AS (
+          SELECT ts, day, (dense_rank() OVER (ORDER BY arrives) - 1)
+                          // (SELECT CAST(ceil(count(DISTINCT arrives) / 3.0) AS BIGINT) FROM arriving) AS run FROM arriving),
+        marks AS (SELECT run, max(ts) AS newest FROM runs GROUP BY run),
+        limits AS (
+          SELECT a.run, max(b.newest) - INTERVAL 1 DAY AS late_before
+          FROM marks a LEFT JOIN marks b ON b.run < a.run GROUP BY a.run)""",
+        """SELECT strftime(day, '%Y-%m-%d') AS day,
+             count(*) FILTER (WHERE NOT coalesce(day + INTERVAL 1 DAY <= late_before, FALSE)) AS n_counted,
+             count(*) FILTER (WHERE coalesce(day + INTERVAL 1 DAY <= late_before, FALSE)) AS n_late
+        FROM runs JOIN limits USING (run) GROUP BY day""",
+    ),
+)
+def rows_too_late(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Daily windows over three restarted runs; every seventh row comes nine days after its time."""
+    reference = prediction_reference(spark, sf_dir)
+    log = V.pred_ok(spark, sf_dir).select(
+        F.col("ts").cast("timestamp").alias("ts"), "event_id", "label", "confidence"
+    )
+    wait = F.make_interval(days=F.when(F.col("event_id") % 7 == 0, 9).otherwise(0))
+    path = scratch_path(spark, "arrivals")
+    place = {n: scratch_path(spark, n) for n in ("output", "late", "marks", "checkpoint")}
+    for part in _by_days(log.withColumn("arrives", F.col("ts") + wait), 3, "arrives"):
+        part.drop("arrives").write.mode("append").parquet(path)
+        arriving = spark.readStream.schema(log.schema).parquet(path)
+        jobs.run_to_end(
+            lambda s=arriving: late_rows.count_with_late_rows(s, reference, window="1 day", delay="1 day", **place)
+        )
+    counted = late_rows.stored_counts(spark, place["output"]).where("kind = 'labels'").select(
+        "window_start", "n", F.lit(0).cast("long").alias("m")
+    )
+    missed = spark.read.parquet(place["late"]).select(
+        "window_start", F.lit(0).cast("long").alias("n"), F.lit(1).cast("long").alias("m")
+    )
+    return counted.unionByName(missed).groupBy(F.date_format("window_start", "yyyy-MM-dd").alias("day")).agg(
+        F.sum("n").alias("n_counted"), F.sum("m").alias("n_late")
+    )

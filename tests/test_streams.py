@@ -6,9 +6,9 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from clipward.operators import matrices
+from clipward.operators import drift, matrices
 from clipward.sources import prediction_log
-from clipward.streaming import jobs, log_routes, vector_scoring
+from clipward.streaming import jobs, late_rows, log_routes, vector_scoring
 
 LINES = {
     '{"label": "a", "confidence": 0.5}': "kept",
@@ -144,3 +144,31 @@ def test_wrong_matrix_length(spark):
     df = spark.createDataFrame([([1.0],)], "m array<double>")
     with pytest.raises(Exception, match="64 values was expected, not 1"):
         matrices.filter_features(df, "m", 8, 8).collect()
+
+
+def test_windows_and_late_rows_are_all_rows(spark, tmp_path):
+    base = drift.reference_from_counts({"a": 1, "b": 1}, ["a", "b"])
+    reference = drift.extended(base, quantiles=[0.2, 0.8], n_confidences=2)
+    place = {k: str(tmp_path / k) for k in ("output", "late", "marks", "checkpoint")}
+    # Minutes of each run; the window is ten minutes, the delay fifteen.
+    runs = [[0, 5, 41], [26, 19, 20, 31, None], [100, 29], [84, 79, 80]]
+    # 41 - 15 = 26, so the window up to 20 is closed; 29 ends at 30 and counts; 100 - 15 = 85 closes the one up to 80.
+    late = [set(), {19, None}, set(), {79}]
+    for i, minutes in enumerate(runs):
+        rows = [(m, "ab"[j % 2], 0.5) for j, m in enumerate(minutes)] + [(1, None, 0.5)]
+        part = spark.createDataFrame(rows, "minute int, label string, confidence double").withColumn(
+            "ts", F.timestamp_seconds(F.lit(1704067200) + F.col("minute") * 60)
+        )
+        part.coalesce(1).write.mode("append").parquet(str(tmp_path / "arrivals"))
+        arriving = spark.readStream.schema(part.schema).parquet(str(tmp_path / "arrivals"))
+        jobs.run_to_end(
+            lambda s=arriving: late_rows.count_with_late_rows(
+                s, reference, window="10 minutes", delay="15 minutes", **place
+            )
+        )
+        got = spark.read.parquet(f"{place['late']}/turn={i}").collect()
+        assert {r["minute"] for r in got} == late[i]
+    counts = late_rows.stored_counts(spark, place["output"])
+    total = counts.where("kind = 'labels'").agg(F.sum("n")).first()[0]
+    assert total + spark.read.parquet(place["late"]).count() == sum(len(m) for m in runs)
+    assert late_rows.stored_counts(spark, place["output"]).where("kind = 'cells'").agg(F.sum("n")).first()[0] == total
