@@ -137,6 +137,9 @@ def feature_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counted[0].unionByName(counted[1])
 
 
+_SMALL_PART = 50_000  # rows
+
+
 @register(
     "s9_compaction",
     query(
@@ -145,9 +148,10 @@ def feature_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     ),
 )
 def compaction(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Many small parts rewritten as a few files."""
+    """Many small parts rewritten as a few files; parts stay small, so a larger table has more of them."""
     many, few = scratch_path(spark, "many"), scratch_path(spark, "few")
-    V.table(spark, sf_dir, "lineitem").repartition(40).write.parquet(many)
+    parts = V.table(spark, sf_dir, "lineitem").repartition(40)
+    parts.write.option("maxRecordsPerFile", _SMALL_PART).parquet(many)
     tables.compact(spark.read.parquet(many), few)
     before = spark.read.parquet(many).select(F.input_file_name().alias("f")).distinct()
     after = spark.read.parquet(few).withColumn("f", F.input_file_name())

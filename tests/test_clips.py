@@ -180,6 +180,21 @@ def test_feature_stage(spark, raw, tmp_path):
     assert a.select(*S.feature_names()).dropna().count() == 7
 
 
+def test_compaction_fills_its_files(spark, tmp_path):
+    """Partitions cut by bytes hold a little more than a file may, and each left a small second file."""
+    many, few = str(tmp_path / "many"), str(tmp_path / "few")
+    spark.range(40_000).select("id", F.sha2(F.col("id").cast("string"), 256).alias("x")).repartition(40).write.parquet(many)
+    key = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "110k")
+    try:
+        tables.compact(spark.read.parquet(many), few, max_records_per_file=1_100)
+    finally:
+        spark.conf.set(key, before)
+    sizes = [r["count"] for r in spark.read.parquet(few).groupBy(F.input_file_name()).count().collect()]
+    assert sum(sizes) == 40_000 and len(sizes) < 40 and 1_000 < min(sizes) and max(sizes) <= 1_100
+
+
 def test_results_do_not_depend_on_partitioning(raw):
     digest = lambda n: fingerprints.content_fingerprint(
         clip_jobs.clean_and_augment(raw.repartition(n)).drop("reject_reason")
