@@ -19,19 +19,26 @@ from clipward import schemas as S
 from clipward.functions import columns as C
 from clipward.functions import series, signal
 from clipward.functions.frames import object_frame
+from clipward.session import bounded_batches
 
-# Rows handed back at once: 64 matrices of 128 x 126 floats are 4 MiB.
-_CHUNK = 64
+# Rows handed back at once: 16 matrices of 128 x 126 floats are 1 MiB.
+_CHUNK = 16
 
 INTERIM_RESULT = T.StructType(
     [*S.INTERIM_CLIP.fields, T.StructField("reject_reason", T.StringType())]
 )
 
 
-def feature_result(kept: Sequence[T.StructField], n_mfcc: int = K.N_MFCC) -> T.StructType:
+def feature_result(
+    kept: Sequence[T.StructField],
+    n_mfcc: int = K.N_MFCC,
+    tabular: Sequence[str] | None = None,
+    matrix: bool = True,
+) -> T.StructType:
     """The kept columns, the features and a reject reason; rejected rows have no features."""
-    doubles = [T.StructField(n, T.DoubleType()) for n in S.feature_names(n_mfcc)]
-    mel = [T.StructField(f.name, f.dataType) for f in S.MEL_FIELDS]
+    names = S.feature_names(n_mfcc) if tabular is None else tabular
+    doubles = [T.StructField(n, T.DoubleType()) for n in names]
+    mel = [T.StructField(f.name, f.dataType) for f in S.MEL_FIELDS] if matrix else []
     return T.StructType([*kept, *doubles, *mel, T.StructField("reject_reason", T.StringType())])
 
 
@@ -129,6 +136,7 @@ def clean_and_augment(
             out = [row for record in chunk.to_dict("records") for row in rows(record)]
             yield object_frame(out, names)
 
+    bounded_batches(raw.sparkSession)
     return prepared.mapInPandas(run, INTERIM_RESULT)
 
 
@@ -140,16 +148,20 @@ def extract_features(
     n_mfcc: int = K.N_MFCC,
     peak_normalize: bool = False,
     keep: Sequence[str] = S.META_COLUMNS,
+    tabular: Sequence[str] | None = None,
+    matrix: bool = True,
 ) -> DataFrame:
     """Tabular features and log-mel matrix of every clip, from one decode.
 
     Rows that fail carry a ``reject_reason`` and no features, so both feature tables made
     from the result have the same paths. ``clips`` needs ``wav`` and the columns to keep.
-    ``peak_normalize`` cleans raw uploads in the same way as training clips.
+    ``peak_normalize`` cleans raw uploads in the same way as training clips. ``tabular`` names the
+    features to compute (all by default) and ``matrix`` says whether the log-mel matrix is one of them;
+    what is not asked for is neither computed nor sent.
     """
-    schema = feature_result([clips.schema[c] for c in keep], n_mfcc)
+    schema = feature_result([clips.schema[c] for c in keep], n_mfcc, tabular, matrix)
     names = schema.fieldNames()
-    tabular = S.feature_names(n_mfcc)
+    tabular = list(S.feature_names(n_mfcc) if tabular is None else tabular)
     size = int(rate * seconds)
 
     def row(record: dict) -> dict:
@@ -160,22 +172,22 @@ def extract_features(
             if peak_normalize:
                 y = signal.normalize_peak(y)
             y = signal.fit_length(y, size)
-            mel = signal.log_mel(y, rate)
-            values = signal.tabular_features(y, rate, n_mfcc)
+            found = dict(meta)
+            if matrix:
+                mel = signal.log_mel(y, rate)
+                found |= {"mel": mel.ravel(), "mel_height": mel.shape[0], "mel_width": mel.shape[1]}
+            if tabular:
+                values = signal.tabular_features(y, rate, n_mfcc, tabular)
+                found |= dict(zip(tabular, values, strict=True))
         except signal.RejectedClip as problem:
             return {**meta, "reject_reason": str(problem)}
-        return {
-            **meta,
-            **dict(zip(tabular, values, strict=True)),
-            "mel": mel.ravel(),
-            "mel_height": mel.shape[0],
-            "mel_width": mel.shape[1],
-        }
+        return found
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for chunk in _chunks(batches):
             yield object_frame([row(r) for r in chunk.to_dict("records")], names)
 
+    bounded_batches(clips.sparkSession)
     return clips.select(*keep, "wav").mapInPandas(run, schema)
 
 
@@ -237,4 +249,5 @@ def decode_report(clips: DataFrame, keep: Sequence[str] = ()) -> DataFrame:
             yield object_frame([row(r) for r in chunk.to_dict("records")], schema.fieldNames())
 
     source = clips.select("slice_file_name", *keep, F.col("audio.bytes").alias("__bytes"))
+    bounded_batches(clips.sparkSession)
     return source.mapInPandas(run, schema)

@@ -17,6 +17,7 @@ from pyspark.sql import types as T
 from clipward.functions import columns as C
 from clipward.functions import signal
 from clipward.plans import views as V
+from clipward.session import bounded_batches
 
 
 def _wav(key: int, label: int, seed: int) -> bytes:
@@ -42,13 +43,15 @@ def raw_clips(spark: SparkSession, sf_dir: str) -> DataFrame:
     keys = V.clip_rows(spark, sf_dir).withColumn(
         "seed", C.clip_seed(7, F.col("vec_id").cast("string"), F.lit(0))
     )
-    # Rendering is heavy and the key table is small on disk, so spread the keys by hash.
-    spread = keys.repartition(spark.sparkContext.defaultParallelism, "vec_id")
+    # Rendering is heavy and the key table is small on disk, so spread the keys by hash; several
+    # tasks a core even out, and what a task holds is bounded by the batches, not by its rows.
+    spread = keys.repartition(4 * spark.sparkContext.defaultParallelism, "vec_id")
+    bounded_batches(spark)
 
     def render(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
-            for start in range(0, len(batch), 64):
-                part = batch.iloc[start : start + 64]
+            for start in range(0, len(batch), 16):
+                part = batch.iloc[start : start + 16]
                 rows = zip(part["vec_id"], part["classID"], part["seed"], strict=True)
                 yield part.assign(bytes=[_wav(int(k), int(c), int(s)) for k, c, s in rows])
 

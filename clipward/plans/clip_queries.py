@@ -42,10 +42,11 @@ def stored_features(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(path)
 
 
-def originals(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Features of cleaned originals, without copies."""
+def originals(spark: SparkSession, sf_dir: str, **kinds) -> DataFrame:
+    """Features of cleaned originals, without copies; ``kinds`` says which."""
     rows = quality.good_rows(interim(spark, sf_dir, copies=0))
-    return clip_jobs.extract_features(rows.withColumn("aug_index", F.col("aug_index").cast("long")))
+    rows = rows.withColumn("aug_index", F.col("aug_index").cast("long"))
+    return clip_jobs.extract_features(rows, **kinds)
 
 
 def _key() -> Column:
@@ -311,13 +312,15 @@ def pad_or_truncate(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("c7_mfcc")
 def mfcc(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = [n for n in S.feature_names() if n.startswith("mfcc_") and "delta" not in n]
-    return quality.good_rows(originals(spark, sf_dir)).select("path", *names)
+    rows = originals(spark, sf_dir, tabular=names, matrix=False)
+    return quality.good_rows(rows).select("path", *names)
 
 
 @register("c9_chroma")
 def chroma(spark: SparkSession, sf_dir: str) -> DataFrame:
     names = [n for n in S.feature_names() if n.startswith("chroma_")]
-    return quality.good_rows(originals(spark, sf_dir)).select("path", *names)
+    rows = originals(spark, sf_dir, tabular=names, matrix=False)
+    return quality.good_rows(rows).select("path", *names)
 
 
 _SLOPES = """
@@ -449,7 +452,7 @@ def row_summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 )
 def log_mel(spark: SparkSession, sf_dir: str) -> DataFrame:
     low = F.array_min("mel").cast("double")
-    return quality.good_rows(originals(spark, sf_dir)).select(
+    return quality.good_rows(originals(spark, sf_dir, tabular=())).select(
         "path",
         "mel_height",
         "mel_width",

@@ -103,6 +103,39 @@ def test_tone_features():
     assert got["zcr_mean"] == pytest.approx(2 * 440 / 16000, rel=0.02)
 
 
+def test_only_the_wanted_features_are_computed(monkeypatch):
+    y = signal.fit_length(sine(16000, 1.0), 64000)
+    every = dict(zip(S.feature_names(), signal.tabular_features(y, 16000), strict=True))
+    wanted = ["zcr_std", "chroma_9_mean", "chroma_9_std"]
+    monkeypatch.setattr(signal, "decibels", None)  # only the cepstrum needs it
+    assert signal.tabular_features(y, 16000, wanted=wanted) == [every[n] for n in wanted]
+
+
+@pytest.mark.parametrize("seconds", [0.0, 0.01, 1.0, 4.0])
+def test_silent_frames_are_zero_without_a_transform(seconds):
+    y = signal.fit_length(sine(16000, seconds), 64000)
+    sounding, total = signal.power_spectrum(y, 2048, 512)
+    whole = np.abs(signal.spectrum(y, 2048, 512))
+    assert total == whole.shape[1] and (whole[:, sounding.shape[1] :] == 0).all()
+    assert np.array_equal(whole[:, : sounding.shape[1]], sounding)
+    assert seconds == 4.0 or sounding.shape[1] < total
+
+
+def test_clip_steps_bound_their_batches(spark, raw):
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for step in (clip_jobs.clean_and_augment, clip_jobs.decode_report):
+            spark.conf.set(key, str(64 << 20))
+            step(raw)
+            assert int(spark.conf.get(key)) <= 8 << 20
+        spark.conf.set(key, "1000")
+        clip_jobs.decode_report(raw)
+        assert spark.conf.get(key) == "1000"  # a smaller setting stays
+    finally:
+        spark.conf.set(key, before)
+
+
 def test_mfcc_against_direct_sums():
     """Spectrum, mel triangles, decibels and cosine transform written out as plain loops."""
     rng = np.random.default_rng(0)
