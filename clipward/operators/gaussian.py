@@ -123,7 +123,8 @@ def cross_validate(
     """
     clean = usable(rows, column)
     models = rotation_models(stable(statistics(clean, column), "statistics"), settings)
-    tested = clean.where(splits.original(clean)).join(models, F.col("fold") == F.col("test_fold"))
+    # Settings x folds rows; a shuffle by fold would leave a task for each fold only.
+    tested = clean.where(splits.original(clean)).join(F.broadcast(models), F.col("fold") == F.col("test_fold"))
     scored = with_shares(tested, column, n_classes)
     return top_class(scored.select("setting", *keep, "fold", F.col("class_id").alias("y_true"), "proba"))
 
@@ -154,7 +155,8 @@ def search(
         drawn = {n: propose(space, known, n, seed) for n in range(first, min(first + batch, n_trials))}
         settings = {str(n): (p["shrink"], p["smoothing"]) for n, p in drawn.items()}
         models = rotation_models(stats, settings).where(F.col("test_fold") == validation_fold)
-        tested = held_out.join(models, F.col("fold") == F.col("test_fold"))
+        # One row per trial of the batch; all held-out rows share their fold, so a shuffle by it is one task.
+        tested = held_out.join(F.broadcast(models), F.col("fold") == F.col("test_fold"))
         scored = top_class(with_shares(tested, column, n_classes)).withColumn("y_true", F.col("class_id"))
         metrics = classification_metrics(confusion_counts(scored, group=["setting"]), ["setting"])
         values = {r["setting"]: r["f1_macro"] for r in metrics.collect()}  # one row per trial

@@ -22,7 +22,7 @@ from clipward.plans.drift_queries import (
 from clipward.plans.model_queries import _ALL, _metrics_sql
 from clipward.plans.registry import r6, register, rounded
 from clipward.plans.sql_views import query
-from clipward.session import scratch_path, stable
+from clipward.session import scratch_path, spread, stable
 from clipward.sources import prediction_log
 from clipward.streaming import jobs, keyed, late_rows, log_routes, vector_scoring
 
@@ -158,7 +158,7 @@ def search(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _closed_form_trials(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = stable(vectors(spark, sf_dir), "vectors")
+    rows = stable(spread(vectors(spark, sf_dir)), "vectors")
     return gaussian.search(labels.encode_labels(rows, labels.stored_label_map(rows)), 10)
 
 
@@ -208,7 +208,7 @@ _SETTINGS = (("shared", 1.0, 1e-3), ("blended", 0.5, 1e-3), ("own", 0.0, 1e-3),
 
 def _closed_form_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Scored originals of every fold under each setting; stored, as metrics and predictions both read them."""
-    rows = stable(vectors(spark, sf_dir), "vectors")
+    rows = stable(spread(vectors(spark, sf_dir)), "vectors")
     encoded = labels.encode_labels(rows, labels.stored_label_map(rows))
     scored = gaussian.cross_validate(encoded, 10, {name: s for name, *s in _SETTINGS})
     listed = F.array(*[F.lit(name) for name, *_ in _SETTINGS])

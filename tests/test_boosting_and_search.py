@@ -220,6 +220,20 @@ def test_one_scan_equals_ten_separate_fits(spark):
     assert gaussian.cross_validate(table.limit(0), 4, {"x": (0.3, 0.01)}).count() == 0
 
 
+def test_models_of_the_rotation_are_broadcast(spark, capsys):
+    """A shuffle by fold would give each fold, and a search all of its rows, to one task."""
+    rows = [(f"p{i}", i % 10 + 1, i % 3, False, [float(i % 7), float(i % 5)]) for i in range(60)]
+    table = spark.createDataFrame(rows, "path string, fold long, class_id int, is_augmented boolean, features array<float>")
+    key = "spark.sql.autoBroadcastJoinThreshold"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "-1")
+    try:
+        gaussian.cross_validate(table, 3, {"a": (0.5, 1e-3)}).explain()
+    finally:
+        spark.conf.set(key, before)
+    assert "BroadcastHashJoin [fold" in capsys.readouterr().out
+
+
 def test_closed_form_search_follows_from_its_table(spark):
     rng = np.random.default_rng(7)
     rows = [(f"p{i}", i % 10 + 1, i % 3, False, (rng.normal(size=3) + i % 3).tolist()) for i in range(200)]
