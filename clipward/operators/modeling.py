@@ -29,7 +29,7 @@ from clipward import constants as K
 from clipward.operators import boosting, evaluation, labels, scaling, splits
 from clipward.operators import search as sampler
 from clipward.operators.boosting import Boosted, Growth
-from clipward.session import scratch_path, stable
+from clipward.session import scratch_path, spread, stable
 
 BOOSTED_MODELS = ("boosted_depth", "boosted_leaf")
 TABULAR_MODELS = ("forest", *BOOSTED_MODELS)
@@ -179,19 +179,17 @@ def fit(
     seed: int = 42,
 ) -> Fitted:
     """Fit scaler, weights and model on the given rows only."""
-    n_classes = mapping.count()
-    scaler = stable(fit_array_scaler(train, column, n_features), "scaler")
-    rows = training_rows(train, mapping, scaler, column)
     if model_name in BOOSTED_MODELS:
+        n_classes = mapping.count()
+        scaler = stable(fit_array_scaler(train, column, n_features), "scaler")
+        rows = training_rows(train, mapping, scaler, column)
         growth = Growth.of(params, seed)
         grown = boosting.fit(rows, n_features, n_classes, growth, column, "path" if "path" in rows.columns else column)
         return Fitted(model_name, grown, scaler, mapping, n_classes)
-    if model_name in MATRIX_MODELS:
-        rows = balanced(rows)
-    rows = _vectors(rows, column)
+    scaler, n_classes, rows = _prepared(model_name, train, mapping, n_features, column)
     estimator = build_estimator(model_name, params, n_features, n_classes, seed)
     # Tree and network fitting scan the rows many times.
-    kept = rows.select("vector", "class_id", "weight").persist(StorageLevel.MEMORY_AND_DISK)
+    kept = rows.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         model = estimator.fit(kept)
     finally:
@@ -199,6 +197,21 @@ def fit(
     return Fitted(model_name, model, scaler, mapping, n_classes)
 
 
+def _prepared(
+    model_name: str, train: DataFrame, mapping: DataFrame, n_features: int, column: str
+) -> tuple[DataFrame, int, DataFrame]:
+    """(scaler, number of classes, rows to fit): what a fit needs before its parameters matter."""
+    scaler = stable(fit_array_scaler(train, column, n_features), "scaler")
+    rows = training_rows(train, mapping, scaler, column)
+    if model_name in MATRIX_MODELS:
+        rows = balanced(rows)
+    return scaler, mapping.count(), _vectors(rows, column).select("vector", "class_id", "weight")
+
+
+def _dealt(df: DataFrame) -> DataFrame:
+    return spread(df) if "path" in df.columns else df
+
+
 def macro_f1(scored: DataFrame) -> float:
     row = evaluation.classification_metrics(evaluation.confusion_counts(scored)).first()
     return float(row["f1_macro"])
@@ -222,12 +235,23 @@ def search(
     after each batch, and the proposals of the next one are a function of what is stored.
     """
     spark = train.sparkSession
-    kept = [df.persist(StorageLevel.MEMORY_AND_DISK) for df in (train, validation)]
+    kept = [_dealt(df).persist(StorageLevel.MEMORY_AND_DISK) for df in (train, validation)]
     path = scratch_path(spark, "trials")
     spark.createDataFrame([], sampler.TRIALS).write.parquet(path)
+    shared: tuple[DataFrame, int, DataFrame] | None = None
+    if model_name not in BOOSTED_MODELS:
+        # Scaler, weights and vectors are functions of the split alone, so all trials use the same ones.
+        scaler, n_classes, rows = _prepared(model_name, kept[0], mapping, n_features, "features")
+        shared = scaler, n_classes, rows.persist(StorageLevel.MEMORY_AND_DISK)
+        kept.append(rows)
 
     def trial(number: int, params: dict[str, object]) -> tuple[int, str, float, dict[str, str]]:
-        fitted = fit(model_name, params, kept[0], mapping, n_features=n_features, seed=seed)
+        if shared is None:
+            fitted = fit(model_name, params, kept[0], mapping, n_features=n_features, seed=seed)
+        else:
+            scaler, n_classes, rows = shared
+            model = build_estimator(model_name, params, n_features, n_classes, seed).fit(rows)
+            fitted = Fitted(model_name, model, scaler, mapping, n_classes)
         value = macro_f1(fitted.evaluate(kept[1]))
         return number, "COMPLETE", value, {k: str(v) for k, v in params.items()}
 
@@ -280,7 +304,7 @@ def cross_validate(
     if n_folds < 2:
         raise ValueError(f"n_folds must be at least 2, got {n_folds}")
     mapping = labels.stored_label_map(table)
-    table = stable(table, "rotation")  # every fold reads it three times
+    table = stable(_dealt(table), "rotation")  # every fold reads it three times
     folds = list(range(1, n_folds + 1))
 
     def one(k: int) -> DataFrame:

@@ -61,6 +61,31 @@ def test_search_and_cross_validation(separable):
     assert scored.where("path LIKE '%aug%'").count() == 0
 
 
+def test_trials_share_scaler_and_vectors(separable, monkeypatch):
+    """What does not depend on a trial's parameters is made once."""
+    parts = splits.four_way(separable)
+    mapping = labels.stored_label_map(parts["tune_train"])
+    calls, made = [], modeling.fit_array_scaler
+    monkeypatch.setattr(modeling, "fit_array_scaler", lambda *a: calls.append(1) or made(*a))
+    limits = {"trees": 2, "depth": 2}
+    trials = modeling.search("forest", parts["tune_train"], parts["validation"], mapping, n_features=4, n_trials=3, limits=limits)
+    assert trials.where("state = 'COMPLETE'").count() == 3 and len(calls) == 1
+
+
+def test_rotation_is_dealt_over_the_cores(spark, separable, monkeypatch):
+    """A table in one small file is not one task's work; how it was cut does not matter."""
+    seen, store = {}, modeling.stable
+    monkeypatch.setattr(modeling, "stable", lambda df, label="stable": seen.setdefault(label, df) is None or store(df, label))
+    params = {"trees": 2, "depth": 2}
+    scored = [
+        modeling.cross_validate("forest", params, separable.repartition(n), n_features=4, n_folds=2).collect()
+        for n in (1, 5)
+    ]
+    assert seen["rotation"].rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    first, second = ({r["path"]: r for r in rows} for rows in scored)
+    assert first and first == second
+
+
 def test_suggestions_are_reproducible_and_bounded():
     for number in range(20):
         a = modeling.suggest("forest", number, limits={"depth": 6})
