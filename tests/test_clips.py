@@ -132,6 +132,10 @@ def test_clip_steps_bound_their_batches(spark, raw):
         spark.conf.set(key, "1000")
         clip_jobs.decode_report(raw)
         assert spark.conf.get(key) == "1000"  # a smaller setting stays
+        for given, kept in (("64m", str(4 << 20)), ("2mb", "2mb"), ("100k", "100k")):
+            spark.conf.set(key, given)
+            clip_jobs.decode_report(raw)
+            assert spark.conf.get(key) == kept
     finally:
         spark.conf.set(key, before)
 
