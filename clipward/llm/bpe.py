@@ -56,6 +56,17 @@ def encode_text(encoder: tiktoken.Encoding, text: str, limit: int = PIECE_CHARS)
     return (parts[0] if len(parts) == 1 else np.concatenate(parts)).astype(np.int32)
 
 
+def _encoded(encoder: tiktoken.Encoding, batch: pa.RecordBatch, text: str, limit: int) -> list[np.ndarray]:
+    column = batch.column(batch.schema.get_field_index(text))
+    return [encode_text(encoder, value.as_py() or "", limit) for value in column]
+
+
+def _listed(rows: list[np.ndarray]) -> pa.Array:
+    ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
+    flat = np.concatenate([np.empty(0, np.int32), *rows])
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))
+
+
 def encode(
     df: DataFrame,
     ranks_path: str,
@@ -69,13 +80,7 @@ def encode(
     def make(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
         encoder = encoding(ranks_path, pattern)
         for batch in batches:
-            rows = [
-                encode_text(encoder, value.as_py() or "", piece_chars)
-                for value in batch.column(batch.schema.get_field_index(text))
-            ]
-            ends = np.cumsum([0, *map(len, rows)], dtype=np.int32)
-            flat = np.concatenate([np.empty(0, np.int32), *rows])
-            yield [pa.ListArray.from_arrays(pa.array(ends), pa.array(flat))]
+            yield [_listed(_encoded(encoder, batch, text, piece_chars))]
 
     return add_arrow_columns(df, [T.StructField(ids, T.ArrayType(T.IntegerType()))], make)
 
@@ -95,3 +100,28 @@ def decode(
             yield [pa.array(rows, pa.binary())]
 
     return add_arrow_columns(df, [T.StructField(decoded, T.BinaryType())], make)
+
+
+def encode_and_decode(
+    df: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    text: str = "text",
+    ids: str = "ids",
+    decoded: str = "decoded",
+    piece_chars: int = PIECE_CHARS,
+) -> DataFrame:
+    """``df`` with the columns of ``encode`` and ``decode``, both made by one worker of a task.
+
+    Half the workers and encoders of the two after each other, and the ids go to the JVM once.
+    """
+
+    def make(batches: Iterator[pa.RecordBatch]) -> Iterator[list[pa.Array]]:
+        encoder = encoding(ranks_path, pattern)
+        for batch in batches:
+            rows = _encoded(encoder, batch, text, piece_chars)
+            back = pa.array([encoder.decode_bytes(row.tolist()) for row in rows], pa.binary())
+            yield [_listed(rows), back]
+
+    fields = [T.StructField(ids, T.ArrayType(T.IntegerType())), T.StructField(decoded, T.BinaryType())]
+    return add_arrow_columns(df, fields, make)

@@ -471,8 +471,11 @@ def find_copies(
         shared = spark.sparkContext.broadcast(held)
         candidates = stored(_scan(docs, list(ids), text, shared), "candidates")
         scored = _aligned(candidates, list(ids), shared)
+        # Rows given as Arrow need no Python workers of their own.
         names = spark.createDataFrame(
-            list(enumerate(held.ids)), "item int, item_id long"
+            pa.table(
+                {"item": pa.array(range(len(held.ids)), pa.int32()), "item_id": pa.array(held.ids, pa.int64())}
+            )
         )
         enough = F.least(F.lit(MIN_POINTS), F.lit(MATCH) * F.col("points") / (F.col("score") * 2))
         best = (

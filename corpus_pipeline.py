@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipward.llm import bpe, decontaminate, language, weighted_minhash, window_dedup
-from clipward.session import scratch_path
+from clipward.session import bounded_batches, scratch_path
 
 
 def keep_known_languages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,9 +54,9 @@ def drop_test_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 def encode_documents(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token ids, and the text decoded from them."""
     ranks, pattern = public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN
-    encoded = bpe.encode(docs.select("doc_id", "text"), ranks, pattern)
-    decoded = bpe.decode(encoded.drop("text"), ranks, pattern)
-    return decoded.select(
+    bounded_batches(spark)
+    encoded = bpe.encode_and_decode(docs.select("doc_id", "text"), ranks, pattern)
+    return encoded.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",

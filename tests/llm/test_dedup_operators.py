@@ -11,7 +11,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
-from clipward.llm import decontaminate, graphs, hashing, suffix_dedup, units, weighted_minhash, window_dedup
+from clipward.llm import decontaminate, frames, graphs, hashing, suffix_dedup, units, weighted_minhash, window_dedup
 
 WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -288,6 +288,30 @@ def test_components(spark):
     assert graphs.components(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_component_rounds_end_at_stars_and_write_few_files(spark, monkeypatch):
+    """Stars need no round; a round of few links writes no more files than there are cores."""
+    written = []
+
+    def stored(df, label):
+        written.append(frames.stored(df, label))
+        return written[-1]
+
+    monkeypatch.setattr(graphs, "stored", stored)
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        stars = [(i, i - i % 7) for i in range(700)]
+        got = {r.node: r.root for r in graphs.components(spark.createDataFrame(stars, "a long, b long")).collect()}
+        assert got == {i: i - i % 7 for i in range(700)} and len(written) == 1
+        chains = [(i, i + 1) for i in range(700) if i % 7 < 6]
+        got = {r.node: r.root for r in graphs.components(spark.createDataFrame(chains, "a long, b long")).collect()}
+        assert got == {i: i - i % 7 for i in range(700)}
+        assert len(written) > 2 and all(len(df.inputFiles()) <= 8 for df in written[2:])
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "8")
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+
+
 # ---------------------------------------------------------------- decontamination
 
 

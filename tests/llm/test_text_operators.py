@@ -57,6 +57,18 @@ def test_encode_is_plain_merging_and_decodes(spark):
         assert bytes(row.decoded) == (row.text or "").encode()
 
 
+def test_one_worker_encodes_and_decodes(spark, sf_dir):
+    """The pipeline's last stage makes ids and bytes in one pass, with the rows of the two operators."""
+    import corpus_pipeline
+
+    ranks, pattern = RANKS, public_tokenizers.PATTERN
+    docs = documents(spark, TEXTS)
+    two = bpe.decode(bpe.encode(docs, ranks, pattern), ranks, pattern)
+    assert sorted(bpe.encode_and_decode(docs, ranks, pattern).collect()) == sorted(two.collect())
+    plan = corpus_pipeline.encode_documents(spark, docs, sf_dir)._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("MapInArrow") == 1
+
+
 def test_piece_size_does_not_matter(spark):
     draw = random.Random(5)
     long = "".join(draw.choice(["ab ", " c", "\n", "12", "x1", "é", "  ", "don't ", "!!", "\t"]) for _ in range(4000))
