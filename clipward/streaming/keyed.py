@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
@@ -17,9 +18,10 @@ from clipward.streaming.jobs import DEFAULT_DELAY
 
 _BLOCK_ROWS = 8192
 _ROW = ["us", "tie", "label", "confidence"]
-# Rows that wait for the watermark, and the last rows already shown, each as one array per column.
-_KINDS = {"us": "bigint", "tie": "bigint", "label": "string", "confidence": "double"}
-_STATE = ", ".join(f"{part}_{c} array<{kind}>" for part in ("wait", "ring") for c, kind in _KINDS.items())
+# Rows that wait for the watermark, and the last rows already shown, each as one compressed Arrow stream: as arrays
+# of values every row would be boxed and pickled four times over whenever a state is read or written.
+_STATE = "wait binary, ring binary"
+_ARROW = pa.schema([("us", pa.int64()), ("tie", pa.int64()), ("label", pa.string()), ("confidence", pa.float64())])
 
 
 def event_time_monitor(
@@ -77,7 +79,7 @@ def event_time_monitor(
             if len(block) >= rows:
                 yield _snapshots(group[0], block, reference, rows)
             ring = block.iloc[max(0, len(block) - rows + 1) :]
-        state.update(tuple(part[c].tolist() for part in (waiting, ring) for c in _ROW))
+        state.update((_packed(waiting), _packed(ring)))
         if len(waiting):
             state.setTimeoutTimestamp(max(int(waiting["us"].min()) // 1000, passed) + 1)
 
@@ -98,11 +100,18 @@ def event_time_monitor(
     )
 
 
+def _packed(part: pd.DataFrame) -> bytes:
+    sink = pa.BufferOutputStream()
+    options = pa.ipc.IpcWriteOptions(compression="zstd")
+    with pa.ipc.new_stream(sink, _ARROW, options=options) as writer:
+        writer.write_table(pa.Table.from_pandas(part[_ROW], _ARROW, preserve_index=False))
+    return sink.getvalue().to_pybytes()
+
+
 def _loaded(stored: tuple | None) -> tuple[pd.DataFrame, pd.DataFrame]:
-    values = stored if stored is not None else ([],) * (2 * len(_ROW))
-    types = {"us": "int64", "tie": "int64", "label": "object", "confidence": "float64"}
-    parts = values[: len(_ROW)], values[len(_ROW) :]
-    return tuple(pd.DataFrame({c: list(v) for c, v in zip(_ROW, p)}).astype(types) for p in parts)
+    if stored is None:
+        return tuple(_ARROW.empty_table().to_pandas() for _ in range(2))
+    return tuple(pa.ipc.open_stream(bytes(data)).read_all().to_pandas() for data in stored)
 
 
 def _joined(parts: list[pd.DataFrame]) -> pd.DataFrame:

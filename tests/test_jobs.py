@@ -199,6 +199,20 @@ def test_event_time_monitor_ignores_the_order_of_arrival(spark, tmp_path):
     assert read(spark.read.parquet(place["output"])) == want and len(want) > 200
 
 
+def test_state_of_the_event_time_monitor_is_packed():
+    """Two binary values whatever the rows, not a boxed value per row and column; what is stored comes back."""
+    n = 50_000
+    rows = pd.DataFrame(
+        {"us": np.arange(n) * 1000, "tie": np.arange(n), "label": ["click", "view"] * (n // 2), "confidence": np.arange(n) / n}
+    )
+    assert keyed._STATE == "wait binary, ring binary"
+    stored = keyed._packed(rows), keyed._packed(rows.iloc[:0])
+    assert len(stored[0]) < 20 * n
+    waiting, ring = keyed._loaded(tuple(map(bytearray, stored)))
+    assert waiting.equals(rows) and len(ring) == 0
+    assert all(part.dtypes.equals(rows.dtypes) for part in (ring, *keyed._loaded(None)))
+
+
 def test_last_rows(spark):
     got = jobs.last_rows(_log(spark, 200), "model_name", ["ts", "event_id"], 7).toPandas()
     want = _log(spark, 200).toPandas().sort_values("event_id").groupby("model_name").tail(7)
