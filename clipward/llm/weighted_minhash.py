@@ -54,6 +54,7 @@ CLASSES = 256  # hash classes of the weight bound
 MANY_CLASSES = 4096  # the same for documents with more shingles than this
 FEW = 192  # up to so many shingles, only classes in use are listed, out of FINE_CLASSES
 FINE_CLASSES = 65536
+SAMPLED = 1 << 16  # shingles sampled at once, about
 
 _SEED = 0x9E3779B97F4A7C15
 _ROW_BITS = 21  # more than a unit's rows
@@ -82,16 +83,20 @@ def _shingles(rows: pa.RecordBatch, text: str, drop_bits: int) -> _Vectors:
     key, own = grams[whole], doc[: len(grams)][whole]
     n_words = np.bincount(doc, minlength=len(texts))
     first = np.searchsorted(doc, np.arange(len(texts)))
-    for i in np.flatnonzero((n_words > 0) & (n_words < SHINGLE)):
-        one = hashing.window_hashes(words[first[i] : first[i] + n_words[i]], int(n_words[i]))
-        key, own = np.append(key, one), np.append(own, i)
+    short = np.flatnonzero((n_words > 0) & (n_words < SHINGLE))
+    if len(short):
+        ones = [hashing.window_hashes(words[a : a + n], n) for a, n in zip(first[short], n_words[short].tolist())]
+        place = np.searchsorted(own, short)
+        key, own = np.insert(key, place, np.concatenate(ones)), np.insert(own, place, short)
     key = key >> np.uint64(drop_bits) << np.uint64(drop_bits)
-    order = np.lexsort((key, own))
-    key, own = key[order], own[order]
+    # Documents stand in order, so each is sorted in its place.
+    cuts = np.flatnonzero(np.diff(own, prepend=-1, append=len(texts))).tolist()
+    for a, b in zip(cuts[:-1], cuts[1:]):
+        key[a:b].sort()
     new = np.ones(len(key), bool)
     new[1:] = (key[1:] != key[:-1]) | (own[1:] != own[:-1])
     at = np.flatnonzero(new)
-    return _Vectors(own[at], key[at], np.diff([*at, len(key)]), len(texts))
+    return _Vectors(own[at], key[at], np.diff(at, append=len(key)), len(texts))
 
 
 def _frequencies(held: _Vectors, answer: list[dict]) -> np.ndarray:
@@ -181,30 +186,60 @@ def samples(key: np.ndarray, weight: np.ndarray, first: np.ndarray, n: int) -> n
     """``n`` consistent weighted samples of each vector; row i covers first[i] .. first[i + 1]."""
     full = np.flatnonzero(np.diff(first) > 0)
     out = np.zeros((len(first) - 1, n), np.uint64)
-    if not len(full):
-        return out
-    begins, lengths = first[full], np.diff(first)[full]
+    # Whole vectors, few at a time, so that the many passes stay in the processor's cache.
+    part = (first[full] - first[0]) // SAMPLED
+    for rows in np.split(full, np.flatnonzero(np.diff(part)) + 1) if len(full) else []:
+        a, b = first[rows[0]], first[rows[-1] + 1]
+        out[rows] = _drawn(key[a:b], weight[a:b], first[rows] - a, n)
+    return out
+
+
+def _drawn(key: np.ndarray, weight: np.ndarray, begins: np.ndarray, n: int) -> np.ndarray:
+    """Samples of the vectors, none empty, that start at ``begins``."""
+    size, lengths = len(key), np.diff(begins, append=len(key))
+    out = np.empty((len(begins), n), np.uint64)
     log_w = np.log(weight).astype(np.float32)
+    z, y, bits = (np.empty(size, np.uint64) for _ in range(3))
+    r, c, beta, t, drawn = (np.empty(size, np.float32) for _ in range(5))
     # Five uniform draws from two hashes; single precision is ample beside their 21 bits.
     unit, low = np.float32(2.0**-21), np.uint64((1 << 21) - 1)
 
-    def draw(bits: np.ndarray, shift: int) -> np.ndarray:
-        return ((bits >> np.uint64(shift) & low).astype(np.float32) + np.float32(0.5)) * unit
+    def draw(source: np.ndarray, shift: int, to: np.ndarray) -> np.ndarray:
+        """A draw times 2**21."""
+        np.right_shift(source, np.uint64(shift), out=bits)
+        np.bitwise_and(bits, low, out=bits)
+        np.copyto(to, bits.view(np.int64), casting="same_kind")
+        to += np.float32(0.5)
+        return to
+
+    def minus_log(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        """-ln of the product of two draws, in place of the first."""
+        a *= b
+        a *= unit * unit
+        return np.negative(np.log(a, out=a), out=a)
 
     for k in range(n):
-        z = hashing.mix(key + np.uint64((_SEED * (2 * k + 1)) % 2**64))
-        y = hashing.mix(z + np.uint64(_SEED))
-        r = -np.log(draw(z, 0) * draw(z, 21))
-        log_c = np.log(-np.log(draw(z, 42) * draw(y, 0)))
-        beta = draw(y, 21)
-        t = np.floor(log_w / r + beta)
-        log_a = log_c - r * (t - beta + np.float32(1))
-        least = np.repeat(np.minimum.reduceat(log_a, begins), lengths)
-        hit = np.flatnonzero(log_a == least)
+        np.add(key, np.uint64((_SEED * (2 * k + 1)) % 2**64), out=z)
+        hashing.mix_in_place(z, bits)
+        np.add(z, np.uint64(_SEED), out=y)
+        hashing.mix_in_place(y, bits)
+        minus_log(draw(z, 0, r), draw(z, 21, drawn))
+        minus_log(draw(z, 42, c), draw(y, 0, drawn))
+        np.log(c, out=c)
+        draw(y, 21, beta)
+        beta *= unit
+        np.divide(log_w, r, out=t)
+        t += beta
+        np.floor(t, out=t)
+        np.subtract(t, beta, out=drawn)
+        drawn += np.float32(1)
+        drawn *= r
+        c -= drawn
+        hit = np.flatnonzero(c == np.repeat(np.minimum.reduceat(c, begins), lengths))
         owner = np.searchsorted(begins, hit, side="right") - 1
         pick = hit[np.append(True, owner[1:] != owner[:-1])]
         step = t[pick].astype(np.int64).view(np.uint64)
-        out[full, k] = hashing.mix(key[pick] + step * np.uint64(_SEED))
+        out[:, k] = hashing.mix(key[pick] + step * np.uint64(_SEED))
     return out
 
 

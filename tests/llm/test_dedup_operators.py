@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import tracemalloc
 from collections import Counter
 
 import numpy as np
@@ -250,6 +251,33 @@ def test_samples_agree_with_weighted_similarity():
     assert abs(same.mean() - np.minimum(a, b).sum() / np.maximum(a, b).sum()) < 0.07
 
 
+def test_shingles_and_samples_of_a_unit_are_those_of_its_texts_in_bounded_memory(monkeypatch):
+    rng = random.Random(23)
+    texts = [" ".join(f"w{rng.randrange(40)}" for _ in range(rng.choice((0, 1, 4, 5, 60)))) for _ in range(300)]
+    texts[7:9] = [None, " "]
+    held = weighted_minhash._shingles(*_rows(texts), 3)
+    first, weight = held.first(), held.count * 1.25
+    monkeypatch.setattr(weighted_minhash, "SAMPLED", 100, raising=False)
+    drawn = weighted_minhash.samples(held.key, weight, first, 6)
+    for i, (a, b) in enumerate(zip(first[:-1], first[1:])):
+        one = weighted_minhash._shingles(*_rows([texts[i]]), 3)
+        assert held.key[a:b].tolist() == one.key.tolist() == sorted(set(one.key.tolist()))
+        assert held.count[a:b].tolist() == one.count.tolist()
+        n_words = len((texts[i] or "").split())
+        assert one.count.sum() == (max(n_words - 4, 1) if n_words else 0)
+        alone = weighted_minhash.samples(one.key, one.count * 1.25, one.first(), 6)
+        assert drawn[i].tolist() == alone[0].tolist()
+    monkeypatch.undo()
+    # A unit of many texts: what sampling holds does not grow with the unit.
+    n = 1 << 19
+    key, weight, first = hashing.mix(np.arange(n, dtype=np.uint64)), np.ones(n), np.arange(0, n + 1, 512)
+    tracemalloc.start()
+    weighted_minhash.samples(key, weight, first, 2)
+    _, peak = tracemalloc.get_traced_memory()
+    tracemalloc.stop()
+    assert peak < 16 * n
+
+
 def test_large_groups_make_few_pairs():
     draw = np.random.default_rng(1)
     marks = np.tile(draw.integers(0, 2**16, 30).astype(np.uint16), (1000, 1))
