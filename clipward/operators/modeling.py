@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clipward import constants as K
-from clipward.operators import boosting, evaluation, labels, scaling, splits
+from clipward.operators import boosting, evaluation, forest, labels, scaling, splits
 from clipward.operators import search as sampler
 from clipward.operators.boosting import Boosted, Growth
 from clipward.session import scratch_path, spread, stable
@@ -208,6 +208,14 @@ def _prepared(
     return scaler, mapping.count(), _vectors(rows, column).select("vector", "class_id", "weight")
 
 
+def _forest_table(train: DataFrame, validation: DataFrame, mapping: DataFrame, n_features: int) -> forest.Table:
+    scaler = stable(fit_array_scaler(train, "features", n_features), "scaler")
+    rows = training_rows(train, mapping, scaler)
+    held = scaling.scale_matrix(labels.encode_labels(validation, mapping), scaler)
+    key = "path" if "path" in train.columns else "features"
+    return forest.binned(rows, held, n_features, mapping.count(), key=key)
+
+
 def _dealt(df: DataFrame) -> DataFrame:
     return spread(df) if "path" in df.columns else df
 
@@ -239,20 +247,28 @@ def search(
     path = scratch_path(spark, "trials")
     spark.createDataFrame([], sampler.TRIALS).write.parquet(path)
     shared: tuple[DataFrame, int, DataFrame] | None = None
-    if model_name not in BOOSTED_MODELS:
-        # Scaler, weights and vectors are functions of the split alone, so all trials use the same ones.
+    table: forest.Table | None = None
+    # Scaler, weights and vectors are functions of the split alone, so all trials use the same ones.
+    if model_name == "forest":
+        table = _forest_table(*kept, mapping, n_features)
+    elif model_name not in BOOSTED_MODELS:
         scaler, n_classes, rows = _prepared(model_name, kept[0], mapping, n_features, "features")
         shared = scaler, n_classes, rows.persist(StorageLevel.MEMORY_AND_DISK)
         kept.append(rows)
 
-    def trial(number: int, params: dict[str, object]) -> tuple[int, str, float, dict[str, str]]:
+    def evaluated(params: dict[str, object]) -> DataFrame:
+        if table is not None:
+            return evaluation.top_class(forest.scored(table, forest.Growth.of(params, seed)))
         if shared is None:
             fitted = fit(model_name, params, kept[0], mapping, n_features=n_features, seed=seed)
         else:
             scaler, n_classes, rows = shared
             model = build_estimator(model_name, params, n_features, n_classes, seed).fit(rows)
             fitted = Fitted(model_name, model, scaler, mapping, n_classes)
-        value = macro_f1(fitted.evaluate(kept[1]))
+        return fitted.evaluate(kept[1])
+
+    def trial(number: int, params: dict[str, object]) -> tuple[int, str, float, dict[str, str]]:
+        value = macro_f1(evaluated(params))
         return number, "COMPLETE", value, {k: str(v) for k, v in params.items()}
 
     try:
