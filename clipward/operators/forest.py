@@ -4,13 +4,13 @@ Features are cut into bins once. A tree is grown on a Poisson draw of the traini
 down with them, without a count, until a leaf gives them its class shares. So a trial needs no stored forest: what
 leaves a task is the sum of shares of each held-out row over the trees of the task.
 
-Splits maximise the weighted decrease of the Gini impurity among a drawn subset of the features of each node, with
-at least ``leaf_rows`` drawn rows on either side. The draw of a row depends on (seed, tree, row key), the features of a
-node on (seed, tree, node), and shares are summed as whole numbers, so a result does not depend on how rows or trees
-are dealt.
+Splits maximise the weighted decrease of the Gini impurity (that is, the purity of both sides) among a drawn subset
+of the features of each node, with at least ``leaf_rows`` drawn rows on either side. The draw of a row depends on
+(seed, tree, row key), the features of a node on (seed, tree, node), and shares are summed as whole numbers, so a result
+does not depend on how rows or trees are dealt.
 
-A tree of fewer than ``LOCAL`` rows is one task's work, and all tasks share one broadcast table of about 80 bytes a
-row. Larger trees are cut from above: the nodes of that size are split level by level, by one pass and one grouped
+A tree of fewer than ``LOCAL`` rows is one task's work, and all tasks share one broadcast table of a byte a feature and
+about 20 more a row. Larger trees are cut from above: the nodes of that size are split level by level, by one pass and one grouped
 sum of histograms, and the rows of the smaller nodes below go to a task per node. ``GROUP`` bounds how many rows
 of all trees are on the way at once.
 
@@ -35,8 +35,9 @@ from clipward.session import stable
 LOCAL = 262_144
 BATCH = 65_536  # drawn rows of the trees that a task grows together
 GROUP = 1 << 26
-CELLS = 1 << 18  # histogram cells held at once
+CELLS = 1 << 16  # histogram cells held at once
 DENSE = 48  # nodes of this many rows have full histograms; smaller ones sort their rows
+EQUAL = 1 - 1e-11  # scores this near are the same score
 SHARE = 1 << 40  # a class share of one, as a whole number
 _CDF = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(16)])
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -97,21 +98,28 @@ def columns_of(trees: np.ndarray, nodes: np.ndarray, n_columns: int, n_features:
 # ---------------------------------------------------------------- splits
 
 
-def decrease(left: np.ndarray, total: np.ndarray, own: np.ndarray, weights: np.ndarray, leaf_rows: int) -> np.ndarray:
-    """Relative decrease of the impurity of each cell, -1 where a side is too small.
+def scores(
+    left: np.ndarray, total: np.ndarray, own: np.ndarray, weights: np.ndarray, leaf_rows: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Purity of both sides of each cell, 0 where a side is too small; and that of each slot, which a split must exceed.
 
     ``left`` is (classes, cells), ``total`` (classes, slots), and ``own`` the slot of each cell.
     """
-    squares = weights**2
+    squares, least = weights**2, max(leaf_rows, 1)
     n, lw = np.stack([np.ones_like(weights), weights]) @ left
-    lt = np.einsum("cu,cu->u", left, (total * squares[:, None])[:, own])
-    ll = squares @ (left * left)
-    tw, tt, whole = weights @ total, squares @ (total * total), total.sum(0)
-    rw, rr = tw[own] - lw, tt[own] - 2 * lt + ll
-    with np.errstate(divide="ignore", invalid="ignore"):
-        gain = np.round((ll / lw + rr / rw - (tt / tw)[own]) / tw[own], 10)
-    least = max(leaf_rows, 1)
-    return np.where((n >= least) & (whole[own] - n >= least), gain, -1.0)
+    lt = np.einsum("cu,cu->u", left, (total * squares[:, None]).take(own, axis=1))
+    ll = squares @ np.square(left)
+    tw, tt = weights @ total, squares @ np.square(total)
+    rr = tt.take(own)
+    rr -= 2 * lt
+    rr += ll
+    fits = (n >= least) & (n <= (total.sum(0) - least).take(own))
+    rw = tw.take(own) - lw
+    np.divide(ll, lw, out=ll, where=fits)
+    np.divide(rr, rw, out=rr, where=fits)
+    ll += rr
+    ll *= fits
+    return ll, tt / tw
 
 
 def _dense(
@@ -137,11 +145,11 @@ def best_of(
     """(place among the columns or -1, bin) from counts by (class, slot, column, bin)."""
     n_classes, n_slots, m, n_bins = counts.shape
     left = counts.cumsum(3).reshape(n_classes, -1)
-    own = np.repeat(np.arange(n_slots), m * n_bins)
-    gain = decrease(left, total, own, weights, leaf_rows).reshape(n_slots, -1)
-    best = gain.argmax(1)
-    found = gain[np.arange(n_slots), best] > 0
-    return np.where(found, best // n_bins, -1), best % n_bins
+    score, whole = scores(left, total, np.repeat(np.arange(n_slots), m * n_bins), weights, leaf_rows)
+    score = score.reshape(n_slots, -1)
+    best = score.max(1)
+    place = (score >= (best * EQUAL)[:, None]).argmax(1)
+    return np.where(best > whole / EQUAL, place // n_bins, -1), place % n_bins
 
 
 def _sorted(
@@ -158,18 +166,18 @@ def _sorted(
     first = np.r_[True, cell[1:] != cell[:-1]]
     at, cell = np.cumsum(first) - 1, cell[first]
     counts = np.bincount((packed >> 16 & 0xFFFF) * len(cell) + at, packed & 0xFFFF, n_classes * len(cell))
-    left = counts.reshape(n_classes, -1).cumsum(1)
+    counts = counts.reshape(n_classes, -1)
+    # A group begins at zero: all of a slot's rows are in each of its columns, so the totals are what came before.
     group = cell // n_bins
-    # All of a slot's rows are in each of its columns, so what came before a group is known from the totals.
-    before = np.cumsum(np.repeat(total, m, axis=1), axis=1) - np.repeat(total, m, axis=1)
+    starts = np.searchsorted(group, np.arange(n_slots * m))
+    counts[:, starts[1:]] -= np.repeat(total, m, axis=1)[:, :-1]
     own = group // m
-    left -= before[:, group]
-    gain = decrease(left, total, own, weights, leaf_rows)
-    best = np.maximum.reduceat(gain, np.searchsorted(own, np.arange(n_slots)))
-    hits = np.flatnonzero(gain == best[own])[::-1]
+    score, whole = scores(counts.cumsum(1), total, own, weights, leaf_rows)
+    best = np.maximum.reduceat(score, starts[::m])
+    hits = np.flatnonzero(score >= (best * EQUAL).take(own))[::-1]
     place = np.zeros(n_slots, np.int64)
     place[own[hits]] = hits  # the first hit of a slot is written last
-    return np.where(best > 0, group[place] % m, -1), cell[place] % n_bins
+    return np.where(best > whole / EQUAL, group[place] % m, -1), cell[place] % n_bins
 
 
 def _splits(
@@ -193,7 +201,7 @@ def _splits(
         for a, b in zip(edges, edges[1:]):
             part = rows[ends[a - 1] if a else 0 : ends[b - 1]]
             own = np.searchsorted(names[a:b], slot[part])
-            codes = bins[row[part][:, None], columns[names[a:b]][own]]
+            codes = bins.ravel().take((row[part] * bins.shape[1])[:, None] + columns[names[a:b]].take(own, axis=0))
             place, at = find(codes, own, y[part], count[part], total[:, names[a:b]], weights, leaf_rows, n_bins)
             found = place >= 0
             feature[names[a:b][found]] = columns[names[a:b][found], place[found]]
@@ -350,7 +358,11 @@ def _rows(table: pa.Table | pa.RecordBatch, n_features: int) -> Rows:
 def _voted(table: pa.Table, held: np.ndarray, votes: np.ndarray) -> pa.Table:
     chosen = pa.array(held >= 0)
     return pa.table(
-        {"id": table["id"].filter(chosen), "class_id": table["class_id"].filter(chosen), "shares": pa.array(list(votes), pa.list_(pa.int64()))}
+        {
+            "id": table["id"].filter(chosen),
+            "class_id": table["class_id"].filter(chosen),
+            "shares": pa.array(list(votes), pa.list_(pa.int64())),
+        }
     )
 
 
@@ -504,10 +516,8 @@ def _below(
                 done = np.isin(node, [n for t, n in leaves if t == tree])
                 at = np.flatnonzero((rows.held >= 0) | ((times > 0) & ~done))
                 out = batch.select(["id", "class_id", "held", "key", "bins"]).take(pa.array(at))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), tree)), pa.array(node[at]), pa.array(times[at].astype(np.int32)), *out.columns],
-                    ["tree", "node", "times", *out.schema.names],
-                )
+                own = [pa.array(v) for v in (np.full(len(at), tree), node[at], times[at].astype(np.int32))]
+                yield pa.RecordBatch.from_arrays([*own, *out.columns], ["tree", "node", "times", *out.schema.names])
 
     def finish(key: tuple, given: pa.Table) -> pa.Table:
         tree, node = (k.as_py() for k in key)
@@ -517,7 +527,8 @@ def _below(
         else:
             votes = np.zeros((int(rows.held.max()) + 1, len(weights)), np.int64)
             every, times = np.arange(len(rows.y)), given["times"].to_numpy().astype(float)
-            grow(rows, every, times, np.zeros(len(every), np.int64), np.array([tree]), np.array([node]), growth, weights, n_bins, votes)
+            root = np.zeros(len(every), np.int64), np.array([tree]), np.array([node])
+            grow(rows, every, times, *root, growth, weights, n_bins, votes)
         return _voted(given, rows.held, votes)
 
     dealt = table.rows.mapInArrow(
